@@ -42,11 +42,11 @@ def upsert(
     business key. With ``newer_wins`` naming a timestamp, an incoming row older than the held one
     is ignored.
 
-    Target and batch are shuffled once, by slot, and sorted by key within it; picking the winning
-    version and numbering the new keys both follow that order. The n-th new key of slot s becomes
-    ``last_key + (n - 1) * slots + s + 1``: unique and greater than every earlier key without
-    counting anything across slots, and the same again if a task is repeated. The numbers have
-    gaps where slots hold unequal shares.
+    Target and batch are shuffled once, by slot, and sorted by key within it, which puts the held
+    and the incoming version of a key next to each other. The n-th row of slot s would get the key
+    ``last_key + (n - 1) * slots + s + 1``, and rows without a held key take it: unique, greater
+    than every earlier key, found without counting anything across slots, and the same again if a
+    task is repeated. Held rows leave gaps in the numbers.
     """
     columns = target.columns
     both = target.withColumn("_arrived", F.lit(False)).unionByName(
@@ -54,23 +54,38 @@ def upsert(
     )
     both = both.withColumn(SLOT, slot_of(business_key, slots)).repartition(SLOT)
 
-    versions = Window.partitionBy(SLOT, business_key)
-    held_key = F.max(surrogate_key).over(versions)
-    if newer_wins is None:
-        applies = F.col("_arrived")
-    else:
-        held_at = F.max(F.when(~F.col("_arrived"), F.col(newer_wins))).over(versions)
-        applies = F.col("_arrived") & (held_at.isNull() | F.coalesce(F.col(newer_wins) >= held_at, F.lit(False)))
-    current = (
-        both.withColumns({"_held": held_key, "_applies": applies})
-        .withColumn("_replaced", F.max("_applies").over(versions))
-        .where(F.col("_applies") | (~F.col("_arrived") & ~F.col("_replaced")))
-    )
+    order = Window.partitionBy(SLOT).orderBy(business_key, "_arrived")
+
+    def before(column: str) -> Column:
+        return F.lag(column).over(order)
+
+    def after(column: str) -> Column:
+        return F.lead(column).over(order)
 
-    so_far = Window.partitionBy(SLOT).orderBy(business_key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    nth_new = F.sum(F.when(F.col("_held").isNull(), 1).otherwise(0)).over(so_far)
-    next_key = F.lit(last_key) + (nth_new - 1) * slots + F.col(SLOT) + 1
-    return current.withColumn(surrogate_key, F.coalesce(F.col("_held"), next_key)).select(*columns, SLOT)
+    no = F.lit(False)
+    has_held = F.coalesce(before(business_key) == F.col(business_key), no)
+    has_incoming = F.coalesce(after(business_key) == F.col(business_key), no)
+    ignored, replaced = no, has_incoming
+    if newer_wins is not None:
+        at, held_at = F.col(newer_wins), before(newer_wins)
+        ignored = has_held & held_at.isNotNull() & F.coalesce(at < held_at, F.lit(True))
+        replaced = has_incoming & (at.isNull() | F.coalesce(after(newer_wins) >= at, no))
+
+    next_key = F.lit(last_key) + (F.row_number().over(order) - 1).cast("bigint") * slots + F.col(SLOT) + 1
+    held_key = F.when(F.col("_arrived"), F.when(has_held, before(surrogate_key))).otherwise(
+        F.col(surrogate_key)
+    )
+    return (
+        both.withColumns(
+            {
+                "_stays": F.when(F.col("_arrived"), ~ignored).otherwise(~replaced),
+                "_key": F.coalesce(held_key, next_key),
+            }
+        )
+        .where("_stays")
+        .withColumn(surrogate_key, F.col("_key"))
+        .select(*columns, SLOT)
+    )
 
 
 def last_key(table: DataFrame, surrogate_key: str) -> int:

@@ -85,11 +85,14 @@ def load_batch(
     as_of: datetime,
     run_id: str,
     move_watermark: bool = True,
+    lower_watermark: bool = True,
     newer_wins: bool = False,
 ) -> RunResult:
     """Process one batch on top of a commit and publish it.
 
-    An error in any step leaves readers on the parent commit and the watermark where it was.
+    An error in any step leaves readers on the parent commit and the watermark where it was. The
+    new watermark is the greatest update time of the batch; ``move_watermark`` off keeps the old
+    one, ``lower_watermark`` off keeps the greater of the two.
     """
     seconds: dict[str, float] = {}
     today = as_of.date()
@@ -106,9 +109,12 @@ def load_batch(
                 lambda: stage(departments, "departments_raw"),
             )
 
-        report = quality.quality_report(raw, employees_raw, departments_raw, as_of, today)
-        reporting = pool.submit(stage, report, "quality_report")
-        repeating = pool.submit(stage, transactions.repeated_ids(raw), "transactions_repeated")
+        repeating = pool.submit(lambda: stage(transactions.repeated_ids(raw), "transactions_repeated"))
+        reporting = pool.submit(
+            lambda: stage(
+                quality.quality_report(raw, employees_raw, departments_raw, as_of, today), "quality_report"
+            )
+        )
 
         with _timed(seconds, "clean_reference"):
             departments_clean = stage(reference.departments_clean(departments_raw), "departments_clean")
@@ -122,32 +128,16 @@ def load_batch(
             )
             require_unique(employees_clean.where("employee_id IS NOT NULL"), "employee_id", "dim_employee")
 
-        with _timed(seconds, "dimensions"):
-            dim_department = warehouse.write_dimension(
-                upsert(
-                    warehouse.dim_department(parent),
-                    dimensions.department_rows(departments_clean),
-                    "department_id", "department_key",
-                    parent["last_department_key"], warehouse.dimension_slots,
-                ),
-                run_id, "dim_department", schemas.DIM_DEPARTMENT,
-            )
-            dim_employee = warehouse.write_dimension(
-                upsert(
-                    warehouse.dim_employee(parent),
-                    dimensions.employee_rows(employees_clean, dim_department),
-                    "employee_id", "employee_key",
-                    parent["last_employee_key"], warehouse.dimension_slots,
-                ),
-                run_id, "dim_employee", schemas.DIM_EMPLOYEE,
-            )
-
+        loading = pool.submit(
+            _load_dimensions, warehouse, parent, departments_clean, employees_clean, run_id, seconds
+        )
         with _timed(seconds, "clean_transactions"):
             judged = transactions.verdicts(raw, employees_clean, as_of, repeating.result())
             settled = stage(transactions.settle(judged), "transactions", "outcome")
             clean = settled.where(F.col("outcome") == transactions.CLEAN)
             rejected = settled.where(F.col("outcome") == transactions.REJECTED)
 
+        dim_department, dim_employee = loading.result()
         with _timed(seconds, "fact"):
             touched = _touched_buckets(clean, parent["fact_bucket_count"])
             rewritten = warehouse.write_fact(
@@ -181,9 +171,14 @@ def load_batch(
                 raise ForeignKeyViolation(str(orphans))
 
         reporting.result()
+        held_watermark = parent["last_successful_watermark"]
+        if not move_watermark:
+            watermark = None
+        elif watermark and held_watermark and not lower_watermark:
+            watermark = max(watermark, held_watermark)
         with _timed(seconds, "publish"):
             commit = warehouse.publish(
-                parent, run_id, watermark if move_watermark else None, as_of,
+                parent, run_id, watermark, as_of,
                 dim_department_run=run_id, dim_employee_run=run_id,
                 last_department_key=department_key, last_employee_key=employee_key,
                 last_transaction_key=max(
@@ -194,6 +189,34 @@ def load_batch(
     return RunResult(run_id, commit, counts, seconds)
 
 
+def _load_dimensions(
+    warehouse: Warehouse,
+    parent: Row,
+    departments: DataFrame,
+    employees: DataFrame,
+    run_id: str,
+    seconds: dict[str, float],
+) -> tuple[DataFrame, DataFrame]:
+    """New snapshots of both dimensions; needs only the cleaned reference tables."""
+    slots = warehouse.dimension_slots
+    with _timed(seconds, "dimensions"):
+        dim_department = warehouse.write_dimension(
+            upsert(
+                warehouse.dim_department(parent), dimensions.department_rows(departments),
+                "department_id", "department_key", parent["last_department_key"], slots,
+            ),
+            run_id, "dim_department", schemas.DIM_DEPARTMENT,
+        )
+        dim_employee = warehouse.write_dimension(
+            upsert(
+                warehouse.dim_employee(parent), dimensions.employee_rows(employees, dim_department),
+                "employee_id", "employee_key", parent["last_employee_key"], slots,
+            ),
+            run_id, "dim_employee", schemas.DIM_EMPLOYEE,
+        )
+    return dim_department, dim_employee
+
+
 def _touched_buckets(clean: DataFrame, slots: int) -> list[int]:
     """Buckets the batch may change; refuses a batch with two rows for one transaction."""
     per_id = clean.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("copies"))

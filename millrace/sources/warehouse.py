@@ -11,6 +11,7 @@ import tempfile
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ class Warehouse:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schemas.ETL_CONTROL)
+            return empty(self.spark, schemas.ETL_CONTROL)
 
     def latest(self) -> Row | None:
         """The current commit of this pipeline."""
@@ -112,9 +113,9 @@ class Warehouse:
         return self._append(**values)
 
     def _append(self, **values) -> Row:
-        row = [values.get(name) for name in schemas.ETL_CONTROL.names]
-        df = self.spark.createDataFrame([row], schemas.ETL_CONTROL).coalesce(1)
-        df.write.mode("append").parquet(f"{self.root}/etl_control")
+        row = {name: values.get(name) for name in schemas.ETL_CONTROL.names}
+        df = self.spark.createDataFrame(pa.Table.from_pylist([row]), schemas.ETL_CONTROL)
+        df.coalesce(1).write.mode("append").parquet(f"{self.root}/etl_control")
         return self.latest()
 
     # staging
@@ -139,7 +140,7 @@ class Warehouse:
 
     def _dimension(self, run_id: str | None, table: str, schema: T.StructType) -> DataFrame:
         if run_id is None:
-            return self.spark.createDataFrame([], schema)
+            return empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/run_id={run_id}")
 
     def dim_department(self, commit: Row | None = None) -> DataFrame:
@@ -166,11 +167,16 @@ class Warehouse:
         columns = schemas.FACT_TRANSACTIONS.names + ([SLOT] if with_bucket else [])
         base = f"{self.root}/fact_transactions"
         if not folders:
-            return self.spark.createDataFrame([], _FACT_FILES).select(*columns)
+            return empty(self.spark, _FACT_FILES).select(*columns)
         reader = self.spark.read.schema(_FACT_FILES).option("basePath", base)
         return reader.parquet(*[f"{base}/{folder}" for folder in folders]).select(*columns)
 
 
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A table without rows, known as such to the planner."""
+    return spark.range(0).where("false").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def latest_commits(control: DataFrame) -> DataFrame:
     """The current commit of every pipeline."""
     newest = control.groupBy("pipeline_name").agg(F.max_by(F.struct(*control.columns), "seq").alias("commit"))
