@@ -100,7 +100,7 @@ def load_batch(
     def stage(df: DataFrame, table: str, *partition_by: str) -> DataFrame:
         return warehouse.stage(df, run_id, table, partition_by)
 
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=6) as pool:
         with _timed(seconds, "extract"):
             raw, employees_raw, departments_raw = _together(
                 pool,
@@ -109,7 +109,9 @@ def load_batch(
                 lambda: stage(departments, "departments_raw"),
             )
 
+        # Needed later, read from staging while the reference tables are cleaned.
         repeating = pool.submit(lambda: stage(transactions.repeated_ids(raw), "transactions_repeated"))
+        watermarking = pool.submit(lambda: validation.next_watermark(raw).first()["next_watermark"])
         reporting = pool.submit(
             lambda: stage(
                 quality.quality_report(raw, employees_raw, departments_raw, as_of, today), "quality_report"
@@ -119,6 +121,7 @@ def load_batch(
         with _timed(seconds, "clean_reference"):
             departments_clean = stage(reference.departments_clean(departments_raw), "departments_clean")
             require_unique(departments_clean, "department_id", "dim_department")
+            departing = pool.submit(_load_departments, warehouse, parent, departments_clean, run_id)
             employees_clean, _ = _together(
                 pool,
                 lambda: stage(reference.employees_clean(employees_raw, departments_clean, today), "employees_clean"),
@@ -126,20 +129,28 @@ def load_batch(
                     reference.employees_rejected(employees_raw, departments_clean, today), "employees_rejected"
                 ),
             )
-            require_unique(employees_clean.where("employee_id IS NOT NULL"), "employee_id", "dim_employee")
 
-        loading = pool.submit(
-            _load_dimensions, warehouse, parent, departments_clean, employees_clean, run_id, seconds
+        checking = pool.submit(
+            lambda: require_unique(employees_clean.where("employee_id IS NOT NULL"), "employee_id", "dim_employee")
         )
+
+        def load_employees() -> tuple[DataFrame, int]:
+            with _timed(seconds, "dimensions"):
+                dim_department, _ = departing.result()
+                return _load_employees(warehouse, parent, employees_clean, dim_department, run_id)
+
+        employing = pool.submit(load_employees)
         with _timed(seconds, "clean_transactions"):
             judged = transactions.verdicts(raw, employees_clean, as_of, repeating.result())
             settled = stage(transactions.settle(judged), "transactions", "outcome")
             clean = settled.where(F.col("outcome") == transactions.CLEAN)
             rejected = settled.where(F.col("outcome") == transactions.REJECTED)
+            checking.result()
+            touched = _touched_buckets(clean, parent["fact_bucket_count"])
 
-        dim_department, dim_employee = loading.result()
+        dim_department, department_key = departing.result()
+        dim_employee, employee_key = employing.result()
         with _timed(seconds, "fact"):
-            touched = _touched_buckets(clean, parent["fact_bucket_count"])
             rewritten = warehouse.write_fact(
                 upsert(
                     warehouse.fact_transactions(parent, touched),
@@ -152,16 +163,13 @@ def load_batch(
             )
 
         with _timed(seconds, "validation"):
-            counts, orphans, watermark, buckets, employee_key, department_key = _together(
+            counts, orphans, buckets = _together(
                 pool,
                 lambda: validation.batch_counts(
                     raw, clean, rejected, rewritten, dim_employee, dim_department
                 ).first().asDict(),
                 lambda: validation.orphan_counts(rewritten, dim_employee, dim_department).first().asDict(),
-                lambda: validation.next_watermark(raw).first()["next_watermark"],
                 lambda: _bucket_state(rewritten),
-                lambda: last_key(dim_employee, "employee_key"),
-                lambda: last_key(dim_department, "department_key"),
             )
             held = [b.asDict() for b in parent["fact_buckets"] if b["bucket"] not in buckets]
             written = [{"bucket": b, "run_id": run_id, "row_count": s["row_count"]} for b, s in buckets.items()]
@@ -171,6 +179,7 @@ def load_batch(
                 raise ForeignKeyViolation(str(orphans))
 
         reporting.result()
+        watermark = watermarking.result()
         held_watermark = parent["last_successful_watermark"]
         if not move_watermark:
             watermark = None
@@ -189,32 +198,28 @@ def load_batch(
     return RunResult(run_id, commit, counts, seconds)
 
 
-def _load_dimensions(
-    warehouse: Warehouse,
-    parent: Row,
-    departments: DataFrame,
-    employees: DataFrame,
-    run_id: str,
-    seconds: dict[str, float],
-) -> tuple[DataFrame, DataFrame]:
-    """New snapshots of both dimensions; needs only the cleaned reference tables."""
-    slots = warehouse.dimension_slots
-    with _timed(seconds, "dimensions"):
-        dim_department = warehouse.write_dimension(
-            upsert(
-                warehouse.dim_department(parent), dimensions.department_rows(departments),
-                "department_id", "department_key", parent["last_department_key"], slots,
-            ),
-            run_id, "dim_department", schemas.DIM_DEPARTMENT,
-        )
-        dim_employee = warehouse.write_dimension(
-            upsert(
-                warehouse.dim_employee(parent), dimensions.employee_rows(employees, dim_department),
-                "employee_id", "employee_key", parent["last_employee_key"], slots,
-            ),
-            run_id, "dim_employee", schemas.DIM_EMPLOYEE,
-        )
-    return dim_department, dim_employee
+def _load_departments(
+    warehouse: Warehouse, parent: Row, departments: DataFrame, run_id: str
+) -> tuple[DataFrame, int]:
+    """A new snapshot of the department dimension and its last key."""
+    merged = upsert(
+        warehouse.dim_department(parent), dimensions.department_rows(departments),
+        "department_id", "department_key", parent["last_department_key"], warehouse.dimension_slots,
+    )
+    written = warehouse.write_dimension(merged, run_id, "dim_department", schemas.DIM_DEPARTMENT)
+    return written, last_key(written, "department_key")
+
+
+def _load_employees(
+    warehouse: Warehouse, parent: Row, employees: DataFrame, dim_department: DataFrame, run_id: str
+) -> tuple[DataFrame, int]:
+    """A new snapshot of the employee dimension and its last key."""
+    merged = upsert(
+        warehouse.dim_employee(parent), dimensions.employee_rows(employees, dim_department),
+        "employee_id", "employee_key", parent["last_employee_key"], warehouse.dimension_slots,
+    )
+    written = warehouse.write_dimension(merged, run_id, "dim_employee", schemas.DIM_EMPLOYEE)
+    return written, last_key(written, "employee_key")
 
 
 def _touched_buckets(clean: DataFrame, slots: int) -> list[int]:

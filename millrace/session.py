@@ -14,6 +14,7 @@ def local_session(cores: int | str = 8, **settings: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in settings.items():
         builder = builder.config(name, value)

@@ -28,7 +28,8 @@ def read_sheet(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     """
     if fmt == "csv":
         text = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
-        options = {"header": True, "multiLine": True, "escape": '"'}
+        # The null marker is what the parser puts into empty cells; no cell holds it, so "" stays "".
+        options = {"header": True, "multiLine": True, "escape": '"', "nullValue": "\u0001"}
         keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
         sheet = spark.read.schema(text).options(**options, **keep_spaces).csv(path)
     else:

@@ -69,7 +69,7 @@ class Warehouse:
 
     def latest(self) -> Row | None:
         """The current commit of this pipeline."""
-        return latest_commits(self.control().where(F.col("pipeline_name") == self.pipeline)).first()
+        return self.control().where(F.col("pipeline_name") == self.pipeline).orderBy(F.col("seq").desc()).first()
 
     def watermark(self) -> Row:
         """The commit holding the watermark; without one no incremental run is possible."""
@@ -116,7 +116,7 @@ class Warehouse:
         row = {name: values.get(name) for name in schemas.ETL_CONTROL.names}
         df = self.spark.createDataFrame(pa.Table.from_pylist([row]), schemas.ETL_CONTROL)
         df.coalesce(1).write.mode("append").parquet(f"{self.root}/etl_control")
-        return self.latest()
+        return Row(**row)
 
     # staging
 
