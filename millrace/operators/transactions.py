@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import normalize as n
@@ -28,17 +28,17 @@ REASONS = (
 )
 
 
-def with_row_id(raw: DataFrame) -> DataFrame:
-    """Number the rows of a batch, so that even identical copies can be told apart.
+def with_row_id(batch: DataFrame) -> DataFrame:
+    """Number the rows of a batch before it is staged, so that identical copies can be told apart.
 
-    Staged batches carry the number in their files. Called on an unstaged batch, the number is
-    derived from the position in the scan, which repeats as long as the input files do not change.
+    The numbers follow from the position in the input and are only good once they are in a file:
+    reading the input twice may number it differently.
     """
-    return raw if ROW_ID in raw.columns else raw.withColumn(ROW_ID, F.monotonically_increasing_id())
+    return batch.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
-def repeated_ids(raw: DataFrame) -> DataFrame:
-    """Raw transaction ids with several rows, and the row id of the one that counts.
+def repeated_ids(staged: DataFrame) -> DataFrame:
+    """Raw transaction ids with several rows in a staged batch, and the row id of the one that counts.
 
     The latest row counts; a row without a timestamp is the latest, ties fall to the greater
     source_row_id. Only ids, timestamps and row ids are shuffled, each group is reduced on the map
@@ -47,8 +47,7 @@ def repeated_ids(raw: DataFrame) -> DataFrame:
     """
     recency = F.struct(F.col("last_updated_at").isNull(), "last_updated_at", "source_row_id", ROW_ID)
     return (
-        with_row_id(raw)
-        .where(F.col("transaction_id").isNotNull())
+        staged.where(F.col("transaction_id").isNotNull())
         .groupBy("transaction_id")
         .agg(F.count(F.lit(1)).alias("copies"), F.max(recency)[ROW_ID].alias("latest_row_id"))
         .where("copies > 1")
@@ -56,34 +55,57 @@ def repeated_ids(raw: DataFrame) -> DataFrame:
     )
 
 
-def flag_duplicates(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def flag_duplicates(batch: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """The batch with a boolean ``is_duplicate``; rows without an id are not duplicates.
 
-    ``repeated`` is normally small and then broadcast by the planner, which leaves the batch where
-    it is. Otherwise rows without an id are spread by their row id instead of meeting in one task,
-    and a frequent id has a single row on the other side, which adaptive skew handling can split.
+    ``repeated`` holds the repeated ids of a staged batch. It is normally small and then broadcast
+    by the planner, which leaves the batch where it is. Otherwise rows without an id are spread by
+    their row id instead of meeting in one task, and a frequent id has a single row on the other
+    side, which adaptive skew handling can split. Without ``repeated`` the batch is ranked as it
+    comes, see ``rank_duplicates``.
     """
-    batch = with_row_id(raw)
-    repeated = repeated_ids(batch) if repeated is None else repeated
-    batch = batch.withColumn(
-        "_spread", F.when(F.col("transaction_id").isNull(), F.col(ROW_ID)).otherwise(F.xxhash64("transaction_id"))
-    )
-    repeated = repeated.withColumn("_spread", F.xxhash64("transaction_id"))
+    if repeated is None:
+        return rank_duplicates(batch)
+    spread = F.when(F.col("transaction_id").isNull(), F.col(ROW_ID)).otherwise(F.xxhash64("transaction_id"))
     return (
-        batch.join(repeated, ["_spread", "transaction_id"], "left")
+        batch.withColumn("_spread", spread)
+        .join(repeated.withColumn("_spread", F.xxhash64("transaction_id")), ["_spread", "transaction_id"], "left")
         .withColumn("is_duplicate", F.coalesce(F.col("latest_row_id") != F.col(ROW_ID), F.lit(False)))
         .drop("_spread", "latest_row_id")
     )
 
 
+def rank_duplicates(batch: DataFrame) -> DataFrame:
+    """``is_duplicate`` for a batch that is not staged, in a single pass over it.
+
+    Rows of one id are ranked in two rounds, first among those of the same input partition, then
+    the firsts among each other; all others go to groups of their own in the second round. So a
+    frequent id is never one group, at the price of moving the wide rows twice. Rows that differ
+    nowhere are interchangeable, all others are told apart by their columns.
+    """
+    others = [c for c in TRANSACTIONS.names if c not in ("transaction_id", "last_updated_at", "source_row_id")]
+    newest_first = [F.col("last_updated_at").desc_nulls_first(), *[F.col(c).desc() for c in ("source_row_id", *others)]]
+    here = Window.partitionBy("transaction_id", "_part").orderBy(*newest_first)
+    firsts = Window.partitionBy("transaction_id", "_group").orderBy(*newest_first)
+    none = F.col("transaction_id").isNull()
+    return (
+        # the row number keeps rows without an id apart, which need no rank at all
+        batch.withColumn("_part", F.when(none, F.monotonically_increasing_id()).otherwise(F.spark_partition_id()))
+        .withColumn("_first", F.row_number().over(here) == 1)
+        .withColumn("_group", F.when(F.col("_first") & ~none, F.lit(-1)).otherwise(F.col("_part")))
+        .withColumn("is_duplicate", ~none & ~(F.col("_first") & (F.row_number().over(firsts) == 1)))
+        .drop("_part", "_first", "_group")
+    )
+
+
 def match_employees(batch: DataFrame, employees: DataFrame, how: str = "left") -> DataFrame:
     """The batch with the cleaned employee its normalised id names (``matched_employee_id``).
 
     Rows without an employee id get a key of their own that starts with a space; cleaned ids never
     do, so it matches nothing and only spreads those rows over the tasks.
     """
-    batch = with_row_id(batch)
-    key = F.coalesce(n.norm("employee_id"), F.concat(F.lit(" "), F.col(ROW_ID).cast("string")))
+    position = F.col(ROW_ID) if ROW_ID in batch.columns else F.monotonically_increasing_id()
+    key = F.coalesce(n.norm("employee_id"), F.concat(F.lit(" "), position.cast("string")))
     known = employees.select(F.col("employee_id").alias("matched_employee_id"))
     batch = batch.withColumn("_employee", key)
     return batch.join(known, batch["_employee"] == known["matched_employee_id"], how).drop("_employee")
@@ -115,6 +137,7 @@ def verdicts(
 ) -> DataFrame:
     """Raw columns plus ``rejection_reason`` and ``outcome``, evaluated once for all outcomes.
 
+    ``repeated`` are the repeated ids of ``raw`` if that is a staged batch, see ``flag_duplicates``.
     A row is clean only if every rule is known to hold. Without created_at or last_updated_at
     that cannot be said, and unless another rule is broken such a row is in neither set.
     """

@@ -312,6 +312,7 @@ WHERE t.employee_id IS NOT NULL
         "latest_employees": _sql(f"SELECT {EMP} FROM employees_newest"),
         "duplicate_transactions": _duplicates("TRUE"),
         "duplicate_transactions_in_window": _duplicates(WINDOW),
+        "duplicate_transactions_unstaged": _duplicates("TRUE"),
         "quality_report": _sql(_quality("transactions_raw")),
         "quality_total": _sql(
             f"SELECT CAST(sum(issue_count) AS BIGINT) AS total_issues FROM ({_quality('transactions_raw')})"

@@ -1,5 +1,7 @@
+import io
 import os
 import sys
+from contextlib import redirect_stdout
 from datetime import datetime
 from decimal import Decimal
 from pathlib import Path
@@ -33,6 +35,13 @@ def at(text: str) -> datetime:
     return datetime.fromisoformat(text)
 
 
+def plan_of(df, mode="simple") -> str:
+    text = io.StringIO()
+    with redirect_stdout(text):
+        df.explain(mode)
+    return text.getvalue()
+
+
 class Make:
     """Small literal tables; unnamed columns get a valid default."""
 

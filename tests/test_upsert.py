@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import at
+from conftest import at, plan_of
 from pyspark.sql import functions as F
 
 from millrace.operators.upsert import DuplicateUpsertKey, last_key, require_unique, upsert
@@ -66,6 +66,7 @@ def test_two_rows_for_one_key_are_refused(spark):
 
 
 def test_upsert_moves_each_row_once(spark):
-    plan = upsert(table(spark, [(1, "a", "v", None)]), table(spark, [(1, "b", "v", None)]).drop("k"), "id", "k", 1, 4)
-    text = plan._jdf.queryExecution().executedPlan().toString()
+    text = plan_of(
+        upsert(table(spark, [(1, "a", "v", None)]), table(spark, [(1, "b", "v", None)]).drop("k"), "id", "k", 1, 4)
+    )
     assert text.count("Exchange") == 1 and text.count("Sort [") == 1 and "Join" not in text
