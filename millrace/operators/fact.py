@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import measures, normalize
+from millrace.operators.upsert import slot_of
 from millrace.schemas import FACT_TRANSACTIONS
 
 
+PERIOD, BUCKET = "period", "bucket"
+CELL = (PERIOD, BUCKET)
+
+# Leading characters of a timestamp that name its period.
+PERIOD_WIDTH = {"year": 4, "month": 7, "day": 10}
+
+
+def cell_columns(buckets: int, period: str) -> dict[str, Column]:
+    """Where a fact row is stored: the period it was created in and the hash bucket of its id."""
+    return {
+        PERIOD: F.substring(F.col("created_at").cast("string"), 1, PERIOD_WIDTH[period]),
+        BUCKET: slot_of("transaction_id", buckets),
+    }
+
+
 def with_measures(clean: DataFrame, as_of: datetime) -> DataFrame:
     return clean.withColumns(
         {

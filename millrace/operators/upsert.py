@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.schemas import duplicate_keys
 
-SLOT = "bucket"
+SLOT = "slot"
 
 
 class DuplicateUpsertKey(Exception):
@@ -22,7 +22,7 @@ def require_unique(incoming: DataFrame, key: str, table: str) -> None:
 
 
 def slot_of(key: str, slots: int) -> Column:
-    """The hash slot of a business key; the fact table stores it as its partition column."""
+    """The hash slot of a business key."""
     return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
 
 
@@ -35,7 +35,7 @@ def upsert(
     slots: int,
     newer_wins: str | None = None,
 ) -> DataFrame:
-    """Target after the upsert, with the slot of every row in ``bucket``.
+    """Target after the upsert, with the slot of every row in ``slot``.
 
     Existing keys take all incoming attributes, NULLs included, and keep their surrogate key; new
     keys are added; keys absent from the batch stay. Both inputs must be unique and non-NULL in the

@@ -87,7 +87,7 @@ class Sample:
     def warehouse(self) -> Warehouse:
         """An empty warehouse in a folder of its own."""
         root = f"{shared_folder(self.spark)}/warehouse-{uuid.uuid4().hex}"
-        return Warehouse(self.spark, root, buckets=SLOTS, dimension_slots=SLOTS)
+        return Warehouse(self.spark, root, buckets=2, period="year", spread=SLOTS // 2, dimension_slots=SLOTS)
 
     def stage(self, df: DataFrame, table: str) -> DataFrame:
         return self.warehouse.stage(df, "query", table)
@@ -554,7 +554,7 @@ def dim_department_upsert(s: Sample) -> DataFrame:
     )
     merged = upsert(target, later, "department_id", "department_key", 1000, SLOTS)
     kept = F.when(F.col("department_key") <= 1000, "kept").otherwise("new")
-    return merged.withColumn("key_origin", kept).drop("department_key", "bucket")
+    return merged.withColumn("key_origin", kept).drop("department_key", "slot")
 
 
 @_query
@@ -571,7 +571,7 @@ def dim_employee_upsert(s: Sample) -> DataFrame:
     departments = s.dim_department.select("department_key", "department_id")
     kept = F.when(F.col("employee_key") <= 10**12, "kept").otherwise("new")
     named = merged.withColumn("key_origin", kept).join(departments, "department_key")
-    return named.drop("employee_key", "department_key", "bucket")
+    return named.drop("employee_key", "department_key", "slot")
 
 
 @_query
@@ -595,7 +595,7 @@ def fact_upsert(s: Sample) -> DataFrame:
     target, later = _two_loads(s)
     merged = upsert(target, later, "transaction_id", "transaction_key", 10**12, SLOTS)
     origin = F.when(F.col("transaction_key") <= 10**12, "kept").otherwise("new")
-    return with_business_keys(merged.withColumn("key_origin", origin).drop("bucket"), s.dim_employee, s.dim_department)
+    return with_business_keys(merged.withColumn("key_origin", origin).drop("slot"), s.dim_employee, s.dim_department)
 
 
 @_query
@@ -699,7 +699,7 @@ def control_after_run(s: Sample) -> DataFrame:
     s.run()
     return s.warehouse.control().select(
         "pipeline_name", "seq", "last_successful_watermark", "last_successful_run",
-        F.aggregate(F.transform("fact_buckets", lambda b: b["row_count"]), F.lit(0).cast("bigint"), lambda a, x: a + x)
+        F.aggregate(F.transform("fact_cells", lambda c: c["row_count"]), F.lit(0).cast("bigint"), lambda a, x: a + x)
         .alias("fact_rows"),
     )
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.operators import dimensions, fact, quality, reference, transactions, validation
-from millrace.operators.upsert import SLOT, DuplicateUpsertKey, last_key, require_unique, slot_of, upsert
+from millrace.operators.upsert import SLOT, DuplicateUpsertKey, last_key, require_unique, upsert
 from millrace.sources.incremental import incremental_window, period, run_clock
 from millrace.sources.warehouse import ControlError, Warehouse
 
@@ -146,34 +146,34 @@ def load_batch(
             clean = settled.where(F.col("outcome") == transactions.CLEAN)
             rejected = settled.where(F.col("outcome") == transactions.REJECTED)
             checking.result()
-            touched = _touched_buckets(clean, parent["fact_bucket_count"])
+            touched = _touched_cells(warehouse, parent, clean)
 
         dim_department, department_key = departing.result()
         dim_employee, employee_key = employing.result()
         with _timed(seconds, "fact"):
-            rewritten = warehouse.write_fact(
-                upsert(
-                    warehouse.fact_transactions(parent, touched),
-                    fact.fact_rows(clean, dim_employee, as_of),
-                    "transaction_id", "transaction_key",
-                    parent["last_transaction_key"], parent["fact_bucket_count"],
-                    newer_wins="last_updated_at" if newer_wins else None,
-                ),
-                run_id,
+            merged = upsert(
+                warehouse.fact_transactions(parent, touched),
+                fact.fact_rows(clean, dim_employee, as_of),
+                "transaction_id", "transaction_key",
+                parent["last_transaction_key"], parent["fact_bucket_count"] * warehouse.spread,
+                newer_wins="last_updated_at" if newer_wins else None,
             )
+            cells = fact.cell_columns(parent["fact_bucket_count"], parent["fact_period"])
+            rewritten = warehouse.write_fact(merged.drop(SLOT).withColumns(cells), run_id)
 
         with _timed(seconds, "validation"):
-            counts, orphans, buckets = _together(
+            # No other cell holds an id of the batch, so counts over the rewritten ones are complete.
+            counts, orphans, written = _together(
                 pool,
                 lambda: validation.batch_counts(
                     raw, clean, rejected, rewritten, dim_employee, dim_department
                 ).first().asDict(),
                 lambda: validation.orphan_counts(rewritten, dim_employee, dim_department).first().asDict(),
-                lambda: _bucket_state(rewritten),
+                lambda: _cell_state(rewritten),
             )
-            held = [b.asDict() for b in parent["fact_buckets"] if b["bucket"] not in buckets]
-            written = [{"bucket": b, "run_id": run_id, "row_count": s["row_count"]} for b, s in buckets.items()]
-            counts["fact_count"] = sum(b["row_count"] for b in held + written)
+            held = [c.asDict() for c in parent["fact_cells"] if (c[fact.PERIOD], c[fact.BUCKET]) not in touched]
+            rows = {c: [s[c] for s in written] for c in ("row_count", "last_key")}
+            counts["fact_count"] = sum(c["row_count"] for c in held) + sum(rows["row_count"])
             validation.require_valid(counts)
             if any(orphans.values()):
                 raise ForeignKeyViolation(str(orphans))
@@ -190,10 +190,8 @@ def load_batch(
                 parent, run_id, watermark, as_of,
                 dim_department_run=run_id, dim_employee_run=run_id,
                 last_department_key=department_key, last_employee_key=employee_key,
-                last_transaction_key=max(
-                    [parent["last_transaction_key"]] + [s["last_key"] for s in buckets.values()]
-                ),
-                fact_buckets=held + written,
+                last_transaction_key=max([parent["last_transaction_key"], *rows["last_key"]]),
+                fact_cells=held + [s.asDict() | {"run_id": run_id} for s in written],
             )
     return RunResult(run_id, commit, counts, seconds)
 
@@ -222,24 +220,34 @@ def _load_employees(
     return written, last_key(written, "employee_key")
 
 
-def _touched_buckets(clean: DataFrame, slots: int) -> list[int]:
-    """Buckets the batch may change; refuses a batch with two rows for one transaction."""
-    per_id = clean.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("copies"))
-    per_bucket = per_id.groupBy(slot_of("transaction_id", slots).alias(SLOT)).agg(
-        F.count_if(F.col("copies") > 1).alias("repeated")
+def _touched_cells(warehouse: Warehouse, parent: Row, clean: DataFrame) -> set[tuple[str, int]]:
+    """Fact cells a batch may change: those its rows go to, and those that hold earlier versions.
+
+    Refuses a batch with two rows for one transaction. Earlier versions are looked up by id alone,
+    in the buckets of the batch; results are at most one row per cell.
+    """
+    cells = fact.cell_columns(parent["fact_bucket_count"], parent["fact_period"])
+    per_id = clean.groupBy("transaction_id").agg(
+        F.count(F.lit(1)).alias("copies"), F.max("created_at").alias("created_at")
     )
-    rows = per_bucket.collect()  # at most one row per bucket
+    per_cell = per_id.withColumns(cells).groupBy(*fact.CELL).agg(F.count_if(F.col("copies") > 1).alias("repeated"))
+    rows = per_cell.collect()
     repeated = sum(r["repeated"] for r in rows)
     if repeated:
         raise DuplicateUpsertKey(f"DUPLICATE_UPSERT_KEY: fact_transactions.transaction_id: {repeated}")
-    return [r[SLOT] for r in rows]
+    touched = {(r[fact.PERIOD], r[fact.BUCKET]) for r in rows}
+    if rows and parent["fact_cells"]:
+        located = warehouse.fact_locations(parent, {r[fact.BUCKET] for r in rows})
+        earlier = located.join(clean.select("transaction_id"), "transaction_id", "left_semi")
+        touched |= {tuple(r) for r in earlier.select(*fact.CELL).distinct().collect()}
+    return touched
 
 
-def _bucket_state(rewritten: DataFrame) -> dict[int, Row]:
-    per_bucket = rewritten.groupBy(SLOT).agg(
+def _cell_state(rewritten: DataFrame) -> list[Row]:
+    """Rows and last key of each rewritten cell."""
+    return rewritten.groupBy(*fact.CELL).agg(
         F.count(F.lit(1)).alias("row_count"), F.max("transaction_key").alias("last_key")
-    )
-    return {r[SLOT]: r for r in per_bucket.collect()}  # at most one row per bucket
+    ).collect()
 
 
 def _together(pool: ThreadPoolExecutor, *steps: Callable) -> list:

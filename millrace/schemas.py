@@ -60,8 +60,8 @@ ETL_CONTROL = _schema(
     seq=_long, run_id=_str, parent_run_id=_str,
     dim_department_run=_str, dim_employee_run=_str,
     last_department_key=_long, last_employee_key=_long, last_transaction_key=_long,
-    fact_bucket_count=T.IntegerType(),
-    fact_buckets=T.ArrayType(_schema(bucket=T.IntegerType(), run_id=_str, row_count=_long)),
+    fact_bucket_count=T.IntegerType(), fact_period=_str,
+    fact_cells=T.ArrayType(_schema(period=_str, bucket=T.IntegerType(), run_id=_str, row_count=_long)),
 )
 
 

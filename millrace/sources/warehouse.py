@@ -1,4 +1,4 @@
-"""Tables at rest: run-scoped staging, dimension snapshots, fact buckets and the control table.
+"""Tables at rest: run-scoped staging, dimension snapshots, fact cells and the control table.
 
 Every run writes under paths of its own. Readers resolve tables through the latest control row of
 the pipeline, so appending that row publishes the run and nothing before it is visible. A single
@@ -8,7 +8,7 @@ writer per pipeline is assumed; a run whose parent is no longer the latest commi
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Sequence
 from datetime import datetime
 
 import pyarrow as pa
@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
-from millrace.operators.upsert import SLOT
+from millrace.operators.fact import BUCKET, CELL, PERIOD
 
 PIPELINE = "transactions_pipeline"
 _FACT_FILES = T.StructType(
     schemas.FACT_TRANSACTIONS.fields
-    + [T.StructField(SLOT, T.IntegerType()), T.StructField("run_id", T.StringType())]
+    + [T.StructField(PERIOD, T.StringType()), T.StructField(BUCKET, T.IntegerType())]
+    + [T.StructField("run_id", T.StringType())]
 )
 
 
@@ -46,15 +47,24 @@ def shared_folder(spark: SparkSession) -> str:
 class Warehouse:
     """A warehouse below one root folder.
 
-    ``buckets`` is the number of hash buckets of the fact, fixed by the first load. An incremental
-    run rewrites the buckets its batch touches, so choose it for buckets of some hundred megabytes.
+    The fact is stored in cells, by period of creation and hash bucket of the transaction id, both
+    fixed when the pipeline is registered. A run rewrites only cells its batch touches: a small
+    batch touches few buckets, a large one few periods. Choose them for cells of some hundred
+    megabytes. ``spread`` is the number of tasks, and files, per bucket when cells are rewritten.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, pipeline: str = PIPELINE, buckets: int = 64, dimension_slots: int = 64
+        self,
+        spark: SparkSession,
+        root: str,
+        pipeline: str = PIPELINE,
+        buckets: int = 64,
+        period: str = "month",
+        spread: int = 1,
+        dimension_slots: int = 64,
     ):
         self.spark, self.root, self.pipeline = spark, root.rstrip("/"), pipeline
-        self.buckets, self.dimension_slots = buckets, dimension_slots
+        self.buckets, self.period, self.spread, self.dimension_slots = buckets, period, spread, dimension_slots
 
     # control
 
@@ -88,7 +98,7 @@ class Warehouse:
         return self._append(
             pipeline_name=self.pipeline, last_successful_watermark=watermark, seq=0, run_id="registered",
             last_department_key=0, last_employee_key=0, last_transaction_key=0,
-            fact_bucket_count=self.buckets, fact_buckets=[],
+            fact_bucket_count=self.buckets, fact_period=self.period, fact_cells=[],
         )
 
     def publish(self, parent: Row, run_id: str, watermark: datetime | None, as_of: datetime, **state) -> Row | None:
@@ -151,25 +161,34 @@ class Warehouse:
         commit = commit or self.latest()
         return self._dimension(commit and commit["dim_employee_run"], "dim_employee", schemas.DIM_EMPLOYEE)
 
-    def fact_transactions(self, commit: Row | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
-        """The fact as of a commit, or only some of its buckets."""
+    def fact_transactions(self, commit: Row | None = None, cells: Collection[tuple[str, int]] | None = None) -> DataFrame:
+        """The fact as of a commit, or only some of its cells."""
         commit = commit or self.latest()
-        wanted = None if buckets is None else set(buckets)
-        held = [b for b in (commit["fact_buckets"] if commit else []) if wanted is None or b["bucket"] in wanted]
-        return self._fact_files([f"run_id={b['run_id']}/{SLOT}={b['bucket']}" for b in held])
+        held = commit["fact_cells"] if commit else []
+        if cells is not None:
+            held = [c for c in held if (c[PERIOD], c[BUCKET]) in cells]
+        return self._fact_files([_folder(c) for c in held]).select(*schemas.FACT_TRANSACTIONS.names)
+
+    def fact_locations(self, commit: Row, buckets: Collection[int]) -> DataFrame:
+        """Transaction ids held in some buckets, with the cell each is in; reads the ids only."""
+        held = [c for c in commit["fact_cells"] if c[BUCKET] in buckets]
+        return self._fact_files([_folder(c) for c in held]).select("transaction_id", *CELL)
 
     def write_fact(self, df: DataFrame, run_id: str) -> DataFrame:
-        """Write the rewritten buckets of a run; ``df`` carries the bucket of each row."""
-        df.write.mode("overwrite").partitionBy(SLOT).parquet(f"{self.root}/fact_transactions/run_id={run_id}")
-        return self._fact_files([f"run_id={run_id}"], with_bucket=True)
+        """Write the rewritten cells of a run; ``df`` carries the cell of each row."""
+        df.write.mode("overwrite").partitionBy(*CELL).parquet(f"{self.root}/fact_transactions/run_id={run_id}")
+        return self._fact_files([f"run_id={run_id}"]).drop("run_id")
 
-    def _fact_files(self, folders: list[str], with_bucket: bool = False) -> DataFrame:
-        columns = schemas.FACT_TRANSACTIONS.names + ([SLOT] if with_bucket else [])
+    def _fact_files(self, folders: list[str]) -> DataFrame:
         base = f"{self.root}/fact_transactions"
         if not folders:
-            return empty(self.spark, _FACT_FILES).select(*columns)
+            return empty(self.spark, _FACT_FILES)
         reader = self.spark.read.schema(_FACT_FILES).option("basePath", base)
-        return reader.parquet(*[f"{base}/{folder}" for folder in folders]).select(*columns)
+        return reader.parquet(*[f"{base}/{folder}" for folder in folders])
+
+
+def _folder(cell: Row) -> str:
+    return f"run_id={cell['run_id']}/{PERIOD}={cell[PERIOD]}/{BUCKET}={cell[BUCKET]}"
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -57,14 +57,35 @@ def test_first_load_update_and_empty_batch(make, warehouse, reference):
     assert warehouse.control().count() == 4
 
 
-def test_only_touched_buckets_are_rewritten(make, warehouse, reference):
+def test_a_row_can_move_to_another_period(make, warehouse, reference):
+    warehouse.register(START)
+    created = [at(f"2024-0{1 + i % 3}-01T00:00") for i in range(30)]
+    first = make.transactions(
+        *[dict(transaction_id=f"T{i}", created_at=c, last_updated_at=c.replace(day=9)) for i, c in enumerate(created)]
+    )
+    before = run_incremental(warehouse, first, *reference, at("2024-04-01T00:00")).commit
+    assert len(before["fact_cells"]) == 12
+    keys = dict(facts(warehouse, "transaction_id", "transaction_key"))
+    moving = make.transactions(
+        dict(transaction_id="T0", created_at=at("2024-04-05T00:00"), last_updated_at=at("2024-04-06T00:00"))
+    )
+    result = run_incremental(warehouse, moving, *reference, NOW)
+    moved = [c for c in result.commit["fact_cells"] if c["run_id"] == result.run_id]
+    assert {c["period"] for c in moved} == {"2024-01", "2024-04"} and len({c["bucket"] for c in moved}) == 1
+    assert result.counts["fact_count"] == 30
+    assert dict(facts(warehouse, "transaction_id", "transaction_key")) == keys
+    ((when,),) = warehouse.fact_transactions().where("transaction_id = 'T0'").select("created_at").collect()
+    assert when == at("2024-04-05T00:00")
+
+
+def test_only_touched_cells_are_rewritten(make, warehouse, reference):
     warehouse.register(START)
     first = make.transactions(*[dict(transaction_id=f"T{i}") for i in range(40)])
     before = run_incremental(warehouse, first, *reference, at("2024-02-01T00:00")).commit
     one = make.transactions(dict(transaction_id="T7", last_updated_at=at("2024-03-01T00:00")))
     after = run_incremental(warehouse, one, *reference, NOW).commit
-    moved = [b for b in after["fact_buckets"] if b["run_id"] == after["run_id"]]
-    assert len(moved) == 1 and len(after["fact_buckets"]) == len(before["fact_buckets"]) == 4
+    moved = [c for c in after["fact_cells"] if c["run_id"] == after["run_id"]]
+    assert len(moved) == 1 and len(after["fact_cells"]) == len(before["fact_cells"]) == 4
     assert warehouse.fact_transactions().count() == 40
     # the earlier commit still reads as it was
     assert warehouse.fact_transactions(before).where(F.col("last_updated_at") > at("2024-02-01T00:00")).isEmpty()
@@ -207,7 +228,7 @@ def test_windows_add_up_to_one_window(make, warehouse, reference, spark, tmp_pat
     )
     warehouse.register(START)
     whole = run_incremental(warehouse, raw, *reference, NOW)
-    parts = Warehouse(spark, str(tmp_path / "parts"), buckets=3)
+    parts = Warehouse(spark, str(tmp_path / "parts"), buckets=3, period="year", spread=2)
     parts.register(START)
     for month in (3, 4, 6):
         last = run_incremental(parts, raw.where(f"last_updated_at < TIMESTAMP_NTZ '2024-0{month}-01'"), *reference, NOW)
