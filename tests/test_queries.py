@@ -1,7 +1,8 @@
-"""Every registered query against its SQL counterpart."""
+"""Every registered query against its SQL counterpart, and its plan against the rules for all plans."""
 
 import compare
 import pytest
+from conftest import plan_of
 
 import __spark_entry__ as entry_points
 
@@ -19,7 +20,25 @@ def test_each_query_has_a_counterpart():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(name, spark, sf_dir, con):
-    compare.assert_same(QUERIES[name](spark, sf_dir), con, ORACLE[name])
+    df = QUERIES[name](spark, sf_dir)
+    check_plan(plan_of(df))
+    compare.assert_same(df, con, ORACLE[name])
+
+
+def check_plan(plan):
+    """No cross join, no Python in the plan, no window over a whole table."""
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas", "MapInArrow"):
+        assert operator not in plan
+    for line in plan.splitlines():
+        if "- Window [" in line:
+            # "Window [functions], [partition columns], [order]": the middle list must not be empty
+            assert "], [], [" not in line and not line.rstrip().endswith("], []")
+
+
+def test_a_window_over_a_whole_table_would_be_noticed(spark):
+    plan = plan_of(spark.range(3).selectExpr("row_number() OVER (ORDER BY id) AS n"))
+    with pytest.raises(AssertionError):
+        check_plan(plan)
 
 
 def test_entry(spark):

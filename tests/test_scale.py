@@ -9,14 +9,10 @@ from conftest import at, plan_of
 from pyspark.sql import functions as F
 
 from millrace.operators import quality, reference, transactions, validation
-from millrace.plans import catalog
 from millrace.plans.catalog import AS_OF, TODAY, WINDOW_START, Sample
 from millrace.schemas import TRANSACTIONS, orphan_keys
 from millrace.sources.incremental import incremental_window
 
-STORES = ("loaded_", "control_", "fact_after", "staged_", "employees_sheet", "departments_sheet")
-LAZY = [name for name in catalog.queries() if not name.startswith(STORES)]
-
 
 @contextmanager
 def settings(spark, **values):
@@ -31,19 +27,6 @@ def settings(spark, **values):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-@pytest.mark.parametrize("name", LAZY)
-def test_plan_has_no_cross_join_python_or_global_window(name, spark, sf_dir):
-    plan = plan_of(catalog.queries()[name](spark, sf_dir))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas", "Scan ExistingRDD"):
-        assert operator not in plan
-    for line in plan.splitlines():
-        if " Window [" in line or "- Window [" in line:
-            assert "windowspecdefinition(" in line
-            first = line.split("windowspecdefinition(")[1]
-            assert not first.startswith(("specifiedwindowframe", "ASC", "DESC"))
-            assert not line.rstrip().endswith("[], []")
-
-
 @pytest.fixture(scope="module")
 def stored(spark, sf_dir, tmp_path_factory):
     """The raw transactions as files partitioned by update day."""
