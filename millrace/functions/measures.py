@@ -19,7 +19,18 @@ def cycle_hours(created: str, completed: str) -> Column:
 
     Whole hundredths of an hour are counted in integers: exact, without wide decimals.
     """
-    us = F.timestamp_diff("MICROSECOND", F.col(created), F.col(completed))
+    elapsed = F.col(completed) - F.col(created)
+
+    def part(unit: str) -> Column:
+        return F.extract(F.lit(unit), elapsed)
+
+    # from the interval's fields: a timestamp difference function would go through the session's zone
+    us = (
+        part("DAY").cast("bigint") * 86_400_000_000
+        + part("HOUR").cast("bigint") * 3_600_000_000
+        + part("MINUTE").cast("bigint") * 60_000_000
+        + (part("SECOND") * 1_000_000).cast("bigint")
+    )
     whole = F.call_function("div", us, F.lit(_HUNDREDTH_HOUR_US))
     rest = us % _HUNDREDTH_HOUR_US
     half = _HUNDREDTH_HOUR_US // 2

@@ -169,6 +169,20 @@ def test_cycle_hours_rounds_halves_away_from_zero(spark, completed, expected):
     assert df.select(measures.cycle_hours("a", "b")).first()[0] == (expected and Decimal(expected))
 
 
+def test_the_session_time_zone_does_not_matter(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        over_a_clock_change = spark.createDataFrame(
+            [(at("2024-03-09T12:00"), at("2024-03-10T12:00"))], "a timestamp_ntz, b timestamp_ntz"
+        )
+        assert over_a_clock_change.select(measures.cycle_hours("a", "b")).first()[0] == Decimal("24.00")
+        due = over_a_clock_change.withColumn("p", F.lit("Low")).select(measures.due_by_priority("a", "p"))
+        assert due.first()[0] == at("2024-03-16T12:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_sla_is_strict_and_three_valued(spark):
     rows = [
         (None, at("2024-01-01T00:00")), (at("2024-01-01T00:00"), at("2024-01-01T00:00")),
