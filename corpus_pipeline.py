@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import cube, decontaminate, jaccard_join, langid, token_files
-from millrace.llm.queries import END, TOKENIZER
+from millrace.llm.queries import END, tokenizer
 from millrace.llm.workspace import written
 
 
@@ -41,7 +40,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as token files; per document its place and checksum, as read back."""
-    return token_files.token_digests(docs, public_tokenizers.path(TOKENIZER), END)
+    return token_files.token_digests(docs, tokenizer(), END)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
