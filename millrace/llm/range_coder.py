@@ -29,7 +29,7 @@ MAGIC = b"MRC1"
 LANES = 8192
 #: Steps of a full block, so that a block has up to LANES * STEPS ids.
 STEPS = 512
-_HEADER = struct.Struct("<4s6I")
+_HEADER = "<4s6I"
 _SCALE = 24
 _SHARE = 20
 _CONTEXTS = 20
@@ -176,16 +176,16 @@ def encode(ids: np.ndarray, lanes: int = LANES, steps: int = STEPS) -> bytes:
         code[np.arange(width), used] = (coder.low >> _U(half)) & _U(0xFFFFFFFF)
         used += 1
     taken = code[np.arange(code.shape[1]) < used[:, None]]
-    head = _HEADER.pack(MAGIC, width, length, n, alphabet, len(taken), zlib.crc32(ids.tobytes()))
+    head = struct.pack(_HEADER, MAGIC, width, length, n, alphabet, len(taken), zlib.crc32(ids.tobytes()))
     return head + used.astype("<u4").tobytes() + taken.tobytes()
 
 
 def decode(block: bytes) -> tuple[np.ndarray, int]:
     """The ids of the block at the head of ``block``, and its length in bytes. Raises on a wrong checksum."""
-    magic, width, length, n, alphabet, words, checksum = _HEADER.unpack_from(block)
+    magic, width, length, n, alphabet, words, checksum = struct.unpack_from(_HEADER, block)
     if magic != MAGIC:
         raise ValueError("not a block of token ids")
-    at = _HEADER.size
+    at = struct.calcsize(_HEADER)
     used = np.frombuffer(block, dtype="<u4", count=width, offset=at).astype(np.int64)
     code = np.frombuffer(block, dtype="<u4", count=words, offset=at + 4 * width).astype(np.uint64)
     end = at + 4 * (width + words)
