@@ -222,12 +222,18 @@ def rendered(kind_: Column, mention: Column, fresh: Column) -> Column:
     each = lambda f: F.array_join(F.transform(places, f), "")
     title = F.regexp_extract(mention, rf"^((?:{_TITLES})\.? )", 1)
     name = F.substring(mention, F.length(title) + 1, F.length(mention))
+    spelled = F.split(name, " ")
+
+    def word(new: Column, i: Column) -> Column:
+        old = F.get(spelled, i)
+        return F.when((old == F.upper(old)) & (F.length(old) > 1), F.upper(new)).otherwise(F.initcap(new))
+
     return (
         F.when(kind_ == "email", each(cased))
         .when(kind_.isin("phone", "card", "ssn"), each(digit))
         .when(kind_ == "iban", each(spaced))
         .when(kind_ == "password", F.concat(F.regexp_extract(mention, r"^([^=:]*[=:])", 1), fresh))
-        .when(kind_ == "name", F.concat(title, F.when(name == F.upper(name), F.upper(fresh)).otherwise(F.initcap(fresh))))
+        .when(kind_ == "name", F.concat(title, F.array_join(F.transform(F.split(fresh, " "), word), " ")))
         .otherwise(fresh)
     )
 

@@ -28,6 +28,8 @@ from millrace.llm.workspace import workspace
 SEGMENT_IDS = range_coder.LANES * range_coder.STEPS
 #: Distinct pieces of text whose ids a task keeps.
 KEPT_PIECES = 1 << 20
+#: Bytes of text tokenised at a time: the longer, the more pieces repeat.
+STEP_BYTES = 12 << 20
 _FILE = "shard int, segment long, n_ids long, doc_ids array<long>, lengths array<int>, code binary"
 
 
@@ -175,10 +177,11 @@ class PieceEncoder:
         # lower-casing of ASCII came first and changes no ids; the library does the rest
         flat, sizes = self._distinct([raw[s:e].decode() for s, e in spans])
         begins = len(self.ids) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        order = np.argsort(np.concatenate((self.known, unique[fresh])), kind="stable")
-        self.known = np.concatenate((self.known, unique[fresh]))[order]
-        self.sizes = np.concatenate((self.sizes, sizes))[order]
-        self.begins = np.concatenate((self.begins, begins))[order]
+        # both are in order, so the new ones are let in at their places
+        at = found[fresh]
+        self.known = np.insert(self.known, at, unique[fresh])
+        self.sizes = np.insert(self.sizes, at, sizes)
+        self.begins = np.insert(self.begins, at, begins)
         self.ids = np.concatenate((self.ids, flat))
 
 
@@ -211,7 +214,7 @@ def _writer(tokenizer: str, end: int, segment_ids: int) -> Callable[[Iterator[pa
                 schema=pa.schema([("shard", pa.int32()), ("segment", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("code", pa.binary())]),
             )
 
-        for batch in text.steps(batches, "text"):
+        for batch in text.steps(batches, "text", STEP_BYTES):
             ids, counts = encoder.encode(batch.column("text"), end)
             docs, at, done = batch.column("doc_id"), 0, 0
             total = np.cumsum(counts)

@@ -254,7 +254,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, np.ndarray]:
     # texts too short to judge teach nothing
     silent = int(_patterns(np.full((1, len(LABELLERS)), SILENT))[0])
     drawn = drawn.where((F.size("columns") > 0) & (F.col("pattern") != silent)).toPandas().sort_values(["doc_id", "pattern"], kind="stable")
-    sizes = drawn["columns"].map(len).to_numpy()
+    sizes = drawn["columns"].map(len).to_numpy().astype(np.int64)
     rows = np.repeat(np.arange(len(drawn)), sizes)
     columns = np.concatenate([*drawn["columns"], np.zeros(0, dtype=np.int64)]).astype(np.int64)
     values = np.concatenate([*drawn["values"], np.zeros(0)])
