@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from millrace.llm import bloom, text
 from millrace.llm.components import components
-from millrace.llm.workspace import apart, written
+from millrace.llm.workspace import apart, spare, written
 
 SHINGLE = 5
 #: Similarity in hundredths.
@@ -265,11 +265,12 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMIL
         reader = _reader()
         for batch in text.steps(batches, "text"):
             keys = [_digest(s.tobytes()) if len(s) else None for s in _sets(reader, batch.column("text"), shingle)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=[*batch.schema.names, "set_key"])
-
-    own = docs.drop(*[c for c in docs.columns if c.lower() in ("set_key", "kept_id", "kept_key")])
-    schema = T.StructType([*own.schema.fields, T.StructField("set_key", T.BinaryType())])
-    rows = written(own.mapInArrow(keyed, schema), "keyed")
-    full = rows.where("set_key IS NOT NULL").withColumn("known_id", _known(F.col("doc_id")))
-    full = full.join(kept, (F.col("known_id") == F.col("kept_id")) & (F.col("set_key") == F.col("kept_key")), "left_semi").dropDuplicates(["known_id", "set_key"])
-    return full.select(*own.columns).unionByName(rows.where("set_key IS NULL").select(*own.columns))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=[*batch.schema.names, set_key])
+
+    set_key, known_id = spare(docs, "set_key"), spare(docs, "known_id")
+    schema = T.StructType([*docs.schema.fields, T.StructField(set_key, T.BinaryType())])
+    rows = written(docs.mapInArrow(keyed, schema), "keyed")
+    full = rows.where(F.col(set_key).isNotNull()).withColumn(known_id, _known(F.col("doc_id")))
+    kept = kept.withColumnsRenamed({"kept_id": known_id, "kept_key": set_key})
+    full = full.join(kept, [known_id, set_key], "left_semi").dropDuplicates([known_id, set_key])
+    return full.select(*docs.columns).unionByName(rows.where(F.col(set_key).isNull()).select(*docs.columns))

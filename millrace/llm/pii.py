@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.workspace import apart, written
+from millrace.llm.workspace import apart, spare, written
 
 #: Attempts after which a kind's values are taken to be used up.
 MOST_ATTEMPTS = 60
@@ -160,12 +160,12 @@ def _checked_iban(value: Column, seed: Column) -> Column:
 def _fresh_name(value: Column, gender: Column, seed: Column, key: str, attempt: Column) -> Column:
     """A surname of syllables, and a given name if there was one.
 
-    A surname has the same surrogate with every given name. Later attempts draw other given names, and
-    for surnames alone and when given names run out, other and longer surnames.
+    A surname has the same surrogate with every given name. Later attempts draw other and longer given
+    names; a surname alone is drawn anew, and gets longer.
     """
     syllables = F.array(*[F.lit(s) for s in SYLLABLES])
     last = F.substring_index(value, " ", -1)
-    redraw = F.when(value.contains(" "), F.floor(attempt / 8)).otherwise(attempt).cast("int")
+    redraw = F.when(value.contains(" "), F.lit(0)).otherwise(attempt).cast("int")
     own = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("surname"), last, redraw.cast("string")), 256)
     count = F.lit(4) + F.floor(redraw / 4).cast("int")
     surname = F.array_join(F.transform(F.sequence(F.lit(1), count), lambda i: F.element_at(syllables, (_drawn(own, i, len(SYLLABLES)) + 1).cast("int"))), "")
@@ -173,6 +173,8 @@ def _fresh_name(value: Column, gender: Column, seed: Column, key: str, attempt:
     for name, pool in GIVEN.items():
         found = F.element_at(F.array(*[F.lit(p.lower()) for p in pool]), (_drawn(seed, F.lit(0), len(pool)) + 1).cast("int"))
         given = F.when(gender == name, found).otherwise(given)
+    more = F.transform(F.sequence(F.lit(0), F.floor(attempt / 2).cast("int")), lambda i: F.when(i > 0, F.element_at(syllables, (_drawn(seed, i, len(SYLLABLES)) + 1).cast("int"))).otherwise(""))
+    given = F.concat(given, F.array_join(more, ""))
     latin = F.when(value.contains(" "), F.concat(given, F.lit(" "), surname)).otherwise(surname)
     # names of other scripts keep their shape in that script
     return F.when(value.rlike(r"[\p{IsCyrillic}\p{IsGreek}]"), _redrawn(value, seed)).otherwise(latin)
@@ -265,14 +267,15 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 def pseudonymised(docs: DataFrame, key: str, keep: Sequence[str] = ()) -> DataFrame:
     """The rows of ``docs`` with surrogates in ``text``, and n_entities. ``keep``: kinds left as they are."""
-    columns = [c for c in docs.columns if c.lower() not in ("n_entities", "mentions", "list_hash")]
+    columns = [c for c in docs.columns if c.lower() != "n_entities"]
+    mentions, list_hash = spare(docs, "mentions"), spare(docs, "list_hash")
     wanted = "|".join(p for name, p in PATTERNS.items() if name not in keep)
-    found = docs.select(*columns, F.regexp_extract_all("text", F.lit(wanted), F.lit(0)).alias("mentions"))
-    found = found.withColumn("list_hash", F.when(F.size("mentions") > 0, F.sha2(F.array_join("mentions", "\x1f"), 256)))
+    found = docs.select(*columns, F.regexp_extract_all("text", F.lit(wanted), F.lit(0)).alias(mentions))
+    found = found.withColumn(list_hash, F.when(F.size(mentions) > 0, F.sha2(F.array_join(mentions, "\x1f"), 256)))
     found = written(found, "mentions")
-    without = found.where("list_hash IS NULL").select(*columns, F.lit(0).cast("long").alias("n_entities"))
-    holders = found.where("list_hash IS NOT NULL")
-    lists = written(holders.groupBy("list_hash").agg(F.first("mentions").alias("mentions")), "lists")
+    without = found.where(F.col(list_hash).isNull()).select(*columns, F.lit(0).cast("long").alias("n_entities"))
+    holders = found.where(F.col(list_hash).isNotNull())
+    lists = written(holders.groupBy(F.col(list_hash).alias("list_hash")).agg(F.first(mentions).alias("mentions")), "lists")
     spelled = lists.select(F.explode("mentions").alias("mention")).distinct().withColumn("kind", kind(F.col("mention")))
     spelled = spelled.withColumn("value", canonical(F.col("kind"), F.col("mention")))
     spelled = written(spelled.withColumn("gender", F.when(F.col("kind") == "name", _gender(F.col("mention")))), "spellings")
@@ -282,13 +285,14 @@ def pseudonymised(docs: DataFrame, key: str, keep: Sequence[str] = ()) -> DataFr
     named = spelled.select("mention", F.col("kind").alias("its_kind"), F.col("value").alias("its_value"))
     table = named.join(fresh, (F.col("its_kind") == F.col("kind")) & (F.col("its_value") == F.col("value")))
     table = written(table.select(F.col("mention").alias("old"), rendered(F.col("kind"), F.col("mention"), F.col("fresh")).alias("new")), "renderings")
-    places = lists.select(F.col("list_hash").alias("of"), F.posexplode("mentions").alias("place", "mention"))
+    places = lists.select("list_hash", F.posexplode("mentions").alias("place", "mention"))
     placed = places.join(table, F.col("mention") == F.col("old"))
-    replaced = placed.groupBy("of").agg(F.array_sort(F.collect_list(F.struct("place", "new"))).alias("new"))
+    new = spare(docs, "new")
+    replaced = placed.groupBy("list_hash").agg(F.array_sort(F.collect_list(F.struct("place", "new"))).alias(new)).withColumnRenamed("list_hash", list_hash)
     pieces = F.split("text", wanted, -1)
     joined = F.array_join(
-        F.transform(F.sequence(F.lit(1), F.size(pieces)), lambda i: F.concat(F.element_at(pieces, i), F.coalesce(F.get("new", i - 1)["new"], F.lit("")))), ""
+        F.transform(F.sequence(F.lit(1), F.size(pieces)), lambda i: F.concat(F.element_at(pieces, i), F.coalesce(F.get(new, i - 1)["new"], F.lit("")))), ""
     )
-    changed = holders.join(replaced, F.col("list_hash") == F.col("of")).withColumn("text", joined)
-    changed = changed.select(*columns, F.size("mentions").cast("long").alias("n_entities"))
+    changed = holders.join(replaced, list_hash).withColumn("text", joined)
+    changed = changed.select(*columns, F.size(mentions).cast("long").alias("n_entities"))
     return changed.unionByName(without)

@@ -25,3 +25,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def apart(df: DataFrame) -> DataFrame:
     """The same rows under columns of their own, for another side of a join with themselves."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
+def spare(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -74,7 +74,7 @@ def luhn(digits):
 
 
 def test_surrogates(spark):
-    df = spark.createDataFrame(ENTITIES, "doc_id long, text string").withColumn("n_entities", F.lit("clash"))
+    df = spark.createDataFrame(ENTITIES, "doc_id long, text string").withColumn("n_entities", F.lit("clash")).withColumn("mentions", F.lit(1))
     rows = pii.pseudonymised(df, "k").collect()
     by = defaultdict(list)
     for r in rows:
@@ -233,7 +233,7 @@ def test_neighbours_recall_on_the_sample(spark, sf_dir):
 def test_decontamination(spark, awkward, empty):
     docs = awkward.withColumn("hits", F.lit(1)).withColumn("N_words", F.lit(2))
     texts = {r.doc_id: r.text for r in awkward.collect()}
-    items = [(1, " ".join(texts[7].split()[10:30])), (2, "“é” 日本"), (3, None), (4, "..."), (5, " ".join(texts[42].split()[100:118]).upper()), (6, "no such words here")]
+    items = [(1, " ".join(texts[7].split()[10:30])), (2, "…“é” 日本"), (3, None), (4, "..."), (5, " ".join(texts[42].split()[100:118]).upper()), (6, "no such words here")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     for words in (decontaminate.SET_WORDS, 14):
         got = {r.doc_id: r for r in decontaminate.judged(docs, benchmark, set_words=words).collect()}
