@@ -28,8 +28,6 @@ from millrace.llm.workspace import workspace
 SEGMENT_IDS = range_coder.LANES * range_coder.STEPS
 #: Distinct pieces of text whose ids a task keeps.
 KEPT_PIECES = 1 << 20
-#: Bytes of text tokenised at a time: the longer, the more pieces repeat.
-STEP_BYTES = 12 << 20
 _FILE = "shard int, segment long, n_ids long, doc_ids array<long>, lengths array<int>, code binary"
 
 
@@ -89,7 +87,8 @@ class PieceEncoder:
     def _odd(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Texts with characters beyond Latin-1 (where the first byte is over 0xC3) or control signs."""
         strange = (raw > 0xC3) | (raw == 0xC2) | (raw < 9) | ((raw > 13) & (raw < 32)) | (raw == 127)
-        total = np.concatenate(([0], np.cumsum(strange)))
+        total = np.zeros(len(raw) + 1, dtype=np.int32)
+        np.cumsum(strange, out=total[1:])
         return total[bounds[1:]] > total[bounds[:-1]]
 
     def _pieces(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +115,8 @@ class PieceEncoder:
         sign = sign[sign + 1 < len(data)]
         glue = (data == 39) | (data == 60)
         glue[sign[(data[sign + 1] == 0x97) | (data[sign + 1] == 0xB7)]] = True
-        glued = np.concatenate(([0], np.cumsum(glue)))
+        glued = np.zeros(len(data) + 1, dtype=np.int32)
+        np.cumsum(glue, out=glued[1:])
         turn = np.zeros(len(data) + 1, dtype=bool)
         turn[1:-1] = letter[1:] != letter[:-1]
         turns = np.flatnonzero(turn)
@@ -214,7 +214,7 @@ def _writer(tokenizer: str, end: int, segment_ids: int) -> Callable[[Iterator[pa
                 schema=pa.schema([("shard", pa.int32()), ("segment", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("code", pa.binary())]),
             )
 
-        for batch in text.steps(batches, "text", STEP_BYTES):
+        for batch in text.steps(batches, "text"):
             ids, counts = encoder.encode(batch.column("text"), end)
             docs, at, done = batch.column("doc_id"), 0, 0
             total = np.cumsum(counts)
