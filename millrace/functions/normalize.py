@@ -66,8 +66,14 @@ def transaction_status(column: Column | str) -> Column:
     )
 
 
-def cell(column: Column, source_type: T.DataType, target_type: T.DataType) -> Column:
-    """A spreadsheet cell in its contract type: NaN and unreadable cells become NULL."""
+def cell(column: Column, source_type: T.DataType, target_type: T.DataType, strict: bool = False) -> Column:
+    """A spreadsheet cell in its contract type: NaN becomes NULL, an unreadable cell too unless ``strict``, which raises."""
     if isinstance(source_type, (T.FloatType, T.DoubleType)):
         column = F.when(~F.isnan(column), column)
-    return column if source_type == target_type else column.try_cast(target_type)
+    if source_type == target_type:
+        return column
+    typed = column.try_cast(target_type)
+    if strict:
+        unreadable = F.raise_error(F.concat(F.lit(f"unreadable as {target_type.simpleString()}: "), column.cast("string")))
+        typed = F.when(column.isNotNull() & typed.isNull(), unreadable.cast(target_type)).otherwise(typed)
+    return typed

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.plans.load import load_batch
@@ -29,7 +30,9 @@ def stream_transactions(
     The checkpoint remembers which files are done, so a file is loaded whatever its update times
     are, and the watermark only ever moves up. Files may arrive out of order: a fact row is never
     replaced by an older version. Run ids are made of the query's id, which lives in the checkpoint,
-    and the batch number, so a micro-batch that is replayed after its commit is recognised.
+    and the batch number, so a micro-batch that is replayed after its commit is recognised. Rows without
+    update time can't be loaded; since their file won't be read again, they are kept by run below
+    ``untimed`` and read by ``untimed_transactions``.
     """
     query_id: Future[str] = Future()
     reader = warehouse.spark.readStream.schema(TRANSACTIONS)
@@ -37,9 +40,11 @@ def stream_transactions(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"stream-{query_id.result(timeout=60)}-{batch_id}"
+        run_id = f"stream-{query_id.result()}-{batch_id}"
         if warehouse.committed(run_id):
             return
+        untimed = batch.where(F.col("last_updated_at").isNull())
+        untimed.write.mode("overwrite").parquet(f"{warehouse.root}/untimed/run_id={run_id}")
         load_batch(
             warehouse,
             warehouse.watermark(),
@@ -61,3 +66,9 @@ def stream_transactions(
     )
     query_id.set_result(query.id)
     return query
+
+
+def untimed_transactions(warehouse: Warehouse) -> DataFrame:
+    """Rows that streams met without update time, with the run that met them."""
+    schema = T.StructType([*TRANSACTIONS.fields, T.StructField("run_id", T.StringType())])
+    return warehouse.spark.read.schema(schema).parquet(f"{warehouse.root}/untimed")

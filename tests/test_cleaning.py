@@ -229,7 +229,7 @@ def test_csv_sheet(spark, tmp_path):
     path.write_text(
         "a,b,c,d,e,f,g,h,i,j,k\n"
         ' E1 ,"x, y",,"",2024-01-05,Active,G,a@b.c,l,m,2024-01-05 10:00:00\n'
-        "E2,n,D1,j,soon,Active,G,a@b.c,l,m,never\n",
+        "E2,n,D1,j,,Active,G,a@b.c,l,m,\n",
         encoding="utf-8",
     )
     rows = sheets.read_employees(spark, str(path), "csv").collect()
@@ -239,6 +239,22 @@ def test_csv_sheet(spark, tmp_path):
     assert rows[1]["hire_date"] is None and rows[1]["source_updated_at"] is None
 
 
+@pytest.mark.parametrize("line", ["E2,n,D1,j,soon,Active,G,a@b.c,l,m,\n", "E2,n,D1,j\n", "E2,n,D1,j,,Active,G,a@b.c,l,m,,more\n"])
+def test_unreadable_cells_and_uneven_lines_fail(spark, tmp_path, line):
+    path = tmp_path / "employees.csv"
+    path.write_text("a,b,c,d,e,f,g,h,i,j,k\n" + line, encoding="utf-8")
+    with pytest.raises(Exception, match="unreadable as date|MALFORMED"):
+        sheets.read_employees(spark, str(path), "csv").collect()
+
+
+@pytest.mark.parametrize("header", ["a,b", "a,b,c,d,e,f,g,h"])
+def test_csv_of_wrong_width_is_refused(spark, tmp_path, header):
+    path = tmp_path / "departments.csv"
+    path.write_text(header + "\n" + header + "\n", encoding="utf-8")
+    with pytest.raises(ValueError):
+        sheets.read_departments(spark, str(path), "csv")
+
+
 def test_sheet_with_wrong_width_is_refused(spark):
     with pytest.raises(ValueError):
         sheets.bind_sheet(spark.range(1), T.StructType.fromDDL("a INT, b INT"))

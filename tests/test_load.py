@@ -12,7 +12,7 @@ from millrace.plans.load import load_batch, run_backfill, run_incremental
 from millrace.sources import warehouse as warehouse_module
 from millrace.sources.incremental import run_clock
 from millrace.sources.warehouse import ControlError, Warehouse
-from millrace.streaming.incremental import stream_transactions
+from millrace.streaming.incremental import stream_transactions, untimed_transactions
 
 START, NOW = at("2024-01-01T00:00"), at("2024-06-01T00:00")
 
@@ -248,6 +248,7 @@ def test_stream_skips_a_replayed_batch(make, warehouse, reference, tmp_path, mon
     make.transactions(dict(transaction_id="A", last_updated_at=at("2024-03-01T00:00")), dict(transaction_id="N", last_updated_at=None)).write.parquet(source)
     run()
     assert [r["seq"] for r in warehouse.control().orderBy("seq").collect()] == [0, 1]
+    assert [r["transaction_id"] for r in untimed_transactions(warehouse).collect()] == ["N"]
     run()  # nothing new
     assert warehouse.latest()["seq"] == 1
 

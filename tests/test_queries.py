@@ -7,8 +7,9 @@ import pytest
 from conftest import plan_of
 
 import __spark_entry__ as entry_points
+from millrace.plans import catalog, oracle
 
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
