@@ -12,7 +12,9 @@ whole word sequence if that is shorter. Two documents link if the Jaccard simila
 3. Within each shingle and size class every group is paired with the class's first group, members
    are verified against its first member, and components are formed. A group of near copies is linked
    by as many pairs as it has members, not by the square.
-4. What can still be missing are links between components. For shingles that occur in several, groups
+4. What is left beside the most frequent component of a shingle is paired with one of its groups, in
+   some rounds with another group each.
+5. What can still be missing are links between components. For shingles that occur in several, groups
    of all components but the most frequent are joined with the groups of all others, and the members
    of the pairs that pass the filters on size and place are verified.
 
@@ -45,6 +47,8 @@ SHINGLE = 5
 #: Similarity in hundredths.
 SIMILARITY = 80
 SKETCH_BITS = 21
+#: Rounds that link what is left to the largest component of each shingle, one pair per group.
+STAR_ROUNDS = 1
 _CHUNKS = 64
 _DOCS = "doc_id long, key binary, n int, prefix binary, group_key binary"
 
@@ -187,6 +191,25 @@ def _known(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 62)))
 
 
+def _mixed(tokens: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the shingles' groups by component, and the shingles that several components have, with the most frequent."""
+    kinds = placed.select(F.col("group").alias("own_group"), "component").distinct()
+    spread = written(tokens.join(kinds, F.col("group") == F.col("own_group")).drop("own_group"), "spread")
+    counted = spread.groupBy("token", "component").agg(F.count("*").alias("groups"))
+    mixed = counted.groupBy("token").agg(F.count("*").alias("kinds"), F.max_by("component", F.struct("groups", "component")).alias("main"))
+    return spread, written(mixed.where("kinds > 1").select("token", "main"), "mixed")
+
+
+def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """Nodes with the components that the links make of the ones before."""
+    of = apart(placed).select(F.col("node").alias("node_a"), F.col("component").alias("a"))
+    to = apart(placed).select(F.col("node").alias("node_b"), F.col("component").alias("b"))
+    bridges = links.select(F.col("a").alias("node_a"), F.col("b").alias("node_b")).join(of, "node_a").join(to, "node_b").select("a", "b").distinct()
+    merged = components(bridges).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    joined = placed.join(merged, F.col("component") == F.col("old"), "left")
+    return written(joined.select("node", "group", F.coalesce("new", "component").alias("component")), "placed")
+
+
 def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, key, n) of all documents, and (key, doc_id, component) for the distinct sets that aren't empty."""
     spark = docs.sparkSession
@@ -218,11 +241,19 @@ def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int
     # links between components
     placed = members.join(first.select(F.col("node").alias("linked_node"), "component"), F.col("node") == F.col("linked_node"), "left")
     placed = written(placed.select("node", "group", F.coalesce("component", "node").alias("component")), "placed")
-    kinds = placed.select(F.col("group").alias("own_group"), "component").distinct()
-    spread = written(tokens.join(kinds, F.col("group") == F.col("own_group")).drop("own_group"), "spread")
-    counted = spread.groupBy("token", "component").agg(F.count("*").alias("groups"))
-    mixed = counted.groupBy("token").agg(F.count("*").alias("kinds"), F.max_by("component", F.struct("groups", "component")).alias("main"))
-    mixed = written(mixed.where("kinds > 1").select("token", "main"), "mixed")
+    for turn in range(STAR_ROUNDS):
+        spread, mixed = _mixed(tokens, placed)
+        rest = spread.join(mixed, "token")
+        # one group of the most frequent component stands for it, another in each round
+        chosen = rest.where("component = main").groupBy("token").agg(F.min_by(F.struct("group", "n", "place"), F.xxhash64(F.lit(turn), "group")).alias("leader"))
+        near = rest.where("component != main").join(apart(chosen), "token")
+        near = near.where(_can_link(F.col("n"), F.col("place"), F.col("leader.n"), F.col("leader.place"), similarity))
+        near = near.select(F.col("group").alias("group_1"), F.col("component").alias("component_1"), F.col("leader.group").alias("group_2"), F.col("main").alias("component_2")).distinct()
+        stands = placed.groupBy(F.col("group").alias("group_2"), F.col("component").alias("component_2")).agg(F.min("node").alias("b"))
+        one = apart(placed).select(F.col("node").alias("a"), F.col("group").alias("group_1"), F.col("component").alias("component_1"))
+        pairs = near.join(one, ["group_1", "component_1"]).join(stands, ["group_2", "component_2"]).select("a", "b")
+        placed = _merged(placed, _links(docs, pairs, nodes, shingle, similarity))
+    spread, mixed = _mixed(tokens, placed)
     rest = spread.join(mixed, "token")
     fewer = rest.where("component != main").select("token", *[F.col(c).alias(f"{c}_1") for c in ("group", "component", "n", "place")])
     others = apart(rest)
@@ -231,13 +262,8 @@ def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int
     pairs = pairs.select("group_1", "component_1", F.col("group").alias("group_2"), F.col("component").alias("component_2")).distinct()
     one = placed.select(F.col("node").alias("a"), F.col("group").alias("group_1"), F.col("component").alias("component_1"))
     two = apart(placed).select(F.col("node").alias("b"), F.col("group").alias("group_2"), F.col("component").alias("component_2"))
-    more = _links(docs, pairs.join(one, ["group_1", "component_1"]).join(two, ["group_2", "component_2"]).select("a", "b"), nodes, shingle, similarity)
-    of = apart(placed).select(F.col("node").alias("node_a"), F.col("component").alias("a"))
-    to = apart(placed).select(F.col("node").alias("node_b"), F.col("component").alias("b"))
-    bridges = more.select(F.col("a").alias("node_a"), F.col("b").alias("node_b")).join(of, "node_a").join(to, "node_b").select("a", "b").distinct()
-    second = components(bridges).select(F.col("node").alias("old"), F.col("component").alias("new"))
-    final = placed.join(second, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component"))
-
+    more = pairs.join(one, ["group_1", "component_1"]).join(two, ["group_2", "component_2"]).select("a", "b")
+    final = _merged(placed, _links(docs, more, nodes, shingle, similarity)).select("node", "component")
     return rows.select("doc_id", "key", "n"), written(nodes.select("node", "key", "doc_id").join(final, "node").select("key", "doc_id", "component"), "components")
 
 
