@@ -16,7 +16,11 @@ whole word sequence if that is shorter. Two documents link if the Jaccard simila
    some rounds with another group each.
 5. What can still be missing are links between components. For shingles that occur in several, groups
    of all components but the most frequent are joined with the groups of all others, and the members
-   of the pairs that pass the filters on size and place are verified.
+   of the pairs that pass the filters on size, place and signature are verified.
+
+A signature holds, for each of ``SIGNATURE`` parts of the hash range, whether a set has an odd number of
+shingles there. Two sets differ in at least as many shingles as their signatures in bits, so that sets
+which are too far apart are told without being read. It only ever rules out pairs that can't link.
 
 Every pair that could link is thus verified or already connected; nothing is capped. Pairs are verified
 on the whole sets, which are read again from the texts of the nodes in question; a Bloom filter of
@@ -49,8 +53,10 @@ SIMILARITY = 80
 SKETCH_BITS = 21
 #: Rounds that link what is left to the largest component of each shingle, one pair per group.
 STAR_ROUNDS = 1
+#: Bits of a signature.
+SIGNATURE = 512
 _CHUNKS = 64
-_DOCS = "doc_id long, key binary, n int, prefix binary, group_key binary"
+_DOCS = "doc_id long, key binary, n int, prefix binary, group_key binary, signature array<long>"
 
 
 def _sets(reader: text.WordReader, texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
@@ -106,6 +112,12 @@ def _sketch(docs: DataFrame, shingle: int, bits: int) -> np.ndarray:
     return np.floor(2 * np.log2(np.maximum(1.0, total / mean))).astype(np.uint8)
 
 
+def _signature(own: np.ndarray) -> np.ndarray:
+    """For each part of the hash range whether the number of hashes in it is odd, as bits of 64-bit words."""
+    part = (own >> np.uint64(64 - SIGNATURE.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(part, minlength=SIGNATURE) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _digest(raw: bytes) -> bytes:
     return hashlib.blake2b(raw, digest_size=16).digest()
 
@@ -114,7 +126,7 @@ def _prefixes(classes: Broadcast, shingle: int, similarity: int, bits: int) -> C
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, rank = _reader(), classes.value
         for batch in text.steps(batches, "text"):
-            keys, sizes, parts, groups = [], [], [], []
+            keys, sizes, parts, groups, signatures = [], [], [], [], []
             for own in _sets(reader, batch.column("text"), shingle):
                 n = len(own)
                 length = n - -(-similarity * n // 100) + 1 if n else 0
@@ -124,8 +136,10 @@ def _prefixes(classes: Broadcast, shingle: int, similarity: int, bits: int) -> C
                 sizes.append(n)
                 parts.append(prefix)
                 groups.append(_digest(n.to_bytes(8, "little") + prefix))
+                signatures.append(_signature(own))
             arrays = [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(parts, pa.binary()), pa.array(groups, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "n", "prefix", "group_key"])
+            arrays.append(pa.array(signatures, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "n", "prefix", "group_key", "signature"])
 
     return prefixes
 
@@ -149,6 +163,12 @@ def _can_link(n1: Column, place1: Column, n2: Column, place2: Column, similarity
     return (100 * small >= similarity * large) & ((100 + similarity) * most >= similarity * (n1 + n2))
 
 
+def _near_enough(n1: Column, signature1: Column, n2: Column, signature2: Column, similarity: int) -> Column:
+    """By the bits in which the signatures differ; without a signature a pair passes."""
+    bits = [F.bit_count(signature1[i].bitwiseXOR(signature2[i])) for i in range(SIGNATURE // 64)]
+    return F.coalesce((100 + similarity) * sum(bits[1:], bits[0]) <= (100 - similarity) * (n1 + n2), F.lit(True))
+
+
 def _verified(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,6 +220,14 @@ def _mixed(tokens: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return spread, written(mixed.where("kinds > 1").select("token", "main"), "mixed")
 
 
+def _signed(rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """Rows of groups by component with the signature of their member, null where there are several."""
+    alone = placed.groupBy(F.col("group").alias("signed_group"), F.col("component").alias("signed_component"))
+    alone = alone.agg(F.when(F.count("*") == 1, F.first("signature")).alias("signature"))
+    same = (F.col("group") == F.col("signed_group")) & (F.col("component") == F.col("signed_component"))
+    return rows.join(alone, same).drop("signed_group", "signed_component")
+
+
 def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
     """Nodes with the components that the links make of the ones before."""
     of = apart(placed).select(F.col("node").alias("node_a"), F.col("component").alias("a"))
@@ -207,7 +235,7 @@ def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
     bridges = links.select(F.col("a").alias("node_a"), F.col("b").alias("node_b")).join(of, "node_a").join(to, "node_b").select("a", "b").distinct()
     merged = components(bridges).select(F.col("node").alias("old"), F.col("component").alias("new"))
     joined = placed.join(merged, F.col("component") == F.col("old"), "left")
-    return written(joined.select("node", "group", F.coalesce("new", "component").alias("component")), "placed")
+    return written(joined.select("node", "group", "n", "signature", F.coalesce("new", "component").alias("component")), "placed")
 
 
 def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int) -> tuple[DataFrame, DataFrame]:
@@ -216,12 +244,12 @@ def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     classes = spark.sparkContext.broadcast(_sketch(docs, shingle, sketch_bits))
     rows = written(docs.mapInArrow(_prefixes(classes, shingle, similarity, sketch_bits), _DOCS), "prefixes")
-    distinct = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "prefix", "group_key")])
+    distinct = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "prefix", "group_key", "signature")])
     nodes = written(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
     groups = nodes.groupBy("group_key").agg(F.min("node").alias("group"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     groups = written(groups, "groups")
-    members = nodes.select("node", F.col("group_key").alias("own_key")).join(groups.select("group_key", "group"), F.col("own_key") == F.col("group_key"))
-    members = written(members.select("node", "group"), "members")
+    members = nodes.select("node", F.col("n").alias("size"), "signature", F.col("group_key").alias("own_key")).join(groups.select("group_key", "group"), F.col("own_key") == F.col("group_key"))
+    members = written(members.select("node", "group", F.col("size").alias("n"), "signature"), "members")
 
     # shingles that several groups share, with the first group per class of size
     tokens = groups.select("prefix", "group", "n").mapInArrow(_tokens, "token long, group long, n int, place int")
@@ -240,29 +268,32 @@ def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int
 
     # links between components
     placed = members.join(first.select(F.col("node").alias("linked_node"), "component"), F.col("node") == F.col("linked_node"), "left")
-    placed = written(placed.select("node", "group", F.coalesce("component", "node").alias("component")), "placed")
+    placed = written(placed.select("node", "group", "n", "signature", F.coalesce("component", "node").alias("component")), "placed")
     for turn in range(STAR_ROUNDS):
         spread, mixed = _mixed(tokens, placed)
-        rest = spread.join(mixed, "token")
+        rest = _signed(spread.join(mixed, "token"), placed)
         # one group of the most frequent component stands for it, another in each round
-        chosen = rest.where("component = main").groupBy("token").agg(F.min_by(F.struct("group", "n", "place"), F.xxhash64(F.lit(turn), "group")).alias("leader"))
+        chosen = rest.where("component = main").groupBy("token").agg(F.min_by(F.struct("group", "n", "place", "signature"), F.xxhash64(F.lit(turn), "group")).alias("leader"))
         near = rest.where("component != main").join(apart(chosen), "token")
         near = near.where(_can_link(F.col("n"), F.col("place"), F.col("leader.n"), F.col("leader.place"), similarity))
+        near = near.where(_near_enough(F.col("n"), F.col("signature"), F.col("leader.n"), F.col("leader.signature"), similarity))
         near = near.select(F.col("group").alias("group_1"), F.col("component").alias("component_1"), F.col("leader.group").alias("group_2"), F.col("main").alias("component_2")).distinct()
         stands = placed.groupBy(F.col("group").alias("group_2"), F.col("component").alias("component_2")).agg(F.min("node").alias("b"))
         one = apart(placed).select(F.col("node").alias("a"), F.col("group").alias("group_1"), F.col("component").alias("component_1"))
         pairs = near.join(one, ["group_1", "component_1"]).join(stands, ["group_2", "component_2"]).select("a", "b")
         placed = _merged(placed, _links(docs, pairs, nodes, shingle, similarity))
     spread, mixed = _mixed(tokens, placed)
-    rest = spread.join(mixed, "token")
-    fewer = rest.where("component != main").select("token", *[F.col(c).alias(f"{c}_1") for c in ("group", "component", "n", "place")])
+    rest = _signed(spread.join(mixed, "token"), placed)
+    fewer = rest.where("component != main").select("token", *[F.col(c).alias(f"{c}_1") for c in ("group", "component", "n", "place", "signature")])
     others = apart(rest)
     pairs = fewer.join(others, "token").where((F.col("component_1") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("component_1") < F.col("component"))))
     pairs = pairs.where(_can_link(F.col("n_1"), F.col("place_1"), F.col("n"), F.col("place"), similarity))
+    pairs = pairs.where(_near_enough(F.col("n_1"), F.col("signature_1"), F.col("n"), F.col("signature"), similarity))
     pairs = pairs.select("group_1", "component_1", F.col("group").alias("group_2"), F.col("component").alias("component_2")).distinct()
-    one = placed.select(F.col("node").alias("a"), F.col("group").alias("group_1"), F.col("component").alias("component_1"))
-    two = apart(placed).select(F.col("node").alias("b"), F.col("group").alias("group_2"), F.col("component").alias("component_2"))
-    more = pairs.join(one, ["group_1", "component_1"]).join(two, ["group_2", "component_2"]).select("a", "b")
+    one = placed.select(F.col("node").alias("a"), *[F.col(c).alias(f"{c}_1") for c in ("group", "component", "n", "signature")])
+    two = apart(placed).select(F.col("node").alias("b"), *[F.col(c).alias(f"{c}_2") for c in ("group", "component", "n", "signature")])
+    more = pairs.join(one, ["group_1", "component_1"]).join(two, ["group_2", "component_2"])
+    more = more.where(_near_enough(F.col("n_1"), F.col("signature_1"), F.col("n_2"), F.col("signature_2"), similarity)).select("a", "b")
     final = _merged(placed, _links(docs, more, nodes, shingle, similarity)).select("node", "component")
     return rows.select("doc_id", "key", "n"), written(nodes.select("node", "key", "doc_id").join(final, "node").select("key", "doc_id", "component"), "components")
 
