@@ -16,9 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes whose running sums are held at a time.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 #: Bytes of text that one step of a task works on; a longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
