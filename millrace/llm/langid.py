@@ -37,6 +37,8 @@ from millrace.llm import text
 TRAINING_DOCS = 1000
 ORDER = 4
 UNKNOWN = "und"
+#: Places whose probabilities are looked up at a time.
+PLACES = 1 << 17
 _SPACE, _EDGE, _OTHER = 1, 2, 3
 _FACTORS = 2.0 ** np.arange(0, 12)
 
@@ -63,7 +65,7 @@ def _stream(texts: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begin = np.cumsum(sizes) - sizes
     for b, p in zip(begin.tolist(), points, strict=True):
         out[b + ORDER - 1 : b + ORDER - 1 + len(p)] = codes[p]
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     keep = np.ones(len(out), dtype=bool)
     keep[1:] = (out[1:] != _SPACE) | (out[:-1] != _SPACE)
     letters = np.bincount(owner[out > _EDGE], minlength=len(texts)) > 0
@@ -183,9 +185,9 @@ def cross_entropies(texts: list[str | None], codes: np.ndarray, tables: Tables)
     sums = np.zeros((len(texts), tables[0][2].shape[1]))
     chars = np.bincount(owner[at], minlength=len(texts))
     # a bounded part of the places at a time
-    for i in range(0, len(at), 1 << 20):
-        part = owner[at[i : i + (1 << 20)]]
-        values = _log_probabilities(keys[i : i + (1 << 20)], tables)
+    for i in range(0, len(at), PLACES):
+        part = owner[at[i : i + PLACES]]
+        values = _log_probabilities(keys[i : i + PLACES], tables)
         first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
         sums[part[first]] += np.add.reduceat(values, first, axis=0, dtype=np.float64)
     chars = np.where(letters, chars, 0)
