@@ -14,7 +14,8 @@ whole word sequence if that is shorter. Two documents link if the Jaccard simila
    by as many pairs as it has members, not by the square.
 4. What is left beside the most frequent component of a shingle is paired with one of its groups, in
    some rounds with another group each.
-5. What can still be missing are links between components. For shingles that occur in several, groups
+5. What can still be missing are links between components, also inside a group, whose members share its
+   first shingle. For shingles that occur in several, groups
    of all components but the most frequent are joined with the groups of all others, and the members
    of the pairs that pass the filters on size, place and signature are verified.
 
@@ -152,8 +153,8 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several = np.repeat(np.arange(len(parts)), sizes)
         place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         n = batch.column("n").to_numpy()
-        arrays = [pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])), batch.column("group").take(pa.array(several)), pa.array(n[several]), pa.array(place.astype(np.int32))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["token", "group", "n", "place"])
+        arrays = [pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])), batch.column("group").take(pa.array(several)), pa.array(n[several]), pa.array(place.astype(np.int32)), batch.column("nodes").take(pa.array(several))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["token", "group", "n", "place", "nodes"])
 
 
 def _can_link(n1: Column, place1: Column, n2: Column, place2: Column, similarity: int) -> Column:
@@ -246,15 +247,17 @@ def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int
     rows = written(docs.mapInArrow(_prefixes(classes, shingle, similarity, sketch_bits), _DOCS), "prefixes")
     distinct = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "prefix", "group_key", "signature")])
     nodes = written(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    groups = nodes.groupBy("group_key").agg(F.min("node").alias("group"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    groups = nodes.groupBy("group_key").agg(F.min("node").alias("group"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("nodes"))
     groups = written(groups, "groups")
     members = nodes.select("node", F.col("n").alias("size"), "signature", F.col("group_key").alias("own_key")).join(groups.select("group_key", "group"), F.col("own_key") == F.col("group_key"))
     members = written(members.select("node", "group", F.col("size").alias("n"), "signature"), "members")
 
-    # shingles that several groups share, with the first group per class of size
-    tokens = groups.select("prefix", "group", "n").mapInArrow(_tokens, "token long, group long, n int, place int")
-    shared = tokens.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select(F.col("token").alias("shared"))
-    tokens = written(tokens.join(shared, F.col("token") == F.col("shared"), "left_semi"), "tokens")
+    # shingles that several groups share, with the first group per class of size; the first shingle of a group
+    # of several nodes stays in any case, by it members meet that link with each other but not with the first one
+    tokens = groups.select("prefix", "group", "n", "nodes").mapInArrow(_tokens, "token long, group long, n int, place int, nodes long")
+    own = (F.col("place") == 0) & (F.col("nodes") > 1)
+    shared = tokens.groupBy("token").agg(F.count("*").alias("groups"), F.max(own).alias("own")).where("groups > 1 OR own").select(F.col("token").alias("shared"))
+    tokens = written(tokens.join(shared, F.col("token") == F.col("shared"), "left_semi").drop("nodes"), "tokens")
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / similarity)))
     classed = tokens.withColumn("size_class", size_class)
     leaders = classed.groupBy("token", "size_class").agg(F.count("*").alias("groups"), F.min(F.struct("group", "n", "place")).alias("leader")).where("groups > 1")

@@ -361,6 +361,16 @@ def test_jaccard_join(spark, awkward, empty):
     assert jaccard_join.linked(empty).count() == 0
 
 
+def test_links_inside_a_group_beside_its_first_member(spark):
+    made, texts = random.Random(8), []
+    for i in range(150):
+        words = [f"{made.choice('abcdefgh')}{i}x{j}" for j in range(13)]
+        texts += [words, [*words[:-1], f"z{i}"], [f"y{i}", *words[1:-1], f"x{i}"]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.linked(docs, sketch_bits=6).collect()) == plain_components(rows)
+
+
 def test_components(spark):
     made = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(1001, 1100)] + [(made.randrange(200, 400), made.randrange(200, 400)) for _ in range(120)]
