@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +39,8 @@ class PieceEncoder:
     by the library and kept, up to ``KEPT_PIECES`` of them, and the ids of texts are put together from
     those. A piece is a run without ASCII white space; if it has only ASCII and Latin-1 letters besides
     ASCII signs, no apostrophe and no ``<``, it is cut further where letters meet other signs, since
-    the tokenizer cuts there too. Texts with white space or line breaks outside ASCII pass through the
-    library whole, as does any text if the tokenizer has another make.
+    the tokenizer cuts there too. Texts with white space or line breaks outside ASCII, or with an added
+    token in any case, pass through the library whole, as does any text if the tokenizer has another make.
     """
 
     def __init__(self, path: str):
@@ -52,6 +53,8 @@ class PieceEncoder:
         ] and self.tokenizer.encode(" \n\t\r\x0b\x0c", add_special_tokens=False).ids == []
         self.reader = text.WordReader(text.lowering(), text.unspaced())
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        # added tokens are matched in the raw text, by exact case
+        self.marks = sorted({x.content.encode().lower().decode() for x in self.tokenizer.get_added_tokens_decoder().values()})
         self.word_ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool) if suffix else None
         if suffix:
             self.word_ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
@@ -69,6 +72,9 @@ class PieceEncoder:
             return self._whole(texts.to_pylist(), end)
         raw, bounds = text.utf8(texts)
         odd = self._odd(raw, bounds)
+        lowered = pc.ascii_lower(texts)
+        for mark in self.marks:
+            odd |= pc.match_substring(lowered, mark).to_numpy(zero_copy_only=False)
         if not odd.any():
             return self._pieces(texts, end)
         ids, sizes = self._pieces(pa.array(["" if o else t for o, t in zip(odd, texts.to_pylist(), strict=True)], pa.large_string()), end)
@@ -174,7 +180,7 @@ class PieceEncoder:
         example[place] = np.arange(len(place))
         spans = zip(words.starts[example[fresh]].tolist(), words.ends[example[fresh]].tolist(), strict=True)
         raw = words.data.tobytes()
-        # lower-casing of ASCII came first and changes no ids; the library does the rest
+        # lower-casing of ASCII came first and changes no ids without added tokens; the library does the rest
         flat, sizes = self._distinct([raw[s:e].decode() for s, e in spans])
         begins = len(self.ids) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
         # both are in order, so the new ones are let in at their places

@@ -139,6 +139,14 @@ def test_pieces_give_the_ids_of_whole_texts():
     assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == whole
 
 
+def test_added_tokens_count_by_exact_case():
+    encoder = token_files.PieceEncoder(queries.tokenizer())
+    texts = [f"a {x} b" for x in ("<|EndOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", "x<|Endoftext|>y", "<|other|>")]
+    ids, sizes = encoder.encode(pa.array([*texts, "plain"]), 2)
+    whole = [[*x.ids, 2] for x in encoder.tokenizer.encode_batch([*texts, "plain"], add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == whole
+
+
 def test_token_files(spark, awkward, empty):
     from tokenizers import Tokenizer
 
