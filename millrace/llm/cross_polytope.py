@@ -11,6 +11,9 @@ The number of axes per code follows from the number of vectors, so that a bucket
 and its queries go to each part. Equal vectors are one class, hashed and ranked once, whose smallest
 ids answer for it: five others at most can be asked for, so no more are needed. Nothing is capped.
 
+Queries for which the probed buckets hold too few ids, and all of a length with ``FEW`` classes or fewer,
+are ranked against all classes of their length instead, in blocks of about ``PART`` of either.
+
 Vectors that are null, zero or hold null or non-finite components, and rows without id, take no part
 in either role. Vectors of different lengths are never compared. Rows with the query's id are its own.
 Repeated rows count once. Equal cosines go to the smaller id. Other columns are ignored.
@@ -30,6 +33,8 @@ from millrace.llm.workspace import apart, written
 
 BUCKET = 2048
 PART = 4096
+#: Classes of a length up to which all are compared.
+FEW = 256
 #: Tables and probes by the number of axes in a code.
 TABLES, PROBES = {1: 16, 2: 32, 3: 64}, {1: 5, 2: 96, 3: 256}
 #: Best codes per axis that probes are put together from.
@@ -148,6 +153,19 @@ def _ranker(best: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     return ranked
 
 
+def _compared(queries: DataFrame, members: DataFrame, best: int) -> DataFrame:
+    """The best of all ``members`` of its length for each of ``queries`` (class_id, vector, bytes, n: members of the length)."""
+    parts = queries.groupBy("bytes").agg(F.ceil(F.count("*") / PART).cast("int").alias("query_parts"), F.ceil(F.max("n") / PART).cast("int").alias("parts"))
+    parts = written(parts, "ann-parts")
+    spread = F.xxhash64("class_id")
+    asked = queries.join(parts, "bytes").withColumn("query_part", F.pmod(spread, "query_parts").cast("int"))
+    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    held = members.select("class_id", "vector", F.length("vector").alias("bytes")).join(apart(parts), "bytes").withColumn("part", F.pmod(spread, "parts").cast("int"))
+    held = apart(held.withColumn("query_part", F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1))))
+    key = ["bytes", "query_part", "part"]
+    return asked.groupBy(*key).cogroup(held.groupBy(*key)).applyInPandas(_ranker(best), "query_class long, class_id long, score double")
+
+
 def neighbours(vectors: DataFrame, every: int, k: int = 5, axes: int | None = None, tables: int | None = None, probes: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for rows whose id is divisible by ``every``."""
     held = written(classes(vectors, k + 1), "ann-classes")
@@ -160,7 +178,9 @@ def neighbours(vectors: DataFrame, every: int, k: int = 5, axes: int | None = No
     asking = unit_vectors(vectors).where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "embedding").distinct()
     asking = asking.mapInArrow(_query_vectors, "query_id long, vector binary").select("query_id", F.xxhash64("vector").alias("class_id"))
     asking = written(asking, "ann-queries")
-    asked = held.join(asking.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "vector")
+    counted = written(held.groupBy(F.length("vector").alias("bytes")).agg(F.count("*").alias("n")), "ann-lengths")
+    asked = held.join(asking.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "vector", F.length("vector").alias("bytes"))
+    asked = written(asked.join(counted, "bytes"), "ann-asked")
     bucket = "table long, code long, class_id long, vector binary"
     index = held.select("class_id", "vector").mapInArrow(_hasher(axes, tables, 1), bucket)
     codes_only = index.groupBy("table", "code").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
@@ -168,12 +188,17 @@ def neighbours(vectors: DataFrame, every: int, k: int = 5, axes: int | None = No
     key = ["table", "code"]
     one = F.coalesce("parts", F.lit(1))
     members = apart(index.join(large, key, "left").withColumn("part", F.pmod(F.xxhash64("class_id"), one).cast("int")))
-    queries = asked.mapInArrow(_hasher(axes, tables, probes), bucket).join(apart(large), key, "left")
+    queries = asked.where(F.col("n") > FEW).select("class_id", "vector").mapInArrow(_hasher(axes, tables, probes), bucket).join(apart(large), key, "left")
     queries = queries.withColumn("part", F.explode(F.sequence(F.lit(0), one - 1)))
     groups = ["table", "code", "part"]
     near = queries.groupBy(*groups).cogroup(members.groupBy(*groups)).applyInPandas(_ranker(k + 1), "query_class long, class_id long, score double")
     # a pair can meet in several tables, always with the same score
-    near = near.distinct().join(apart(held).select("class_id", "ids"), "class_id")
+    near = written(near.distinct(), "ann-near")
+    enough = near.join(apart(held).select("class_id", "ids"), "class_id").groupBy("query_class").agg(F.sum(F.size("ids")).alias("ids")).where(F.col("ids") > k)
+    enough = written(enough.select("query_class"), "ann-enough")
+    short = written(asked.join(enough, F.col("class_id") == F.col("query_class"), "left_anti"), "ann-short")
+    near = near.join(apart(enough), "query_class", "left_semi").union(_compared(short, held, k + 1))
+    near = near.join(apart(held).select("class_id", "ids"), "class_id")
     answer = F.slice(F.array_sort(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("far"), i.alias("vec_id")))))), 1, k + 1)
     answers = near.groupBy("query_class").agg(answer.alias("found"))
     found = asking.join(answers, F.col("class_id") == F.col("query_class"))

@@ -220,6 +220,24 @@ def test_neighbours(spark):
     assert cross_polytope.neighbours(df.limit(0), 50).count() == 0
 
 
+def test_neighbours_are_complete_among_few_vectors(spark):
+    made, rows, want = np.random.default_rng(4), [], {}
+    for n, dimension in ((1, 60), (3, 61), (4, 62), (6, 63), (10, 64), (30, 65)):
+        ids, vectors = np.arange(len(rows), len(rows) + n), made.normal(size=(n, dimension))
+        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        for i, near in zip(ids, unit @ unit.T, strict=True):
+            want[i] = [x for x in ids[np.argsort(-near)].tolist() if x != i][:5]
+        rows += [(int(i), v.tolist()) for i, v in zip(ids, vectors, strict=True)]
+    # one more length, for which one probe of one table finds too few
+    rows += [(i, v.tolist()) for i, v in enumerate(made.normal(size=(300, 66)), len(rows))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in cross_polytope.neighbours(df, 1, axes=1, tables=1, probes=1).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert {i: got[i] for i in want} == want
+    assert all(len(got[i]) == 5 for i in range(len(want), len(rows)))
+
+
 def test_neighbours_recall_on_the_sample(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     rows = df.orderBy("vec_id").collect()
