@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import backoff, cross_polytope, cube, decontaminate, jaccard_join, langid, pii, token_files, url_filter, weak_labels
+from millrace.llm import backoff, cross_polytope, cube, decontaminate, jaccard_join, langid, outliers, periodic, pii, token_files, url_filter, weak_labels, whitening
 
 TOKENIZER = "word_bpe_49k.json"
 END = 2
@@ -86,10 +86,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(periodic.with_periods(_texts(spark, sf_dir))))
+
+
+def op12_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = outliers.judged(_texts(spark, sf_dir, "lang", "source"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_surrogates, op2_token_files, op3_backoff, op4_cross_polytope, op5_decontamination, op6_language_id, op7_url_rules,
-        op8_jaccard_join, op9_weak_labels, op10_mixing,
+        op8_jaccard_join, op9_weak_labels, op10_mixing, op11_periodic_runs, op12_outliers, op13_whitening,
     )
     return {query.__name__: query for query in every}
 

@@ -1,9 +1,10 @@
 """Words of many texts at once, as arrays of hashes, and small helpers the operators share.
 
-Texts are handled as UTF-8 bytes. A run of word bytes is a word; its hash is a polynomial over the
-bytes modulo 2**64, taken from one running sum per segment, then mixed. Two different words or
-shingles of one comparison share a 64-bit hash with a chance of about 2**-64 per pair; where a
-decision rests on a single hit, callers compare the words themselves.
+Texts are handled as UTF-8 bytes. A run of word bytes is a word; its hash adds up the bytes, each times
+a factor of its own for its place in the word, modulo 2**64, from one running sum per segment, then
+mixed. Bytes differ by less than 2**8, so two words that differ share a hash for at most one in 2**56
+choices of the factors, of whatever length they are and however they repeat; where a decision rests
+on a single hit, callers compare the words themselves.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import pyarrow.compute as pc
 
 #: Bytes whose running sums are held at a time.
 SEGMENT = 1 << 18
+#: Places in a word whose factors are at hand; longer words are hashed by themselves.
+PLACES = 1 << 14
 #: Bytes of text that one step of a task works on; a longer text is a step of its own.
 STEP_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -78,19 +81,16 @@ def position_factors(k: int) -> np.ndarray:
     return mix(np.arange(1, k + 1, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(_BASE, -1, 1 << 64)
-    up, down = np.full(n, _BASE, dtype=np.uint64), np.full(n, inverse, dtype=np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+def _byte_factors(start: int, stop: int) -> np.ndarray:
+    return mix((np.arange(start, stop, dtype=np.uint64) + np.uint64(1 << 40)) * np.uint64(_BASE)) | np.uint64(1)
 
 
 class WordReader:
-    """Cuts texts into words by two byte tables. One per task: it holds the powers of the hash."""
+    """Cuts texts into words by two byte tables. One per task: it holds factors of the hash."""
 
     def __init__(self, lower: np.ndarray, word: np.ndarray):
         self.lower, self.word = lower, word
-        self.up, self.down = _powers(SEGMENT + (SEGMENT >> 2))
+        self.factors = _byte_factors(0, PLACES)
 
     def read(self, texts: pa.Array) -> Words:
         """Words of all texts; a null text has none."""
@@ -117,16 +117,31 @@ class WordReader:
         while done < len(starts):
             origin = starts[done]
             upto = max(done + 1, int(np.searchsorted(stops, origin + SEGMENT, "right")))
-            part = data[origin : stops[upto - 1]]
-            if len(part) > len(self.up):
-                self.up, self.down = _powers(len(part))
-            sums = np.zeros(len(part) + 1, dtype=np.uint64)
-            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * self.up[: len(part)], out=sums[1:])
             s, e = starts[done:upto] - origin, stops[done:upto] - origin
-            out[done:upto] = (sums[e] - sums[s]) * self.down[s] + (e - s).astype(np.uint64)
+            part, longest = data[origin : origin + e[-1]], int((e - s).max())
+            if longest > PLACES:
+                # rare: one word at a time, a segment of it after the other
+                out[done:upto] = [self._long(part[a:b]) for a, b in zip(s, e, strict=True)]
+            else:
+                places = np.arange(len(part)) - np.repeat(s, np.diff(s, append=len(part)))
+                sums = np.zeros(len(part) + 1, dtype=np.uint64)
+                # bytes between words may lie beyond the table; they are in no sum
+                terms = self.factors.take(places, mode="clip")
+                terms *= part.astype(np.uint64) + np.uint64(1)
+                np.cumsum(terms, out=sums[1:])
+                out[done:upto] = sums[e] - sums[s]
+            out[done:upto] += (e - s).astype(np.uint64)
             done = upto
         return mix(out)
 
+    def _long(self, word: np.ndarray) -> np.uint64:
+        total = np.uint64(0)
+        with np.errstate(over="ignore"):
+            for at in range(0, len(word), SEGMENT):
+                part = word[at : at + SEGMENT]
+                total += ((part.astype(np.uint64) + np.uint64(1)) * _byte_factors(at, at + len(part))).sum()
+        return total
+
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row, and where each begins (one more for the end)."""

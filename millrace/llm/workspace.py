@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 from millrace.sources.warehouse import shared_folder
 
 
+#: Copies of the smaller side over which a join by few keys is dealt.
+SALTS = 64
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder name for one run's intermediate tables, below the folder all executors share."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -33,3 +38,18 @@ def spare(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def beside(rows: DataFrame, models: DataFrame, keys: Sequence[str], small: bool, how: str = "inner", salts: int = SALTS) -> DataFrame:
+    """Rows with the columns of their group's one row in ``models``; null keys are groups like others.
+
+    ``small`` says that the caller has counted the models and found them fit to be broadcast. If not, every
+    group is dealt over ``salts`` copies of its model, so that a group with many rows is no task of its own.
+    """
+    other = models.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    if small:
+        return rows.join(F.broadcast(other), same, how).drop(*[f"_{k}" for k in keys])
+    rows = rows.withColumn("_salt", F.monotonically_increasing_id() % salts)
+    other = other.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.join(other, [*same, F.col("_salt") == F.col("_copy")], how).drop("_salt", "_copy", *[f"_{k}" for k in keys])
