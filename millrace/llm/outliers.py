@@ -167,28 +167,30 @@ def _moments(t: list[Column], weight: Column | None = None) -> list[Column]:
     return [F.sum(c if weight is None else c * weight).alias(n) for c, n in zip(each, _SUMS, strict=True)]
 
 
-def _drawn(sums: DataFrame, *keys: str) -> DataFrame:
+def _drawn(sums: DataFrame) -> DataFrame:
     """Means c0.. and covariances k00.. of groups, drawn towards their language and all texts.
 
-    ``sums`` has lang, source, further keys, h and weighted sums. Covariances of larger groups are taken
+    ``sums`` has lang, source, start, h and weighted sums. Covariances of larger groups are taken
     about the means of the groups in them, so that sources may differ in their means.
     """
     about = {f"q{i}{j}": F.col(f"q{i}{j}") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("h") for i, j in PAIRS}
     held = sums.where("h > 0").withColumns(about)
-    every, tongue = Window.partitionBy(*keys, F.lit(0)), Window.partitionBy(*keys, "lang")
-
-    def over(name: str, window: Window) -> Column:
-        return F.sum(name).over(window)
-
+    added = [F.sum(c).alias(f"_{c}") for c in ("h", *_SUMS)]
+    # a row a language, with the totals of all languages beside it
+    tongues = held.groupBy("start", "lang").agg(*added)
+    totals = tongues.groupBy("start").agg(*[F.sum(f"_{c}").alias(f"_all_{c}") for c in ("h", *_SUMS)])
+    tongues = tongues.join(totals, "start")
+    other = tongues.withColumnsRenamed({k: f"_{k}" for k in ("start", "lang")})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ("start", "lang")]
     mean = {}
     for name in _SUMS:
-        top = over(name, every) / over("h", every)
-        middle = (over(name, tongue) + PRIOR * top) / (over("h", tongue) + PRIOR)
+        top = F.col(f"_all_{name}") / F.col("_all_h")
+        middle = (F.col(f"_{name}") + PRIOR * top) / (F.col("_h") + PRIOR)
         mean["c" + name[1:] if name[0] == "s" else "k" + name[1:]] = (F.col(name) + PRIOR * middle) / (F.col("h") + PRIOR)
-    return held.withColumns(mean)
+    return held.join(other, same).withColumns(mean)
 
 
-def _turned(drawn: DataFrame, factor: float, *keys: str) -> DataFrame:
+def _turned(drawn: DataFrame, factor: float) -> DataFrame:
     """Models from means and covariances, and the logarithm of the covariance's determinant."""
     names = [f"c{i}" for i in range(P)] + [f"k{i}{j}" for i, j in PAIRS]
     floors = np.diag(np.square(FLOORS))
@@ -200,7 +202,7 @@ def _turned(drawn: DataFrame, factor: float, *keys: str) -> DataFrame:
                 covariance[:, i, j] = covariance[:, j, i] = part[f"k{i}{j}"] * factor
             lower = np.linalg.cholesky(covariance + floors)
             turned = np.linalg.inv(lower)
-            out = part[["lang", "source", *keys]].copy()
+            out = part[["lang", "source", "start"]].copy()
             for i in range(P):
                 out[f"m{i}"] = part[f"c{i}"]
             for i, j in PAIRS:
@@ -208,8 +210,8 @@ def _turned(drawn: DataFrame, factor: float, *keys: str) -> DataFrame:
             out["size"] = 2 * np.log(np.diagonal(lower, axis1=1, axis2=2)).sum(axis=1)
             yield out
 
-    fields = ["lang string", "source string", *[f"{k} int" for k in keys], *[f"{n} double" for n in (*_MODEL, "size")]]
-    return drawn.select("lang", "source", *keys, *names).mapInPandas(turn, ", ".join(fields))
+    fields = ["lang string", "source string", "start int", *[f"{n} double" for n in (*_MODEL, "size")]]
+    return drawn.select("lang", "source", "start", *names).mapInPandas(turn, ", ".join(fields))
 
 
 def _distance(model: Column | None = None) -> Column:
@@ -250,7 +252,7 @@ def _starts(rows: DataFrame, small: bool) -> DataFrame:
     for start in range(STARTS):
         k = {0: lambda i, j: F.lit(float(i == j)), 1: lambda i, j: P * F.col(f"a{i}{j}"), 2: lambda i, j: F.col(f"b{i}{j}")}[start]
         each.append(firsts.select(*_GROUP, F.lit(start).alias("start"), *[f"c{i}" for i in range(P)], *[(k(i, j) * F.col(f"d{i}") * F.col(f"d{j}")).alias(f"k{i}{j}") for i, j in PAIRS]))
-    return _turned(each[0].unionByName(each[1]).unionByName(each[2]), 1.0, "start")
+    return _turned(each[0].unionByName(each[1]).unionByName(each[2]), 1.0)
 
 
 def _weighted_median(counts: DataFrame, value: str, *carried: str) -> DataFrame:
@@ -277,7 +279,7 @@ def _concentrated(rows: DataFrame, models: DataFrame, small: bool) -> DataFrame:
     share = F.least(F.greatest((needed - before) / F.col("n"), F.lit(0.0)), F.lit(1.0))
     weighted = counts.withColumn("share", share).where("share > 0")
     sums = weighted.groupBy(*_GROUP, "start").agg(F.sum(F.col("n") * F.col("share")).alias("h"), *[F.sum(F.col(n) * F.col("share")).alias(n) for n in _SUMS])
-    return _turned(_drawn(sums, "start"), consistency(CORE), "start")
+    return _turned(_drawn(sums), consistency(CORE))
 
 
 def estimates(rows: DataFrame, small: bool) -> DataFrame:
@@ -295,7 +297,7 @@ def estimates(rows: DataFrame, small: bool) -> DataFrame:
     best = written(best, "models")
     t = [F.col(f"t{i}") for i in range(P)]
     near = beside(rows, best, _GROUP, small).where(_distance() <= quantile(1 - REWEIGHT, P))
-    sums = near.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("h"), *_moments(t))
+    sums = near.groupBy(*_GROUP).agg(F.lit(0).alias("start"), F.count(F.lit(1)).alias("h"), *_moments(t))
     return written(_turned(_drawn(sums), consistency(1 - REWEIGHT)), "models")
 
 
@@ -304,6 +306,6 @@ def judged(docs: DataFrame, broadcast_groups: int = BROADCAST_GROUPS) -> DataFra
     rows = written(statistics(docs), "statistics")
     small = rows.select(*_GROUP).distinct().count() <= broadcast_groups
     models = estimates(rows.where(~F.col("base_failed")), small)
-    found = beside(rows, models.drop("size"), _GROUP, small, "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    found = beside(rows, models.drop("size", "start"), _GROUP, small, "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     kept = ~F.col("base_failed") & (F.col("distance") <= quantile(1 - TAIL, P))
     return found.select("doc_id", *_GROUP, *STATISTICS, "base_failed", "distance", F.coalesce(kept, F.lit(False)).alias("kept"))
