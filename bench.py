@@ -56,7 +56,7 @@ def main() -> None:
     rows: dict[str, int] = {}
 
     def load(label: str) -> None:
-        warehouse = Warehouse(spark, f"{scratch}/{label or 'warm'}", buckets=2, period="year", spread=max(1, CPUS // 2), dimension_slots=CPUS)
+        warehouse = Warehouse(spark, f"{scratch}/{label or 'warm'}")
         warehouse.register(BEGINNING)
         for name, until in (("full_load", CUT), ("incremental", END)):
             seconds, result = timed(lambda: run_incremental(warehouse, source, employees, departments, until))

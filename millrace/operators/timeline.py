@@ -1,4 +1,4 @@
-"""Status timeline of transactions: one row per step."""
+"""Timeline of transactions: what their own timestamps say happened, in order."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import normalize as n
 
-# Outcome code of the third step by status.
+# Outcome code of a finished transaction by status.
 OUTCOMES = {
     n.COMPLETED: "COMPLETED",
     n.COMPLETED_VARIANT: "COMPLETED",
@@ -18,34 +18,24 @@ OUTCOMES = {
 OTHER_OUTCOME = "REFERRED"
 
 
-def step_code(step: Column, status: Column) -> Column:
-    outcome = F.lit(OTHER_OUTCOME)
-    for value, code in OUTCOMES.items():
-        outcome = F.when(status == value, code).otherwise(outcome)
-    opening = F.element_at(F.array(F.lit("RECEIVED"), F.lit("IN_PROGRESS")), F.least(step, F.lit(2)))
-    return F.when(step <= 2, opening).when(step == 3, outcome).otherwise("FOLLOW_UP")
+def outcome(status: Column) -> Column:
+    code = F.lit(OTHER_OUTCOME)
+    for value, name in OUTCOMES.items():
+        code = F.when(status == value, name).otherwise(code)
+    return code
 
 
 def status_timeline(transactions: DataFrame) -> DataFrame:
-    """Three or four steps per transaction, each 12 to 59 hours apart, all by row number arithmetic.
+    """One row per timestamp a transaction has, numbered in order of time.
 
-    Every 1777th transaction has its second step three days early, every 50th lacks the editor and
-    every 100th the note.
+    Equal times keep the order in which they are listed here. All steps of a transaction come from its one row, so
+    nothing is shuffled or sorted across rows.
     """
-    row = F.col("source_row_id")
-    steps = F.sequence(F.lit(1), (3 + row % 2).cast("int"))
-    expanded = transactions.select(
-        "source_row_id", "transaction_id", "status", "created_at", F.explode(steps).alias("step_no")
-    )
-    step = F.col("step_no")
-    early = F.when((row % 1777 == 0) & (step == 2), -72).otherwise(0)
-    hours = (step * (12 + row % 48) + early).cast("int")
-    editor = F.concat(F.lit("EMP"), F.lpad((1 + row % 600).cast("string"), 4, "0"))
+    listed = [("created_at", F.lit("CREATED")), ("received_at", F.lit("RECEIVED")), ("due_at", F.lit("DUE")), ("completed_at", outcome(F.col("status")))]
+    steps = [F.struct(F.col(at).alias("at"), F.lit(i).alias("place"), code.alias("code")) for i, (at, code) in enumerate(listed)]
+    ordered = F.array_sort(F.filter(F.array(*steps), lambda s: s["at"].isNotNull()))
+    expanded = transactions.select("source_row_id", "transaction_id", F.posexplode(ordered).alias("step", "s"))
     return expanded.select(
-        "transaction_id",
-        "step_no",
-        step_code(step, F.col("status")).alias("status_code"),
-        (F.col("created_at") + F.make_dt_interval(hours=hours)).alias("status_timestamp"),
-        F.when(row % 50 != 0, editor).alias("changed_by"),
-        F.when(row % 100 != 0, "Generated status event").alias("note"),
+        "source_row_id", "transaction_id", (F.col("step") + 1).alias("step_no"),
+        F.col("s.code").alias("status_code"), F.col("s.at").alias("status_timestamp"),
     )

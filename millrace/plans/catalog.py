@@ -81,13 +81,18 @@ class Sample:
 
     @property
     def clean(self) -> DataFrame:
+        """Clean rows of the whole table as one batch."""
+        return transactions.transactions_clean(self.judged(self.transactions))
+
+    @property
+    def window_clean(self) -> DataFrame:
         return transactions.transactions_clean(self.judged(self.window))
 
     @cached_property
     def warehouse(self) -> Warehouse:
         """An empty warehouse in a folder of its own."""
         root = f"{shared_folder(self.spark)}/warehouse-{uuid.uuid4().hex}"
-        return Warehouse(self.spark, root, buckets=2, period="year", spread=SLOTS // 2, dimension_slots=SLOTS)
+        return Warehouse(self.spark, root)
 
     def stage(self, df: DataFrame, table: str) -> DataFrame:
         return self.warehouse.stage(df, "query", table)
@@ -360,7 +365,7 @@ def loaded_from_batch(s: Sample) -> DataFrame:
     earlier = transactions.transactions_clean(
         s.judged(incremental_window(s.transactions, datetime(1997, 1, 1), EARLIER), EARLIER)
     )
-    return validation.tally({"loaded_count": validation.loaded_rows(earlier, s.first_load(s.clean))})
+    return validation.tally({"loaded_count": validation.loaded_rows(earlier, s.first_load(s.window_clean))})
 
 
 @_query
@@ -399,12 +404,6 @@ def next_watermark(s: Sample) -> DataFrame:
     return validation.next_watermark(s.window)
 
 
-@_query
-def next_watermark_of_empty_batch(s: Sample) -> DataFrame:
-    """A NULL watermark selects nothing, and nothing has no next watermark."""
-    return validation.next_watermark(incremental_window(s.transactions, None, AS_OF))
-
-
 @_query
 def latest_employees(s: Sample) -> DataFrame:
     return reference.latest_employees(s.employees)
@@ -496,7 +495,7 @@ def transactions_clean(s: Sample) -> DataFrame:
 
 @_query
 def transactions_rejected(s: Sample) -> DataFrame:
-    return transactions.transactions_rejected(s.judged(s.window))
+    return transactions.transactions_rejected(s.judged(s.transactions))
 
 
 @_query
@@ -507,7 +506,7 @@ def transactions_rejected_of_all(s: Sample) -> DataFrame:
 @_query
 def transactions_settled(s: Sample) -> DataFrame:
     """Both sets as one staged table, partitioned by outcome and read back."""
-    settled = transactions.settle(s.judged(s.window))
+    settled = transactions.settle(s.judged(s.transactions))
     return s.warehouse.stage(settled, "query", "transactions", ["outcome"]).select(*settled.columns)
 
 
@@ -552,8 +551,8 @@ def dim_department_upsert(s: Sample) -> DataFrame:
     later = rows.where(F.col("sector").isin(*LATER_SECTORS)).withColumn(
         "location", F.when(F.col("sector") != "ASIA", F.col("location"))
     )
-    merged = upsert(target, later, "department_id", "department_key", 1000, SLOTS)
-    kept = F.when(F.col("department_key") <= 1000, "kept").otherwise("new")
+    merged = upsert(target, later, "department_id", "department_key", 10**6, SLOTS)
+    kept = F.when(F.col("department_key") <= 10**6, "kept").otherwise("new")
     return merged.withColumn("key_origin", kept).drop("department_key", "slot")
 
 
@@ -587,7 +586,7 @@ def _two_loads(s: Sample) -> tuple[DataFrame, DataFrame]:
     target = s.stage(
         s.first_load(transactions.transactions_clean(s.judged(earlier, EARLIER)), EARLIER), "fact_transactions"
     )
-    return target, fact.fact_rows(s.clean, s.dim_employee, AS_OF)
+    return target, fact.fact_rows(s.window_clean, s.dim_employee, AS_OF)
 
 
 @_query
@@ -669,10 +668,10 @@ def sla_by_department(s: Sample) -> DataFrame:
 @_query
 def batch_counts(s: Sample) -> DataFrame:
     s.staged_reference
-    judged = s.stage(s.judged(s.window), "judged")
+    judged = s.stage(s.judged(s.transactions), "judged")
     clean = transactions.transactions_clean(judged)
     return validation.batch_counts(
-        s.window, clean, transactions.transactions_rejected(judged), s.first_load(clean), s.dim_employee, s.dim_department
+        s.transactions, clean, transactions.transactions_rejected(judged), s.first_load(clean), s.dim_employee, s.dim_department
     )
 
 
@@ -699,7 +698,7 @@ def control_after_run(s: Sample) -> DataFrame:
     s.run()
     return s.warehouse.control().select(
         "pipeline_name", "seq", "last_successful_watermark", "last_successful_run",
-        F.aggregate(F.transform("fact_cells", lambda c: c["row_count"]), F.lit(0).cast("bigint"), lambda a, x: a + x)
+        F.aggregate("fact_transactions", F.lit(0).cast("bigint"), lambda a, s: a + s["row_count"] - s["replacing"])
         .alias("fact_rows"),
     )
 

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.operators import dimensions, fact, quality, reference, transactions, validation
-from millrace.operators.upsert import SLOT, DuplicateUpsertKey, last_key, require_unique, upsert
+from millrace.operators.upsert import require_unique, slots_for, versions
 from millrace.sources.incremental import incremental_window, period, run_clock
+from millrace.sources.segments import SegmentTable, live_rows
 from millrace.sources.warehouse import ControlError, Warehouse
 
 
@@ -121,7 +122,12 @@ def load_batch(
         with _timed(seconds, "clean_reference"):
             departments_clean = stage(reference.departments_clean(departments_raw), "departments_clean")
             require_unique(departments_clean, "department_id", "dim_department")
-            departing = pool.submit(_load_departments, warehouse, parent, departments_clean, run_id)
+            departing = pool.submit(
+                lambda: _appended(
+                    warehouse.departments, parent, dimensions.department_rows(departments_clean), departments_clean.count(),
+                    run_id, changed_only=True,
+                )
+            )
             employees_clean, _ = _together(
                 pool,
                 lambda: stage(reference.employees_clean(employees_raw, departments_clean, today), "employees_clean"),
@@ -134,10 +140,11 @@ def load_batch(
             lambda: require_unique(employees_clean.where("employee_id IS NOT NULL"), "employee_id", "dim_employee")
         )
 
-        def load_employees() -> tuple[DataFrame, int]:
+        def load_employees() -> list:
             with _timed(seconds, "dimensions"):
-                dim_department, _ = departing.result()
-                return _load_employees(warehouse, parent, employees_clean, dim_department, run_id)
+                dim_department = warehouse.departments.read(departing.result())
+                rows = dimensions.employee_rows(employees_clean, dim_department)
+                return _appended(warehouse.employees, parent, rows, employees_clean.count(), run_id, changed_only=True)
 
         employing = pool.submit(load_employees)
         with _timed(seconds, "clean_transactions"):
@@ -146,34 +153,30 @@ def load_batch(
             clean = settled.where(F.col("outcome") == transactions.CLEAN)
             rejected = settled.where(F.col("outcome") == transactions.REJECTED)
             checking.result()
-            touched = _touched_cells(warehouse, parent, clean)
+            require_unique(clean, "transaction_id", "fact_transactions")
 
-        dim_department, department_key = departing.result()
-        dim_employee, employee_key = employing.result()
+        dim_department = warehouse.departments.read(departing.result())
+        dim_employee = warehouse.employees.read(employing.result())
         with _timed(seconds, "fact"):
-            merged = upsert(
-                warehouse.fact_transactions(parent, touched),
-                fact.fact_rows(clean, dim_employee, as_of),
-                "transaction_id", "transaction_key",
-                parent["last_transaction_key"], parent["fact_bucket_count"] * warehouse.spread,
-                newer_wins="last_updated_at" if newer_wins else None,
+            rows = fact.fact_rows(clean, dim_employee, as_of)
+            facts = _appended(
+                warehouse.facts, parent, rows, clean.count(), run_id, newer_wins="last_updated_at" if newer_wins else None
             )
-            cells = fact.cell_columns(parent["fact_bucket_count"], parent["fact_period"])
-            rewritten = warehouse.write_fact(merged.drop(SLOT).withColumns(cells), run_id)
+            appended = [s for s in facts if s not in parent["fact_transactions"]]
+            written = warehouse.facts.read(appended)
 
         with _timed(seconds, "validation"):
-            # No other cell holds an id of the batch, so counts over the rewritten ones are complete.
-            counts, orphans, written = _together(
+            # What the batch didn't append is unchanged; rows that an older version kept out are held before.
+            loaded = written
+            if newer_wins:
+                held = warehouse.facts.current(parent["fact_transactions"], clean.select("transaction_id"), clean.count())
+                loaded = written.select("transaction_id").unionByName(held.join(written, "transaction_id", "left_anti").select("transaction_id"))
+            counts, orphans = _together(
                 pool,
-                lambda: validation.batch_counts(
-                    raw, clean, rejected, rewritten, dim_employee, dim_department
-                ).first().asDict(),
-                lambda: validation.orphan_counts(rewritten, dim_employee, dim_department).first().asDict(),
-                lambda: _cell_state(rewritten),
+                lambda: validation.batch_counts(raw, clean, rejected, loaded, dim_employee, dim_department).first().asDict(),
+                lambda: validation.orphan_counts(written, dim_employee, dim_department).first().asDict(),
             )
-            held = [c.asDict() for c in parent["fact_cells"] if (c[fact.PERIOD], c[fact.BUCKET]) not in touched]
-            rows = {c: [s[c] for s in written] for c in ("row_count", "last_key")}
-            counts["fact_count"] = sum(c["row_count"] for c in held) + sum(rows["row_count"])
+            counts["fact_count"] = live_rows(facts)
             validation.require_valid(counts)
             if any(orphans.values()):
                 raise ForeignKeyViolation(str(orphans))
@@ -186,68 +189,36 @@ def load_batch(
         elif watermark and held_watermark and not lower_watermark:
             watermark = max(watermark, held_watermark)
         with _timed(seconds, "publish"):
-            commit = warehouse.publish(
-                parent, run_id, watermark, as_of,
-                dim_department_run=run_id, dim_employee_run=run_id,
-                last_department_key=department_key, last_employee_key=employee_key,
-                last_transaction_key=max([parent["last_transaction_key"], *rows["last_key"]]),
-                fact_cells=held + [s.asDict() | {"run_id": run_id} for s in written],
-            )
+            state = {"dim_department": departing.result(), "dim_employee": employing.result(), "fact_transactions": facts}
+            tables = {t.name: t for t in warehouse.tables}
+            merged = _together(pool, *[lambda n=n, held=held: tables[n].merged(held, run_id) for n, held in state.items()])
+            last = {f"last_{key}_key": max([parent[f"last_{key}_key"], *[s["last_key"] for s in held]]) for key, held in zip(("department", "employee", "transaction"), state.values(), strict=True)}
+            commit = warehouse.publish(parent, run_id, watermark, as_of, **last, **dict(zip(state, merged, strict=True)))
     return RunResult(run_id, commit, counts, seconds)
 
 
-def _load_departments(
-    warehouse: Warehouse, parent: Row, departments: DataFrame, run_id: str
-) -> tuple[DataFrame, int]:
-    """A new snapshot of the department dimension and its last key."""
-    merged = upsert(
-        warehouse.dim_department(parent), dimensions.department_rows(departments),
-        "department_id", "department_key", parent["last_department_key"], warehouse.dimension_slots,
-    )
-    written = warehouse.write_dimension(merged, run_id, "dim_department", schemas.DIM_DEPARTMENT)
-    return written, last_key(written, "department_key")
-
-
-def _load_employees(
-    warehouse: Warehouse, parent: Row, employees: DataFrame, dim_department: DataFrame, run_id: str
-) -> tuple[DataFrame, int]:
-    """A new snapshot of the employee dimension and its last key."""
-    merged = upsert(
-        warehouse.dim_employee(parent), dimensions.employee_rows(employees, dim_department),
-        "employee_id", "employee_key", parent["last_employee_key"], warehouse.dimension_slots,
-    )
-    written = warehouse.write_dimension(merged, run_id, "dim_employee", schemas.DIM_EMPLOYEE)
-    return written, last_key(written, "employee_key")
-
-
-def _touched_cells(warehouse: Warehouse, parent: Row, clean: DataFrame) -> set[tuple[str, int]]:
-    """Fact cells a batch may change: those its rows go to, and those that hold earlier versions.
-
-    Refuses a batch with two rows for one transaction. Earlier versions are looked up by id alone,
-    in the buckets of the batch; results are at most one row per cell.
-    """
-    cells = fact.cell_columns(parent["fact_bucket_count"], parent["fact_period"])
-    per_id = clean.groupBy("transaction_id").agg(
-        F.count(F.lit(1)).alias("copies"), F.max("created_at").alias("created_at")
-    )
-    per_cell = per_id.withColumns(cells).groupBy(*fact.CELL).agg(F.count_if(F.col("copies") > 1).alias("repeated"))
-    rows = per_cell.collect()
-    repeated = sum(r["repeated"] for r in rows)
-    if repeated:
-        raise DuplicateUpsertKey(f"DUPLICATE_UPSERT_KEY: fact_transactions.transaction_id: {repeated}")
-    touched = {(r[fact.PERIOD], r[fact.BUCKET]) for r in rows}
-    if rows and parent["fact_cells"]:
-        located = warehouse.fact_locations(parent, {r[fact.BUCKET] for r in rows})
-        earlier = located.join(clean.select("transaction_id"), "transaction_id", "left_semi")
-        touched |= {tuple(r) for r in earlier.select(*fact.CELL).distinct().collect()}
-    return touched
-
-
-def _cell_state(rewritten: DataFrame) -> list[Row]:
-    """Rows and last key of each rewritten cell."""
-    return rewritten.groupBy(*fact.CELL).agg(
-        F.count(F.lit(1)).alias("row_count"), F.max("transaction_key").alias("last_key")
-    ).collect()
+def _appended(
+    table: SegmentTable,
+    parent: Row,
+    rows: DataFrame,
+    row_count: int,
+    run_id: str,
+    newer_wins: str | None = None,
+    changed_only: bool = False,
+) -> list:
+    """The segments of a table after an upsert; at most one more, none if nothing is to be written."""
+    held = list(parent[table.name] or [])
+    if not row_count:
+        return held
+    if changed_only:
+        # a reference table comes as a whole each time
+        current = table.read(held)
+    else:
+        current = table.current(held, rows.select(table.business_key), row_count, *([newer_wins] if newer_wins else []))
+    last_key = parent[f"last_{table.surrogate_key}"]
+    new = versions(current, rows, table.business_key, table.surrogate_key, last_key, slots_for(row_count), newer_wins, changed_only)
+    segment = table.append(new, run_id, row_count)
+    return [*held, segment] if segment["row_count"] else held
 
 
 def _together(pool: ThreadPoolExecutor, *steps: Callable) -> list:

@@ -33,6 +33,7 @@ def _raw(text: str) -> str:
     return text.replace("<TS>", "TIMESTAMP").strip()
 
 
+# Spellings of statuses, classifications and address patterns.
 STATUS_CASE = """CASE WHEN lower(trim(employment_status)) = 'active' THEN 'Active'
   WHEN lower(trim(employment_status)) = 'inactive' THEN 'Inactive'
   WHEN lower(replace(trim(employment_status), '_', ' ')) = 'on leave' THEN 'On Leave' ELSE employment_status END"""
@@ -250,16 +251,15 @@ FROM employees_raw"""
 FROM transactions_raw"""
         ),
         "status_timeline": _sql(
-            """SELECT transaction_id, step_no, CASE step_no WHEN 1 THEN 'RECEIVED' WHEN 2 THEN 'IN_PROGRESS'
-  WHEN 3 THEN CASE WHEN status IN ('مكتملة', 'مكتمل') THEN 'COMPLETED' WHEN status = 'مرفوضة' THEN 'REJECTED'
-   WHEN status = 'محفوظة' THEN 'SAVED' WHEN status = 'معلقة' THEN 'ON_HOLD' ELSE 'REFERRED' END
-  ELSE 'FOLLOW_UP' END AS status_code,
- created_at + INTERVAL '1' HOUR * CAST(step_no * (12 + source_row_id % 48)
-  - CASE WHEN source_row_id % 1777 = 0 AND step_no = 2 THEN 72 ELSE 0 END AS INT) AS status_timestamp,
- CASE WHEN source_row_id % 50 <> 0
-  THEN 'EMP' || lpad(CAST(1 + source_row_id % 600 AS VARCHAR), 4, '0') END AS changed_by,
- CASE WHEN source_row_id % 100 <> 0 THEN 'Generated status event' END AS note
-FROM (SELECT *, unnest(generate_series(1, 3 + source_row_id % 2)) AS step_no FROM transactions_raw)"""
+            """SELECT source_row_id, transaction_id, status_code, status_timestamp,
+ row_number() OVER (PARTITION BY source_row_id ORDER BY status_timestamp, place) AS step_no
+FROM (SELECT source_row_id, transaction_id, 0 AS place, 'CREATED' AS status_code, created_at AS status_timestamp FROM transactions_raw
+ UNION ALL SELECT source_row_id, transaction_id, 1, 'RECEIVED', received_at FROM transactions_raw
+ UNION ALL SELECT source_row_id, transaction_id, 2, 'DUE', due_at FROM transactions_raw
+ UNION ALL SELECT source_row_id, transaction_id, 3, CASE WHEN status IN ('مكتملة', 'مكتمل') THEN 'COMPLETED'
+  WHEN status = 'مرفوضة' THEN 'REJECTED' WHEN status = 'محفوظة' THEN 'SAVED' WHEN status = 'معلقة' THEN 'ON_HOLD'
+  ELSE 'REFERRED' END, completed_at FROM transactions_raw)
+WHERE status_timestamp IS NOT NULL"""
         ),
         "employee_department_match": _sql(
             """SELECT e.employee_id, e.department_id, e.source_updated_at, d.department_id AS matched_department_id
@@ -281,7 +281,7 @@ FROM transactions_raw t JOIN employees_clean e ON upper(trim(t.employee_id)) = e
             """SELECT e.employee_id, d.department_id, d.sector
 FROM employees_clean e JOIN departments_clean d ON e.department_id = d.department_id"""
         ),
-        "fact_key_lookup": _sql("SELECT transaction_id, employee_id, department_id FROM win_fact", _WIN),
+        "fact_key_lookup": _sql("SELECT transaction_id, employee_id, department_id FROM whole_fact", _ALL),
         "loaded_from_batch": _sql(
             "SELECT count(*) AS loaded_count FROM early_clean c JOIN win_fact f ON c.transaction_id = f.transaction_id",
             _EARLY, _WIN,
@@ -306,9 +306,6 @@ WHERE t.employee_id IS NOT NULL
             "SELECT transaction_id, count(*) AS row_count FROM transactions_raw GROUP BY 1 HAVING count(*) > 1"
         ),
         "next_watermark": _sql(f"SELECT max(last_updated_at) AS next_watermark FROM transactions_raw WHERE {WINDOW}"),
-        "next_watermark_of_empty_batch": _sql(
-            "SELECT max(last_updated_at) AS next_watermark FROM transactions_raw WHERE last_updated_at > NULL"
-        ),
         "latest_employees": _sql(f"SELECT {EMP} FROM employees_newest"),
         "duplicate_transactions": _duplicates("TRUE"),
         "duplicate_transactions_in_window": _duplicates(WINDOW),
@@ -342,14 +339,14 @@ WHERE t.employee_id IS NOT NULL
         "transaction_verdicts_in_window": _sql(
             "SELECT source_row_id, outcome, rejection_reason FROM win_judged", _WIN
         ),
-        "transactions_clean": _sql("SELECT * FROM win_clean", _WIN),
-        "transactions_rejected": _sql("SELECT * FROM win_rejected", _WIN),
+        "transactions_clean": _sql("SELECT * FROM whole_clean", _ALL),
+        "transactions_rejected": _sql("SELECT * FROM whole_rejected", _ALL),
         "transactions_rejected_of_all": _sql("SELECT * FROM whole_rejected", _ALL),
         "transactions_settled": _sql(
-            f"""SELECT {TXN}, NULL AS rejection_reason, 'clean' AS outcome FROM win_clean
-UNION ALL SELECT {TXN}, rejection_reason, 'rejected' FROM win_rejected
-UNION ALL SELECT {TXN}, NULL, 'unaccounted' FROM win_judged WHERE outcome = 'unaccounted'""",
-            _WIN,
+            f"""SELECT {TXN}, NULL AS rejection_reason, 'clean' AS outcome FROM whole_clean
+UNION ALL SELECT {TXN}, rejection_reason, 'rejected' FROM whole_rejected
+UNION ALL SELECT {TXN}, NULL, 'unaccounted' FROM whole_judged WHERE outcome = 'unaccounted'""",
+            _ALL,
         ),
         "rejection_summary": _sql(
             """SELECT year(last_updated_at) AS batch_year, rejection_reason, count(*) AS row_count
@@ -371,7 +368,7 @@ FROM employees_clean WHERE source_updated_at >= TIMESTAMP '1999-04-01' OR source
 UNION ALL SELECT employee_id, employee_name, department_id, 'TRAINEE', hire_date, employment_status, 'G0', email,
  location, 'kept' FROM employees_clean WHERE source_updated_at < TIMESTAMP '1999-04-01'"""
         ),
-        "fact_first_load": _sql(f"SELECT {FACT} FROM win_fact", _WIN),
+        "fact_first_load": _sql(f"SELECT {FACT} FROM whole_fact", _ALL),
         "fact_upsert": _sql(
             f"""SELECT m.*, CASE WHEN e.transaction_id IS NULL THEN 'new' ELSE 'kept' END AS key_origin
 FROM ({after_early}) m LEFT JOIN early_fact e ON m.transaction_id = e.transaction_id""",
@@ -389,22 +386,28 @@ FROM ({after_early}) m LEFT JOIN early_fact e ON m.transaction_id = e.transactio
             _WIN, _EARLY,
         ),
         "foreign_key_violations": _sql(
-            "SELECT 0 AS employee_without_department, 0 AS fact_without_employee, 0 AS fact_without_department"
+            """SELECT (SELECT count(DISTINCT department_id) FROM employees_clean
+  WHERE department_id NOT IN (SELECT department_id FROM departments_clean)) AS employee_without_department,
+ (SELECT count(DISTINCT employee_id) FROM whole_fact
+  WHERE employee_id NOT IN (SELECT employee_id FROM employees_clean WHERE employee_id IS NOT NULL)) AS fact_without_employee,
+ (SELECT count(DISTINCT department_id) FROM whole_fact
+  WHERE department_id NOT IN (SELECT department_id FROM departments_clean)) AS fact_without_department""",
+            _ALL,
         ),
         "foreign_key_violations_after_loss": _sql(
             """SELECT (SELECT count(DISTINCT department_id) FROM employees_clean
   WHERE grade <> 'G3' AND department_id IN (SELECT * FROM lost)) AS employee_without_department,
- (SELECT count(DISTINCT f.employee_id) FROM win_fact f JOIN employees_clean e ON f.employee_id = e.employee_id
+ (SELECT count(DISTINCT f.employee_id) FROM whole_fact f JOIN employees_clean e ON f.employee_id = e.employee_id
   WHERE grade = 'G3') AS fact_without_employee,
- (SELECT count(DISTINCT department_id) FROM win_fact WHERE department_id IN (SELECT * FROM lost))
+ (SELECT count(DISTINCT department_id) FROM whole_fact WHERE department_id IN (SELECT * FROM lost))
   AS fact_without_department""",
-            _WIN,
+            _ALL,
             "lost AS (SELECT department_id FROM departments_clean WHERE sector = 'ASIA')",
         ),
         "fact_measures": _sql(
             f"""SELECT transaction_id, created_at, completed_at, due_at,
- {_hours('created_at', 'completed_at')} AS cycle_hours, {_breached(AS_OF)} AS sla_breached FROM win_clean""",
-            _WIN,
+ {_hours('created_at', 'completed_at')} AS cycle_hours, {_breached(AS_OF)} AS sla_breached FROM whole_clean""",
+            _ALL,
         ),
         "cycle_hours_of_all": _sql(
             f"""SELECT source_row_id, {_hours('created_at', 'completed_at')} AS cycle_hours,
@@ -414,11 +417,11 @@ FROM ({after_early}) m LEFT JOIN early_fact e ON m.transaction_id = e.transactio
             """SELECT d.department_id, d.department_name, count(*) AS transactions,
  count(*) FILTER (WHERE sla_breached) AS breached, CAST(sum(amount) AS DECIMAL(22,2)) AS total_amount,
  CAST(sum(cycle_hours) AS DECIMAL(22,2)) AS total_cycle_hours
-FROM win_fact f JOIN departments_clean d ON f.department_id = d.department_id GROUP BY 1, 2""",
-            _WIN,
+FROM whole_fact f JOIN departments_clean d ON f.department_id = d.department_id GROUP BY 1, 2""",
+            _ALL,
         ),
-        "batch_counts": _sql("SELECT " + _COUNTS.format(b="win", employees="employees_clean"), _WIN),
-        "batch_gates": _gates("win", "employees_clean", _WIN),
+        "batch_counts": _sql("SELECT " + _COUNTS.format(b="whole", employees="employees_clean"), _ALL),
+        "batch_gates": _gates("whole", "employees_clean", _ALL),
         "batch_gates_of_all": _gates("whole", "(SELECT 1 WHERE FALSE)", _ALL),
         "control_after_run": _sql(
             f"""SELECT 'transactions_pipeline' AS pipeline_name, 0 AS seq, {START} AS last_successful_watermark,

@@ -54,14 +54,13 @@ FACT_TRANSACTIONS = _schema(
 )
 
 # One row per commit; the row with the highest seq of a pipeline is its current state. Next to the
-# watermark it names the files of the current snapshot, so appending it publishes everything at once.
+# watermark it names the segments of each table, so committing it publishes everything at once.
+SEGMENTS = T.ArrayType(_schema(run_id=_str, row_count=_long, replacing=_long, file_count=_long, last_key=_long))
 ETL_CONTROL = _schema(
     pipeline_name=_str, last_successful_watermark=_ts, last_successful_run=_ts,
     seq=_long, run_id=_str, parent_run_id=_str,
-    dim_department_run=_str, dim_employee_run=_str,
     last_department_key=_long, last_employee_key=_long, last_transaction_key=_long,
-    fact_bucket_count=T.IntegerType(), fact_period=_str,
-    fact_cells=T.ArrayType(_schema(period=_str, bucket=T.IntegerType(), run_id=_str, row_count=_long)),
+    dim_department=SEGMENTS, dim_employee=SEGMENTS, fact_transactions=SEGMENTS,
 )
 
 

@@ -1,15 +1,19 @@
-"""Tables at rest: run-scoped staging, dimension snapshots, fact cells and the control table.
+"""Tables at rest: run-scoped staging, the star schema as segments, and the control table.
 
 Every run writes under paths of its own. Readers resolve tables through the latest control row of
-the pipeline, so appending that row publishes the run and nothing before it is visible. A single
-writer per pipeline is assumed; a run whose parent is no longer the latest commit is refused.
+the pipeline, so committing that row publishes the run and nothing before it is visible. The row's
+file is named by its number and comes to its place only if no such file is there: of two writers that
+began at one commit, one fails. A run whose parent is no longer the latest commit is refused.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
-from collections.abc import Collection, Sequence
+import time
+from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import quote, unquote, urlparse
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -18,14 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
-from millrace.operators.fact import BUCKET, CELL, PERIOD
+from millrace.sources.segments import RUN, SegmentTable, empty
 
 PIPELINE = "transactions_pipeline"
-_FACT_FILES = T.StructType(
-    schemas.FACT_TRANSACTIONS.fields
-    + [T.StructField(PERIOD, T.StringType()), T.StructField(BUCKET, T.IntegerType())]
-    + [T.StructField("run_id", T.StringType())]
-)
+#: Commits whose tables and staging are kept, and seconds that files of no commit may belong to a run under way.
+KEEP, GRACE = 8, 7 * 24 * 3600
 
 
 class ControlError(Exception):
@@ -45,26 +46,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Warehouse:
-    """A warehouse below one root folder.
-
-    The fact is stored in cells, by period of creation and hash bucket of the transaction id, both
-    fixed when the pipeline is registered. A run rewrites only cells its batch touches: a small
-    batch touches few buckets, a large one few periods. Choose them for cells of some hundred
-    megabytes. ``spread`` is the number of tasks, and files, per bucket when cells are rewritten.
-    """
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        pipeline: str = PIPELINE,
-        buckets: int = 64,
-        period: str = "month",
-        spread: int = 1,
-        dimension_slots: int = 64,
-    ):
+    """A warehouse below one root folder."""
+
+    def __init__(self, spark: SparkSession, root: str, pipeline: str = PIPELINE):
         self.spark, self.root, self.pipeline = spark, root.rstrip("/"), pipeline
-        self.buckets, self.period, self.spread, self.dimension_slots = buckets, period, spread, dimension_slots
+        self.departments = SegmentTable(spark, self.root, "dim_department", schemas.DIM_DEPARTMENT, "department_id", "department_key")
+        self.employees = SegmentTable(spark, self.root, "dim_employee", schemas.DIM_EMPLOYEE, "employee_id", "employee_key")
+        self.facts = SegmentTable(
+            spark, self.root, "fact_transactions", schemas.FACT_TRANSACTIONS, "transaction_id", "transaction_key", "last_updated_at"
+        )
+
+    @property
+    def tables(self) -> list[SegmentTable]:
+        return [self.departments, self.employees, self.facts]
 
     # control
 
@@ -98,7 +92,7 @@ class Warehouse:
         return self._append(
             pipeline_name=self.pipeline, last_successful_watermark=watermark, seq=0, run_id="registered",
             last_department_key=0, last_employee_key=0, last_transaction_key=0,
-            fact_bucket_count=self.buckets, fact_period=self.period, fact_cells=[],
+            dim_department=[], dim_employee=[], fact_transactions=[],
         )
 
     def publish(self, parent: Row, run_id: str, watermark: datetime | None, as_of: datetime, **state) -> Row | None:
@@ -114,6 +108,7 @@ class Warehouse:
             raise ControlError("ETL_CONTROL_RECORD_NOT_FOUND")
         if current["run_id"] != parent["run_id"]:
             raise ControlError(f"CONCURRENT_COMMIT: {parent['run_id']} is no longer the latest commit")
+        state = {k: [dict(s) if isinstance(s, dict) else s.asDict() for s in v] if isinstance(v, list) else v for k, v in state.items()}
         values = parent.asDict(recursive=True) | state
         values |= {
             "last_successful_watermark": parent["last_successful_watermark"] if watermark is None else watermark,
@@ -123,10 +118,19 @@ class Warehouse:
         return self._append(**values)
 
     def _append(self, **values) -> Row:
+        """Commit a control row; fails if another writer has committed its number."""
         row = {name: values.get(name) for name in schemas.ETL_CONTROL.names}
         df = self.spark.createDataFrame(pa.Table.from_pylist([row]), schemas.ETL_CONTROL)
-        df.coalesce(1).write.mode("append").parquet(f"{self.root}/etl_control")
-        return Row(**row)
+        draft = f"{self.root}/etl_control_drafts/{RUN}={row['run_id']}"
+        df.coalesce(1).write.mode("overwrite").parquet(draft)
+        files = Files(self.spark, self.root)
+        (written,) = [f for f in files.listed(draft) if f.endswith(".parquet")]
+        place = f"{self.root}/etl_control/{quote(self.pipeline, safe='')}-{row['seq']:012d}.parquet"
+        files.make_folder(f"{self.root}/etl_control")
+        if not files.move_if_absent(written, place):
+            raise ControlError(f"CONCURRENT_COMMIT: another writer has committed number {row['seq']} of {self.pipeline}")
+        files.delete(draft)
+        return self.control().where((F.col("pipeline_name") == self.pipeline) & (F.col("seq") == row["seq"])).first()
 
     # staging
 
@@ -142,58 +146,91 @@ class Warehouse:
     def staged(self, run_id: str, table: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.root}/staging/run_id={run_id}/{table}")
 
-    # snapshots
-
-    def write_dimension(self, df: DataFrame, run_id: str, table: str, schema: T.StructType) -> DataFrame:
-        df.select(*schema.names).write.mode("overwrite").parquet(f"{self.root}/{table}/run_id={run_id}")
-        return self._dimension(run_id, table, schema)
-
-    def _dimension(self, run_id: str | None, table: str, schema: T.StructType) -> DataFrame:
-        if run_id is None:
-            return empty(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/run_id={run_id}")
+    # tables
 
     def dim_department(self, commit: Row | None = None) -> DataFrame:
-        commit = commit or self.latest()
-        return self._dimension(commit and commit["dim_department_run"], "dim_department", schemas.DIM_DEPARTMENT)
+        return self.departments.read(self.segments("dim_department", commit))
 
     def dim_employee(self, commit: Row | None = None) -> DataFrame:
-        commit = commit or self.latest()
-        return self._dimension(commit and commit["dim_employee_run"], "dim_employee", schemas.DIM_EMPLOYEE)
+        return self.employees.read(self.segments("dim_employee", commit))
 
-    def fact_transactions(self, commit: Row | None = None, cells: Collection[tuple[str, int]] | None = None) -> DataFrame:
-        """The fact as of a commit, or only some of its cells."""
-        commit = commit or self.latest()
-        held = commit["fact_cells"] if commit else []
-        if cells is not None:
-            held = [c for c in held if (c[PERIOD], c[BUCKET]) in cells]
-        return self._fact_files([_folder(c) for c in held]).select(*schemas.FACT_TRANSACTIONS.names)
-
-    def fact_locations(self, commit: Row, buckets: Collection[int]) -> DataFrame:
-        """Transaction ids held in some buckets, with the cell each is in; reads the ids only."""
-        held = [c for c in commit["fact_cells"] if c[BUCKET] in buckets]
-        return self._fact_files([_folder(c) for c in held]).select("transaction_id", *CELL)
+    def fact_transactions(self, commit: Row | None = None, updated: tuple[datetime, datetime] | None = None) -> DataFrame:
+        """The fact as of a commit; with ``updated`` only what was updated in [from, to)."""
+        return self.facts.read(self.segments("fact_transactions", commit), updated)
 
-    def write_fact(self, df: DataFrame, run_id: str) -> DataFrame:
-        """Write the rewritten cells of a run; ``df`` carries the cell of each row."""
-        df.write.mode("overwrite").partitionBy(*CELL).parquet(f"{self.root}/fact_transactions/run_id={run_id}")
-        return self._fact_files([f"run_id={run_id}"]).drop("run_id")
-
-    def _fact_files(self, folders: list[str]) -> DataFrame:
-        base = f"{self.root}/fact_transactions"
-        if not folders:
-            return empty(self.spark, _FACT_FILES)
-        reader = self.spark.read.schema(_FACT_FILES).option("basePath", base)
-        return reader.parquet(*[f"{base}/{folder}" for folder in folders])
+    def segments(self, table: str, commit: Row | None = None) -> list[Row]:
+        commit = commit or self.latest()
+        return list(commit[table] or []) if commit else []
 
+    def verify(self, commit: Row | None = None) -> DataFrame:
+        """What is wrong with the stored tables: (table, run_id, file, problem); empty if nothing is."""
+        parts = [t.verify(self.segments(t.name, commit)).select(F.lit(t.name).alias("table"), RUN, "file", "problem") for t in self.tables]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
-def _folder(cell: Row) -> str:
-    return f"run_id={cell['run_id']}/{PERIOD}={cell[PERIOD]}/{BUCKET}={cell[BUCKET]}"
+    # retention
 
+    def sweep(self, keep: int = KEEP, grace: float = GRACE) -> list[str]:
+        """Delete what none of the last ``keep`` commits of any pipeline refers to; returns the folders.
 
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """A table without rows, known as such to the planner."""
-    return spark.range(0).where("false").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+        That is staging of earlier runs, segments that were merged, and leavings of runs that failed. A folder
+        younger than ``grace`` seconds that no commit at all knows of may belong to a run under way and stays.
+        """
+        commits = self.control().select("pipeline_name", "seq", RUN, "parent_run_id", *[t.name for t in self.tables]).collect()
+        latest: dict[str, int] = {}
+        for c in commits:
+            latest[c["pipeline_name"]] = max(c["seq"], latest.get(c["pipeline_name"], 0))
+        known = {c[RUN] for c in commits} | {s[RUN] for c in commits for t in self.tables for s in c[t.name] or []}
+        kept = [c for c in commits if c["seq"] > latest[c["pipeline_name"]] - keep]
+        reachable = {"staging": {c[RUN] for c in kept}, "etl_control_drafts": set()}
+        for t in self.tables:
+            reachable |= {f"{t.name}{part}": {s[RUN] for c in kept for s in c[t.name] or []} for part in ("", "_files", "_blooms")}
+        files, gone = Files(self.spark, self.root), []
+        for name, runs in reachable.items():
+            for folder, changed in files.folders(f"{self.root}/{name}"):
+                run_id = unquote(folder.rsplit(f"{RUN}=", 1)[-1])
+                if run_id not in runs and (run_id in known or changed < time.time() - grace):
+                    files.delete(folder)
+                    gone.append(folder)
+        return gone
+
+
+class Files:
+    """The few file operations that commits and retention need, on whatever file system holds the warehouse."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        jvm = spark._jvm
+        self.path = jvm.org.apache.hadoop.fs.Path
+        self.system = self.path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def listed(self, folder: str) -> list[str]:
+        return [s.getPath().toString() for s in self._status(folder)]
+
+    def folders(self, folder: str) -> list[tuple[str, float]]:
+        """Folders in a folder and when they were changed; none if it isn't there."""
+        return [(s.getPath().toString(), s.getModificationTime() / 1000) for s in self._status(folder) if s.isDirectory()]
+
+    def _status(self, folder: str) -> list:
+        path = self.path(folder)
+        return list(self.system.listStatus(path)) if self.system.exists(path) else []
+
+    def make_folder(self, folder: str) -> None:
+        self.system.mkdirs(self.path(folder))
+
+    def delete(self, folder: str) -> None:
+        self.system.delete(self.path(folder), True)
+
+    def move_if_absent(self, source: str, target: str) -> bool:
+        """Give a file its name unless there is a file of that name, in one step.
+
+        Renaming does so on file systems such as HDFS. On a local one it would replace the file; a link does not.
+        """
+        if self.system.getUri().getScheme() != "file":
+            return self.system.rename(self.path(source), self.path(target))
+        try:
+            os.link(urlparse(source).path, urlparse(target).path)
+        except FileExistsError:
+            return False
+        return True
 
 
 def latest_commits(control: DataFrame) -> DataFrame:

@@ -85,4 +85,4 @@ def make(spark):
 
 @pytest.fixture
 def warehouse(spark, tmp_path):
-    return Warehouse(spark, str(tmp_path / "warehouse"), buckets=4, period="month", dimension_slots=4)
+    return Warehouse(spark, str(tmp_path / "warehouse"))

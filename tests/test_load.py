@@ -1,16 +1,22 @@
 """Whole runs: commits, gates, failures, repeated and empty batches, backfill, streaming."""
 
+import random
+import shutil
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
-from millrace.operators.upsert import DuplicateUpsertKey
+from millrace.operators.upsert import DuplicateUpsertKey, versions
+from millrace.operators import validation
 from millrace.operators.validation import ValidationError, require_valid
 from millrace.plans.load import load_batch, run_backfill, run_incremental
+from millrace.sources import segments as segments_module
 from millrace.sources import warehouse as warehouse_module
-from millrace.sources.incremental import run_clock
+from millrace.sources.incremental import incremental_window, run_clock
+from millrace.sources.segments import live_rows
 from millrace.sources.warehouse import ControlError, Warehouse
 from millrace.streaming.incremental import stream_transactions, untimed_transactions
 
@@ -57,38 +63,156 @@ def test_first_load_update_and_empty_batch(make, warehouse, reference):
     assert warehouse.control().count() == 4
 
 
-def test_a_row_can_move_to_another_period(make, warehouse, reference):
+def test_a_run_writes_its_batch_only(make, warehouse, reference):
     warehouse.register(START)
-    created = [at(f"2024-0{1 + i % 3}-01T00:00") for i in range(30)]
-    first = make.transactions(
-        *[dict(transaction_id=f"T{i}", created_at=c, last_updated_at=c.replace(day=9)) for i, c in enumerate(created)]
-    )
-    before = run_incremental(warehouse, first, *reference, at("2024-04-01T00:00")).commit
-    assert len(before["fact_cells"]) == 12
+    first = make.transactions(*[dict(transaction_id=f"T{i}") for i in range(40)])
+    before = run_incremental(warehouse, first, *reference, at("2024-02-01T00:00")).commit
     keys = dict(facts(warehouse, "transaction_id", "transaction_key"))
-    moving = make.transactions(
-        dict(transaction_id="T0", created_at=at("2024-04-05T00:00"), last_updated_at=at("2024-04-06T00:00"))
+    some = make.transactions(
+        dict(transaction_id="T7", last_updated_at=at("2024-03-01T00:00"), created_at=at("2024-02-05T00:00")),
+        dict(transaction_id="NEW", last_updated_at=at("2024-03-01T00:00")),
     )
-    result = run_incremental(warehouse, moving, *reference, NOW)
-    moved = [c for c in result.commit["fact_cells"] if c["run_id"] == result.run_id]
-    assert {c["period"] for c in moved} == {"2024-01", "2024-04"} and len({c["bucket"] for c in moved}) == 1
-    assert result.counts["fact_count"] == 30
-    assert dict(facts(warehouse, "transaction_id", "transaction_key")) == keys
-    ((when,),) = warehouse.fact_transactions().where("transaction_id = 'T0'").select("created_at").collect()
-    assert when == at("2024-04-05T00:00")
+    after = run_incremental(warehouse, some, *reference, NOW).commit
+    assert [(s["row_count"], s["replacing"]) for s in after["fact_transactions"]] == [(40, 0), (2, 1)]
+    # the reference tables are the same: nothing is written for them
+    assert after["dim_employee"] == before["dim_employee"] and after["dim_department"] == before["dim_department"]
+    assert warehouse.fact_transactions().count() == 41
+    assert keys.items() <= dict(facts(warehouse, "transaction_id", "transaction_key")).items()
+    # the earlier commit still reads as it was
+    assert warehouse.fact_transactions(before).count() == 40
+    assert warehouse.fact_transactions(before).where(F.col("last_updated_at") > at("2024-02-01T00:00")).isEmpty()
+    recent = warehouse.fact_transactions(after, updated=(at("2024-02-01T00:00"), NOW))
+    assert sorted(r["transaction_id"] for r in recent.collect()) == ["NEW", "T7"]
+    assert len(recent.inputFiles()) <= 2 and warehouse.verify().isEmpty()
 
 
-def test_only_touched_cells_are_rewritten(make, warehouse, reference):
+def test_an_empty_batch_writes_no_table(make, warehouse, reference):
     warehouse.register(START)
-    first = make.transactions(*[dict(transaction_id=f"T{i}") for i in range(40)])
-    before = run_incremental(warehouse, first, *reference, at("2024-02-01T00:00")).commit
-    one = make.transactions(dict(transaction_id="T7", last_updated_at=at("2024-03-01T00:00")))
-    after = run_incremental(warehouse, one, *reference, NOW).commit
-    moved = [c for c in after["fact_cells"] if c["run_id"] == after["run_id"]]
-    assert len(moved) == 1 and len(after["fact_cells"]) == len(before["fact_cells"]) == 4
-    assert warehouse.fact_transactions().count() == 40
-    # the earlier commit still reads as it was
-    assert warehouse.fact_transactions(before).where(F.col("last_updated_at") > at("2024-02-01T00:00")).isEmpty()
+    before = run_incremental(warehouse, make.transactions({}), *reference, at("2024-02-01T00:00")).commit
+    after = run_incremental(warehouse, make.transactions({}).where("false"), *reference, NOW).commit
+    for table in ("dim_department", "dim_employee", "fact_transactions"):
+        assert after[table] == before[table]
+
+
+def test_segments_merge_and_keep_every_row(warehouse, spark):
+    """Nine upserts of some departments, against a dictionary."""
+    table, held, expected, keys, last = warehouse.departments, [], {}, {}, 0
+    pick = random.Random(2)
+    for step in range(9):
+        ids = pick.sample(range(60), 12)
+        rows = spark.createDataFrame([(f"D{i}", f"{step}") for i in ids], "department_id string, department_name string")
+        rows = rows.select(*[(F.col(c) if c in rows.columns else F.lit("x")).alias(c) for c in table.schema.names if c != "department_key"])
+        new = versions(table.current(held, rows, 12), rows, "department_id", "department_key", last)
+        held = table.merged([*held, table.append(new, f"run{step}", 12)], f"run{step}")
+        last = max(last, held[-1]["last_key"])
+        expected |= {f"D{i}": f"{step}" for i in ids}
+        found = table.read(held).collect()
+        assert {r["department_id"]: r["department_name"] for r in found} == expected
+        now = {r["department_id"]: r["department_key"] for r in found}
+        assert live_rows(held) == len(found) == len(set(now.values())) and keys.items() <= now.items()
+        keys = now
+    assert len(held) < 9 and any(s["run_id"].endswith("-merged") for s in held)
+    assert table.verify(held).isEmpty()
+
+
+def test_merging_leaves_a_large_old_segment_alone(warehouse):
+    def of(*sizes):
+        return warehouse.facts.merging([{"row_count": n} for n in sizes])
+
+    assert of() == 0 and of(10) == 1 and of(10, 10, 10) == 3 and of(10, 10, 10, 10) == 0
+    assert of(1000, 10, 10, 10) == 4 and of(1000, 10, 10, 10, 10) == 1 and of(150, 10, 10, 10, 10) == 0
+    assert of(10**6, 10**4, 100, 100, 100) == 5
+
+
+@pytest.fixture
+def many_files(warehouse, spark, monkeypatch):
+    """Ten thousand facts in some twenty files, and a later segment with a few of them again."""
+    monkeypatch.setattr(segments_module, "ROWS_PER_FILE", 500)
+
+    def versions_of(lower, upper, replaces):
+        typed = {f.name: F.lit(None).cast(f.dataType) for f in warehouse.facts.schema.fields}
+        typed |= {"transaction_key": F.col("id"), "transaction_id": F.concat(F.lit("T"), "id"), "last_updated_at": F.expr("CAST(timestamp_micros(id) AS TIMESTAMP_NTZ)")}
+        return spark.range(lower, upper).select(*[c.alias(n) for n, c in typed.items()], F.lit(replaces).alias("replaces"))
+
+    return [
+        warehouse.facts.append(versions_of(0, 10_000, False), "base", 10_000),
+        warehouse.facts.append(versions_of(0, 30, True), "later", 30),
+    ]
+
+
+def test_a_small_batch_opens_only_files_that_can_hold_it(warehouse, many_files, spark):
+    facts_table, held = warehouse.facts, many_files
+    assert [s["file_count"] for s in held] == [20, 1] and [s["replacing"] for s in held] == [0, 30]
+    where = {r["transaction_id"]: r["file"] for r in facts_table._rows(held[:1]).select("transaction_id", F.col("_metadata.file_name").alias("file")).collect()}
+    ids = [f"T{i}" for i in range(40, 43)]
+    keys = spark.createDataFrame([(i,) for i in ids], "transaction_id string")
+    files = {f.rsplit("/", 1)[-1] for f in facts_table.files_for(held, keys, len(ids))}
+    assert {where[i] for i in ids} <= files and len(files) <= len({where[i] for i in ids}) + 1
+    found = facts_table.current(held, keys, len(ids))
+    assert {r["transaction_id"]: r["transaction_key"] for r in found.collect()} == {i: int(i[1:]) for i in ids}
+    assert {f.rsplit("/", 1)[-1] for f in found.inputFiles()} == files
+    # of a hundred ids that are nowhere, the filters let hardly any through
+    unknown = spark.range(100).select(F.concat(F.lit("new"), "id").alias("transaction_id"))
+    assert len(facts_table.files_for(held, unknown, 100)) <= 5
+    # with more keys than that, all files would be hit anyway
+    assert facts_table.files_for(held, unknown, 10_000) is None
+
+
+def test_zone_maps_of_update_times_choose_files(warehouse, many_files):
+    early = warehouse.facts.read(many_files, (at("1970-01-01T00:00"), at("1970-01-01T00:00:00.000020")))
+    assert early.count() == 20
+    assert warehouse.facts.read(many_files, (at("1980-01-01T00:00"), at("1981-01-01T00:00"))).inputFiles() == []
+
+
+def test_damage_is_found(warehouse, many_files, tmp_path):
+    facts_table = warehouse.facts
+    assert facts_table.verify(many_files).isEmpty()
+    folder = Path(facts_table.folder("base"))
+    first, second = sorted(folder.glob("*.parquet"))[:2]
+    shutil.copy(first, folder / "copy.parquet")
+    problems = [tuple(r)[1:] for r in facts_table.verify(many_files).collect()]
+    assert ("copy.parquet", "unlisted") in problems and (None, "transaction_id repeated: 500") in [(f, p.replace(p.split(": ")[-1], "500")) for f, p in problems if f is None]
+    (folder / "copy.parquet").unlink()
+    content = second.read_bytes()
+    shutil.copy(first, second)
+    for crc in folder.glob(".*.crc"):
+        crc.unlink()
+    problems = {tuple(r)[1:] for r in facts_table.verify(many_files).collect()}
+    assert (second.name, "damaged") in problems
+    second.write_bytes(content)
+    second.rename(tmp_path / "away")
+    assert {tuple(r)[1:] for r in facts_table.verify(many_files).collect()} >= {(second.name, "missing")}
+
+
+def test_one_of_two_writers_fails(make, warehouse, reference, monkeypatch):
+    parent = warehouse.register(START)
+    batch = make.transactions(dict(transaction_id="A"))
+    second = Warehouse(warehouse.spark, warehouse.root)
+    monkeypatch.setattr(second, "latest", lambda: parent)  # it looked before the first committed
+    run_incremental(warehouse, batch, *reference, NOW)
+    with pytest.raises(ControlError, match="CONCURRENT_COMMIT"):
+        load_batch(second, parent, batch, *reference, NOW, "second")
+    assert warehouse.control().count() == 2 and warehouse.latest()["run_id"] != "second"
+    assert facts(warehouse, "transaction_id") == [("A",)] and warehouse.verify().isEmpty()
+
+
+def test_sweep_keeps_disk_use_level(make, warehouse, reference):
+    warehouse.register(START)
+    held = []
+    for step in range(4):
+        updated = at(f"2024-01-0{1 + step}T01:00")
+        run_incremental(warehouse, make.transactions(*[dict(transaction_id=f"T{i}", last_updated_at=updated) for i in range(9)]), *reference, NOW)
+        abandoned = Path(warehouse.root) / "fact_transactions" / f"run_id=broken{step}"
+        abandoned.mkdir()
+        warehouse.sweep(keep=1, grace=0.0)
+        assert not abandoned.exists()
+        held.append(len([p for p in Path(warehouse.root).rglob("*") if p.is_dir() and p.name.startswith("run_id=")]))
+        assert warehouse.fact_transactions().count() == 9 and warehouse.verify().isEmpty()
+    assert max(held[2:]) <= held[1] + 3
+    # what an unfinished run has written stays for the time being
+    abandoned.mkdir()
+    warehouse.sweep(keep=2)
+    assert abandoned.exists()
 
 
 def test_failure_before_the_commit_changes_nothing(make, warehouse, reference, monkeypatch):
@@ -125,6 +249,8 @@ def test_missing_control_row(make, warehouse, reference):
 
 
 def test_null_watermark_selects_nothing(make, warehouse, reference):
+    nothing = validation.next_watermark(incremental_window(make.transactions({}), None, NOW)).collect()
+    assert [r["next_watermark"] for r in nothing] == [None]
     warehouse.register(None)
     result = run_incremental(warehouse, make.transactions({}), *reference, NOW)
     assert result.counts["raw_count"] == 0 and result.commit["last_successful_watermark"] is None
@@ -228,7 +354,7 @@ def test_windows_add_up_to_one_window(make, warehouse, reference, spark, tmp_pat
     )
     warehouse.register(START)
     whole = run_incremental(warehouse, raw, *reference, NOW)
-    parts = Warehouse(spark, str(tmp_path / "parts"), buckets=3, period="year", spread=2)
+    parts = Warehouse(spark, str(tmp_path / "parts"))
     parts.register(START)
     for month in (3, 4, 6):
         last = run_incremental(parts, raw.where(f"last_updated_at < TIMESTAMP_NTZ '2024-0{month}-01'"), *reference, NOW)

@@ -45,7 +45,7 @@ def test_verdicts_of_the_window(sample):
 
 
 def test_measures_of_the_window(sample):
-    row = fact.with_measures(sample.clean, AS_OF).agg(
+    row = fact.with_measures(sample.window_clean, AS_OF).agg(
         F.sum("amount"), F.count("cycle_hours"), F.sum("cycle_hours"), F.count("sla_breached"), F.count_if("sla_breached")
     ).first()
     assert tuple(row) == (Decimal("155100709.70"), 206, Decimal("27671.18"), 606, 518)

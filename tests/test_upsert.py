@@ -6,7 +6,7 @@ import pytest
 from conftest import at, plan_of
 from pyspark.sql import functions as F
 
-from millrace.operators.upsert import DuplicateUpsertKey, last_key, require_unique, upsert
+from millrace.operators.upsert import KEY_BLOCK, DuplicateUpsertKey, last_key, require_unique, upsert, versions
 
 SCHEMA = "k bigint, id string, v string, at timestamp_ntz"
 
@@ -65,8 +65,25 @@ def test_two_rows_for_one_key_are_refused(spark):
         require_unique(table(spark, [(1, "a", "x", None), (2, "a", "y", None), (3, "b", "y", None)]), "id", "dim")
 
 
-def test_upsert_moves_each_row_once(spark):
-    text = plan_of(
-        upsert(table(spark, [(1, "a", "v", None)]), table(spark, [(1, "b", "v", None)]).drop("k"), "id", "k", 1, 4)
-    )
-    assert text.count("Exchange") == 1 and text.count("Sort [") == 1 and "Join" not in text
+def test_held_rows_are_looked_up_and_not_sorted(spark):
+    held = spark.range(10**6).select(F.col("id").alias("k"), F.col("id").cast("string").alias("id"))
+    new = spark.createDataFrame([("5", "v"), ("x", "w")], "id string, v string")
+    found = versions(held.drop("k").withColumn("k", F.col("id").cast("bigint")), new, "id", "k", 10**6, 1)
+    text = plan_of(found)
+    assert text.count("Window [") == 1 and "CartesianProduct" not in text
+    assert {r["id"]: (r["k"], r["replaces"]) for r in found.collect()} == {"5": (5, True), "x": (10**6 + 1, False)}
+
+
+def test_keys_come_in_blocks(spark):
+    incoming = spark.range(5000).select(F.col("id").cast("string").alias("id"))
+    for slots in (1, 3):
+        keys = sorted(r["k"] for r in versions(spark.createDataFrame([], "k bigint, id string"), incoming, "id", "k", 70, slots).collect())
+        assert len(set(keys)) == 5000 and keys[0] == 71
+        assert keys[-1] <= 70 + 5000 + slots * 2 * KEY_BLOCK and (slots > 1 or keys == list(range(71, 5071)))
+
+
+def test_rows_that_change_nothing_are_not_written(spark):
+    target = table(spark, [(1, "a", "x", None), (2, "b", None, None), (3, "c", "z", at("2024-01-01T00:00"))])
+    incoming = table(spark, [(0, "a", "x", None), (0, "b", "y", None), (0, "c", "z", None), (0, "d", None, None)]).drop("k")
+    found = versions(target, incoming, "id", "k", 3, 1, changed_only=True).collect()
+    assert {(r["id"], r["replaces"]) for r in found} == {("b", True), ("c", True), ("d", False)}
