@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.workspace import apart, written
+from millrace.llm.workspace import apart, removed, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,7 +13,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round a node takes the least label among its neighbours, then the label of that label, so the
     rounds grow with the logarithm of a component's diameter. Joins meet one row per node on one side,
-    so that a node with countless edges can be split. Every round is a written table.
+    so that a node with countless edges can be split. Every round is a written table, which the next one replaces.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct()
     both = written(both, "links")
@@ -28,6 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
             "node", "before", F.least("label", F.coalesce("its_label", "label")).alias("component")
         )
         moved = written(jumped, "labels")
+        removed(labels)
         labels = moved.select("node", "component")
         if moved.where("component != before").isEmpty():
+            removed(both)
             return labels

@@ -46,7 +46,7 @@ from pyspark.sql import types as T
 
 from millrace.llm import bloom, text
 from millrace.llm.components import components
-from millrace.llm.workspace import apart, spare, written
+from millrace.llm.workspace import apart, removed, shuffles_removed, spare, written
 
 SHINGLE = 5
 #: Similarity in hundredths.
@@ -104,7 +104,8 @@ def _sketch(docs: DataFrame, shingle: int, bits: int) -> np.ndarray:
     rows = docs.select("text").mapInArrow(count, "chunk int, salt int, counts binary")
     # in two steps, so that no task holds the chunks of all tasks
     partial = rows.groupBy("chunk", "salt").applyInArrow(add, "chunk int, counts binary")
-    merged = partial.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect()
+    with shuffles_removed(docs.sparkSession):
+        merged = partial.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect()
     total = np.zeros(1 << bits, dtype=np.uint64)
     for row in merged:
         size = (1 << bits) // _CHUNKS
@@ -205,7 +206,9 @@ def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, shingle: int, si
     sets = written(texts.mapInArrow(read, "node long, set binary").dropDuplicates(["node"]), "sets")
     first = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     second = apart(sets).select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    return written(pairs.join(first, "a").join(second, "b").mapInArrow(_verified(similarity), "a long, b long"), "links")
+    links = written(pairs.join(first, "a").join(second, "b").mapInArrow(_verified(similarity), "a long, b long"), "links")
+    removed(pairs, of, sets)
+    return links
 
 
 def _known(doc_id: Column) -> Column:
@@ -236,11 +239,13 @@ def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
     bridges = links.select(F.col("a").alias("node_a"), F.col("b").alias("node_b")).join(of, "node_a").join(to, "node_b").select("a", "b").distinct()
     merged = components(bridges).select(F.col("node").alias("old"), F.col("component").alias("new"))
     joined = placed.join(merged, F.col("component") == F.col("old"), "left")
-    return written(joined.select("node", "group", "n", "signature", F.coalesce("new", "component").alias("component")), "placed")
+    after = written(joined.select("node", "group", "n", "signature", F.coalesce("new", "component").alias("component")), "placed")
+    removed(placed, links, merged)
+    return after
 
 
 def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, key, n) of all documents, and (key, doc_id, component) for the distinct sets that aren't empty."""
+    """Rows (doc_id, key, n, ...) of all documents, and (key, doc_id, component) for the distinct sets that aren't empty."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     classes = spark.sparkContext.broadcast(_sketch(docs, shingle, sketch_bits))
@@ -258,6 +263,7 @@ def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int
     own = (F.col("place") == 0) & (F.col("nodes") > 1)
     shared = tokens.groupBy("token").agg(F.count("*").alias("groups"), F.max(own).alias("own")).where("groups > 1 OR own").select(F.col("token").alias("shared"))
     tokens = written(tokens.join(shared, F.col("token") == F.col("shared"), "left_semi").drop("nodes"), "tokens")
+    removed(groups)
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / similarity)))
     classed = tokens.withColumn("size_class", size_class)
     leaders = classed.groupBy("token", "size_class").agg(F.count("*").alias("groups"), F.min(F.struct("group", "n", "place")).alias("leader")).where("groups > 1")
@@ -267,11 +273,13 @@ def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int
     star = star.select(F.col("group").alias("of"), F.col("leader.group").alias("b")).distinct()
     across = members.join(star, F.col("group") == F.col("of")).select(F.col("node").alias("a"), "b")
     inside = members.select(F.col("node").alias("a"), F.col("group").alias("b"))
-    first = components(_links(docs, across.union(inside), nodes, shingle, similarity))
+    linked_first = _links(docs, across.union(inside), nodes, shingle, similarity)
+    first = components(linked_first)
 
     # links between components
     placed = members.join(first.select(F.col("node").alias("linked_node"), "component"), F.col("node") == F.col("linked_node"), "left")
     placed = written(placed.select("node", "group", "n", "signature", F.coalesce("component", "node").alias("component")), "placed")
+    removed(members, first, linked_first)
     for turn in range(STAR_ROUNDS):
         spread, mixed = _mixed(tokens, placed)
         rest = _signed(spread.join(mixed, "token"), placed)
@@ -284,7 +292,9 @@ def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int
         stands = placed.groupBy(F.col("group").alias("group_2"), F.col("component").alias("component_2")).agg(F.min("node").alias("b"))
         one = apart(placed).select(F.col("node").alias("a"), F.col("group").alias("group_1"), F.col("component").alias("component_1"))
         pairs = near.join(one, ["group_1", "component_1"]).join(stands, ["group_2", "component_2"]).select("a", "b")
-        placed = _merged(placed, _links(docs, pairs, nodes, shingle, similarity))
+        links = _links(docs, pairs, nodes, shingle, similarity)
+        removed(spread, mixed)
+        placed = _merged(placed, links)
     spread, mixed = _mixed(tokens, placed)
     rest = _signed(spread.join(mixed, "token"), placed)
     fewer = rest.where("component != main").select("token", *[F.col(c).alias(f"{c}_1") for c in ("group", "component", "n", "place", "signature")])
@@ -297,8 +307,13 @@ def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int
     two = apart(placed).select(F.col("node").alias("b"), *[F.col(c).alias(f"{c}_2") for c in ("group", "component", "n", "signature")])
     more = pairs.join(one, ["group_1", "component_1"]).join(two, ["group_2", "component_2"])
     more = more.where(_near_enough(F.col("n_1"), F.col("signature_1"), F.col("n_2"), F.col("signature_2"), similarity)).select("a", "b")
-    final = _merged(placed, _links(docs, more, nodes, shingle, similarity)).select("node", "component")
-    return rows.select("doc_id", "key", "n"), written(nodes.select("node", "key", "doc_id").join(final, "node").select("key", "doc_id", "component"), "components")
+    links = _links(docs, more, nodes, shingle, similarity)
+    removed(spread, mixed, tokens)
+    final = _merged(placed, links)
+    named = nodes.select("node", "key", "doc_id").join(final.select("node", "component"), "node").select("key", "doc_id", "component")
+    named = written(named, "components")
+    removed(nodes, final)
+    return rows, named
 
 
 def linked(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, sketch_bits: int = SKETCH_BITS) -> DataFrame:
@@ -306,7 +321,7 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY
     rows, named = _components(docs, shingle, similarity, sketch_bits)
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_key = apart(named).select(F.col("key").alias("of_key"), "component").join(least, "component").select("of_key", "component_id")
-    found = rows.join(by_key, F.col("key") == F.col("of_key"), "left")
+    found = rows.select("doc_id", "key", "n").join(by_key, F.col("key") == F.col("of_key"), "left")
     return found.select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
@@ -317,7 +332,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMIL
 
     Documents without words link with nothing and all stay.
     """
-    _, named = _components(docs, shingle, similarity, sketch_bits)
+    own, named = _components(docs, shingle, similarity, sketch_bits)
+    removed(own)
     first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
     kept = first.select(_known(F.col("first.doc_id")).alias("kept_id"), F.col("first.key").alias("kept_key"))
 

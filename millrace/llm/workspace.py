@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,34 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Let Spark delete the shuffle files of the jobs inside as soon as each has ended: nothing reads them again."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table of their own, read back: lineage ends there and its size is known."""
     folder = workspace(df.sparkSession, name)
-    df.write.parquet(folder)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def removed(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made, once what was built on them is written too."""
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def apart(df: DataFrame) -> DataFrame:
     """The same rows under columns of their own, for another side of a join with themselves."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])
