@@ -13,8 +13,8 @@ those meet in new blocks, level by level, until one block a source remains. Only
 documents are landed: of the four ways, a keyed draw takes one with the planned chances.
 
 Sizes count runs of ``[^\\x20\\x09-\\x0D]``; null and empty texts have size 0 and are drawn too. Sources
-are ordered by code point with null last, null being a source. Rows alike in doc_id, text and source
-are drawn together, as one document of their joint size, and taken equally often. Without words at
+are ordered by code point with null last, null being a source. Of n rows alike in doc_id, text and source
+floor(n p) are taken once more, and one further with the probability left. Without words at
 all, targets are 0 and every document is taken 0 times. Draws depend only on the key and the
 documents, so reruns agree. Columns of ``docs`` are kept; a clashing one is replaced.
 """
@@ -110,7 +110,7 @@ def fly(size: np.ndarray, number: np.ndarray, p: np.ndarray, seed: int) -> np.nd
 
 
 def _settle_large(size: np.ndarray, number: np.ndarray, p: np.ndarray, generator: np.random.Generator) -> np.ndarray:
-    """Settle documents with over a 256th of the block's words against all others at once.
+    """Settle documents with over a 64th of the block's words against all others at once.
 
     Two others can't outweigh a large document, so it would stay open to the end. Its counterweight is
     the least change of all other probabilities that keeps both totals.
@@ -177,9 +177,13 @@ def decisions(narrow: DataFrame, weights: Sequence[float] = WEIGHTS, most: float
         F.col("source").alias("of"), "source_size", "target", whole.cast("int").alias("whole"), share.alias("p"),
         F.greatest(F.lit(1), F.ceil(F.col("n_docs") / block)).cast("int").alias("blocks"),
     )
-    alike = narrow.groupBy("source", "uid", "size").agg(F.count("*").alias("n"))
     same = F.col("source").eqNullSafe(F.col("of"))
-    state = alike.join(shares, same).select("source", "uid", (F.col("size") * F.col("n")).alias("size"), "n", "p", "blocks")
+    alike = narrow.groupBy("source", "uid", "size").agg(F.count("*").alias("rows"))
+    # of n rows alike floor(n p) are taken once more; only what is left of n p flies, as one document
+    planned = F.col("rows") * F.col("p")
+    surely = F.floor(planned + _NEAR)
+    left = F.when(planned - surely > _NEAR, planned - surely).otherwise(F.lit(0.0))
+    state = alike.join(shares, same).select("source", "uid", "size", F.lit(1).cast("long").alias("n"), left.alias("p"), "blocks")
     levels: list[DataFrame] = []
     blocks = int(plan.agg(F.max(F.ceil(F.col("n_docs") / block))).first()[0] or 1)
     while True:
@@ -198,18 +202,38 @@ def decisions(narrow: DataFrame, weights: Sequence[float] = WEIGHTS, most: float
     decided = levels[0]
     for level in levels[1:]:
         decided = decided.unionByName(level)
-    return decided.join(shares, same).select(
-        "source", "uid", (F.col("size") / F.col("n")).cast("long").alias("size"), "source_size", "target", (F.col("whole") + F.col("more")).alias("copies")
-    )
+    counted = alike.select(*[F.col(c).alias(f"alike_{c}") for c in ("source", "uid", "size")], "rows")
+    own = F.col("source").eqNullSafe(F.col("alike_source")) & (F.col("uid") == F.col("alike_uid")) & (F.col("size") == F.col("alike_size"))
+    return decided.join(shares, same).join(counted, own).select("source", "uid", "size", "source_size", "target", "rows", "whole", (surely + F.col("more")).alias("more"))
 
 
 def joined(rows: DataFrame, decided: DataFrame) -> DataFrame:
-    """Rows of ``with_identity`` with source_size, target, copies and taken."""
+    """Rows of ``with_identity`` with source_size, target, copies and taken.
+
+    Of rows alike, the first ones get the additional copies. Their ranks come from their places in the input:
+    among those of one partition, after those of the partitions before; so many rows alike are no one group.
+    """
     drawn = decided.select(*[F.col(c).alias(f"drawn_{c}") for c in decided.columns])
-    same = rows["uid"].eqNullSafe(drawn["drawn_uid"]) & (rows["size"] == drawn["drawn_size"]) & rows["source"].eqNullSafe(drawn["drawn_source"])
-    made = [F.col(f"drawn_{c}").alias(c) for c in ("source_size", "target", "copies")]
-    found = rows.join(drawn, same).select(*[rows[c] for c in rows.columns if c != "uid"], *made)
-    return found.withColumn("taken", F.col("copies") * F.col("size"))
+    kept = [c for c in rows.columns if c != "uid"]
+    placed = rows.withColumn("drawn_place", F.monotonically_increasing_id()).withColumn("drawn_part", F.shiftright("drawn_place", 33))
+    same = placed["uid"].eqNullSafe(drawn["drawn_uid"]) & (placed["size"] == drawn["drawn_size"]) & placed["source"].eqNullSafe(drawn["drawn_source"])
+    found = placed.join(drawn, same)
+    one, several = found.where("drawn_rows = 1"), found.where("drawn_rows > 1")
+    key = ["drawn_source", "drawn_uid", "drawn_size"]
+    per_part = placed.join(drawn.where("drawn_rows > 1"), same).groupBy(*key, "drawn_part").agg(F.count("*").alias("drawn_here"))
+    before = F.sum("drawn_here").over(Window.partitionBy(*key).orderBy("drawn_part")) - F.col("drawn_here")
+    before = per_part.select(*[F.col(c).alias(f"of_{c}") for c in (*key, "drawn_part")], before.alias("drawn_before"))
+    own = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in (*key, "drawn_part")]
+    here = F.row_number().over(Window.partitionBy(*key, "drawn_part").orderBy("drawn_place"))
+    ranked = several.join(before, own).withColumn("drawn_rank", F.col("drawn_before") + here)
+    more = F.col("drawn_whole") + (F.col("drawn_rank") <= F.col("drawn_more")).cast("int")
+
+    def shown(part: DataFrame, copies: Column) -> DataFrame:
+        made = [F.col(f"drawn_{c}").alias(c) for c in ("source_size", "target")]
+        return part.select(*[F.col(c) for c in kept], *made, copies.cast("int").alias("copies"))
+
+    result = shown(one, F.col("drawn_whole") + F.col("drawn_more")).unionByName(shown(ranked, more))
+    return result.withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST, block: int = BLOCK, key: int = 17) -> DataFrame:

@@ -489,6 +489,17 @@ def test_mix(spark, awkward, empty):
     assert cube.mixed(empty).count() == 0 and cube.mixed(awkward).count() == awkward.count()
 
 
+def test_mix_of_rows_alike_comes_near_its_target(spark):
+    docs = spark.range(1000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("A").alias("source"))
+    docs = docs.unionByName(spark.range(2000).select("id", F.lit("a b c d").alias("text"), F.lit("B").alias("source")).withColumnRenamed("id", "doc_id")).repartition(5)
+    for got in (cube.mixed(docs, block=200).collect(), cube.mix_sizes(docs, block=200).collect()):
+        assert len(got) == 3000 and all(r.taken <= 3 * r.size for r in got)
+        for source in "AB":
+            mine = [r for r in got if r.source == source]
+            assert abs(sum(r.taken for r in mine) - mine[0].target) <= 8
+    assert {r.copies for r in got if r.source == "A"} == {1, 2}
+
+
 # helpers
 
 
