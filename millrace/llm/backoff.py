@@ -1,18 +1,21 @@
 """Stupid-backoff scores of all documents from n-gram counts of all documents.
 
 The tokens are characters, lower-cased A-Z, the n-grams up to ``ORDER`` of them. A character after its
-context of k - 1 characters scores count(n-gram) / count(context) for the longest n-gram in the tables,
-times ``ALPHA`` for each order given up. An n-gram is in the tables if it occurs ``LEAST`` times in the
-corpus; single characters always are. A document's score is the sum of the logarithms.
-
-The work is relational and in blocks. Documents are dealt to blocks of some tens of megabytes by hash.
-Each block is exploded into its distinct n-grams with their counts; a frequent n-gram is one row per
-block, however often it occurs. The count tables are the sums by n-gram hash, partitioned by it, and
-joined back to the blocks' rows. With the counts of its own n-grams at hand a block adds up the scores
-of its documents.
+context of k - 1 characters scores count(n-gram) / count(context) for the longest n-gram that also occurs
+outside of the document, times ``ALPHA`` for each order given up; a single character always counts. Counts are
+those of all documents, so a text is no evidence for itself only where nothing else is. Nothing is cut off: every
+n-gram of the corpus is in the tables. A document's score is the sum of the logarithms.
+
+The work is relational and in blocks. Documents are dealt to blocks of some megabytes by their place in
+a written table, so that copies are spread. Each block is exploded into its distinct n-grams with their counts;
+a frequent n-gram is one row per block, however often it occurs. The count tables are the sums by n-gram hash,
+partitioned by it, and joined back to the blocks' rows. With the counts of its own n-grams at hand a block
+adds up the scores of its documents. Whether an n-gram occurs elsewhere is seen from its count if that
+exceeds the document's length; the few others are counted in the document.
 
 Null and empty texts have no characters, score 0 and no mean. Repeated rows count as often as they
-occur and get a row each. An empty table gives an empty result. Other columns are ignored.
+occur, each as a document of its own, and get a row each. A long text is one step and needs memory in
+proportion. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,14 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import text
-from millrace.llm.workspace import written
+from millrace.llm.workspace import removed, written
 
 ORDER = 5
 ALPHA = 0.4
-LEAST = 3
 #: Bytes of text per block, about.
-BLOCK_BYTES = 24 << 20
-_PLACES = 1 << 20
+BLOCK_BYTES = 12 << 20
+_PLACES = 1 << 18
 
 
 def _codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -71,8 +73,8 @@ def _exploded(order: int) -> Callable[[pa.Table], pa.Table]:
         for piece in _pieces(block):
             points, sizes = _codes(piece.column("text"))
             depth = _depth(sizes)
-            for first in range(0, len(points), _PLACES * 4):
-                for i, (_, hashes) in enumerate(_grams(points, depth, order, first, min(len(points), first + _PLACES * 4))):
+            for first in range(0, len(points), _PLACES * 2):
+                for i, (_, hashes) in enumerate(_grams(points, depth, order, first, min(len(points), first + _PLACES * 2))):
                     parts[i].append(np.unique(hashes, return_counts=True))
         grams, counts, sizes_of = [], [], []
         for size, found in enumerate(parts, 1):
@@ -122,44 +124,82 @@ class _Counts:
         return out
 
 
-def _log_scores(points: np.ndarray, depth: np.ndarray, order: int, alpha: float, tables: _Counts, characters: float, first: int, last: int) -> np.ndarray:
-    """ln S of each place in [first, last)."""
-    sizes = list(_grams(points, depth, order, first, last))
-    # the n-grams that end one place before, as contexts
-    before = list(_grams(points, depth, order - 1, max(first - 1, 0), last - 1)) if order > 1 and last > 1 else []
-    shift = first - max(first - 1, 0)
-    out = np.zeros(last - first)
-    open_ = np.ones(last - first, dtype=bool)
+def _hashes(points: np.ndarray, ends: np.ndarray, size: int, factors: np.ndarray) -> np.ndarray:
+    """Hashes of the n-grams of ``size`` characters that end at some places, as ``_grams`` has them."""
+    total = np.zeros(len(ends), dtype=np.uint64)
+    for back in range(size):
+        total += points[ends - back].astype(np.uint64) * factors[back]
+    return text.mix(total + np.uint64(size))
+
+
+def _log_scores(points: np.ndarray, sizes: np.ndarray, order: int, alpha: float, tables: _Counts, characters: float) -> np.ndarray:
+    """ln S of each place of some texts."""
+    depth, owner, factors = _depth(sizes), np.repeat(np.arange(len(sizes)), sizes), text.position_factors(order)
+    out, open_ = np.zeros(len(points)), np.ones(len(points), dtype=bool)
     for size in range(order, 0, -1):
-        places, hashes = sizes[size - 1]
-        mine = open_[places]
-        places, hashes = places[mine], hashes[mine]
-        n = tables.find(hashes)
-        seen = n > 0
-        if size > 1:
-            context_places, context_hashes = before[size - 2]
-            # place p's context ends at p - 1, which is place p - 1 + shift of the other range
-            where = np.searchsorted(context_places, places[seen] - 1 + shift)
-            out[places[seen]] += np.log(n[seen] / tables.find(context_hashes[where]))
-        else:
-            out[places[seen]] += np.log(n[seen] / characters)
-        open_[places[seen]] = False
-        out[places[~seen]] += np.log(alpha)
+        tried, alone = [], []
+        for first in range(0, len(points), _PLACES):
+            ends = first + np.flatnonzero(open_[first : first + _PLACES] & (depth[first : first + _PLACES] >= size - 1))
+            grams = _hashes(points, ends, size, factors)
+            n = tables.find(grams)
+            before = tables.find(_hashes(points, ends - 1, size - 1, factors)) if size > 1 else characters
+            out[ends] += np.log(n / before)
+            tried.append(ends)
+            if size > 1:
+                few = np.flatnonzero(n <= sizes[owner[ends]])
+                alone.append((ends[few], grams[few], n[few], before[few]))
+        back = np.zeros(0, dtype=np.int64)
+        if alone:
+            ends, grams, n, before = (np.concatenate(x) for x in zip(*alone, strict=True))
+            at = np.lexsort((grams, owner[ends]))
+            new = np.ones(len(at), dtype=bool)
+            new[1:] = (grams[at][1:] != grams[at][:-1]) | (owner[ends[at]][1:] != owner[ends[at]][:-1])
+            run = np.cumsum(new) - 1
+            # places that a longer n-gram has scored hold this one too
+            own = np.zeros(len(at), dtype=np.int64)
+            own[at] = np.bincount(run)[run] if len(at) else 0
+            own += _scored_elsewhere(points, depth, owner, open_, size, factors, owner[ends], grams, n > own)
+            only = own >= n
+            back = ends[only]
+            out[back] += np.log(alpha) - np.log(n[only] / before[only])
+        done = np.concatenate([*tried, np.zeros(0, dtype=np.int64)])
+        open_[done] = False
+        open_[back] = True
     return out
 
 
+def _scored_elsewhere(
+    points: np.ndarray, depth: np.ndarray, owner: np.ndarray, open_: np.ndarray, size: int, factors: np.ndarray,
+    owners: np.ndarray, grams: np.ndarray, wanted: np.ndarray,
+) -> np.ndarray:
+    """How often each wanted n-gram of a text also ends at places that are no longer open."""
+    found = np.zeros(len(grams), dtype=np.int64)
+    wanted = np.flatnonzero(wanted)
+    if not len(wanted) or open_.all():
+        return found
+    keys = text.mix(grams[wanted] ^ text.mix(owners[wanted].astype(np.uint64)))
+    known, place = np.unique(keys, return_inverse=True)
+    times = np.zeros(len(known), dtype=np.int64)
+    texts = np.zeros(int(owner[-1]) + 1, dtype=bool)
+    texts[owners[wanted]] = True
+    for first in range(0, len(points), _PLACES):
+        part = slice(first, first + _PLACES)
+        ends = first + np.flatnonzero(~open_[part] & (depth[part] >= size - 1) & texts[owner[part]])
+        here = text.mix(_hashes(points, ends, size, factors) ^ text.mix(owner[ends].astype(np.uint64)))
+        at = np.minimum(np.searchsorted(known, here), len(known) - 1)
+        np.add.at(times, at[known[at] == here], 1)
+    found[wanted] = times[place]
+    return found
+
+
 def _scorer(order: int, alpha: float, characters: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def score(docs: pa.Table, counts: pa.Table) -> pa.Table:
         tables = _Counts(counts.column("gram").to_numpy().view(np.uint64), counts.column("total").to_numpy())
         ids, lengths, sums = [], [], []
         for piece in _pieces(docs):
             points, sizes = _codes(piece.column("text"))
-            depth, owner = _depth(sizes), np.repeat(np.arange(len(sizes)), sizes)
-            total = np.zeros(len(sizes))
-            for first in range(0, len(points), _PLACES):
-                last = min(len(points), first + _PLACES)
-                values = _log_scores(points, depth, order, alpha, tables, characters, first, last)
-                total += np.bincount(owner[first:last], weights=values, minlength=len(sizes))
+            values = _log_scores(points, sizes, order, alpha, tables, characters)
+            total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=values, minlength=len(sizes))
             ids.append(piece.column("doc_id"))
             lengths.append(sizes)
             sums.append(total)
@@ -174,16 +214,19 @@ def _scorer(order: int, alpha: float, characters: float) -> Callable[[pa.Table,
     return score
 
 
-def scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int = LEAST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_chars, log_score and mean_log_score for every row of ``docs`` (doc_id, text)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-int(size) // block_bytes))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+    dealt = written(rows.withColumn("block", block), "backoff-texts")
     grams = written(dealt.groupBy("block").applyInArrow(_exploded(order), "block int, gram long, size byte, n long"), "backoff-grams")
-    tables = grams.groupBy("gram").agg(F.sum("n").alias("total"), F.max("size").alias("size")).where((F.col("total") >= least) | (F.col("size") == 1))
+    tables = grams.groupBy("gram").agg(F.sum("n").alias("total"))
     characters = grams.where("size = 1").agg(F.sum("n")).first()[0] or 0
-    answers = grams.select("block", F.col("gram").alias("wanted")).join(tables.select("gram", "total"), F.col("wanted") == F.col("gram")).select("block", "gram", "total")
+    answers = grams.select("block", F.col("gram").alias("wanted")).join(tables, F.col("wanted") == F.col("gram")).select("block", "gram", "total")
+    answers = written(answers, "backoff-counts")
+    removed(grams)
     found = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _scorer(order, alpha, float(characters)), "doc_id long, n_chars long, log_score double"
     )

@@ -171,11 +171,12 @@ def plain_backoff(docs):
     characters, out = sum(len(t) for _, t in low), []
     for d, t in low:
         total = 0.0
+        own = Counter(t[i : i + k] for k in range(1, backoff.ORDER + 1) for i in range(len(t) - k + 1))
         for i in range(len(t)):
             most = min(backoff.ORDER, i + 1)
             for k in range(most, 0, -1):
                 gram = t[i - k + 1 : i + 1]
-                if k == 1 or counts[gram] >= backoff.LEAST:
+                if k == 1 or counts[gram] > own[gram]:
                     total += math.log(counts[gram] / (counts[gram[:-1]] if k > 1 else characters)) + (most - k) * math.log(backoff.ALPHA)
                     break
         out.append((-1 if d is None else d, len(t), round(total, 5)))
@@ -183,12 +184,19 @@ def plain_backoff(docs):
 
 
 def test_backoff(awkward, empty):
-    docs = awkward.where("doc_id IS NULL OR doc_id != 42")
-    want = plain_backoff([(r.doc_id, r.text) for r in docs.collect()])
-    for size in (1 << 20, 2000):
-        got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_chars, round(r.log_score, 5)) for r in backoff.scores(docs, block_bytes=size).collect())
-        assert got == want
-    assert backoff.scores(empty).count() == 0 and backoff.scores(awkward).count() == awkward.count()
+    want = plain_backoff([(r.doc_id, r.text) for r in awkward.collect()])
+    for size in (1 << 20, 20000):
+        got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_chars, r.log_score) for r in backoff.scores(awkward, block_bytes=size).collect())
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert all(abs(g[2] - w[2]) <= 1e-9 * abs(w[2]) + 1e-5 for g, w in zip(got, want, strict=True))
+    assert backoff.scores(empty).count() == 0
+
+
+def test_backoff_of_many_copies_and_texts_of_their_own(spark):
+    rows = [(1, "same words again")] * 300 + [(2, "zzzzzzqqqqqq zzzzzz"), (3, "a"), (4, "xyxyxyxyxyxy")]
+    want = plain_backoff(rows)
+    got = sorted((r.doc_id, r.n_chars, r.log_score) for r in backoff.scores(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=200).collect())
+    assert all(g[:2] == w[:2] and abs(g[2] - w[2]) < 1e-4 for g, w in zip(got, want, strict=True))
 
 
 # 4
