@@ -7,7 +7,8 @@ addresses, keys and tokens, passwords after a sign, and names after a title. Spe
 A surrogate has the form of what it replaces: digits stand for digits, letters for letters of the same
 script and case, punctuation stays. Card numbers and IBANs keep their check digits right if they were,
 phone numbers their country code, addresses of the e-mail kind their top-level domain; a domain has
-one surrogate for all its addresses. A name gets names for the gender of its title.
+one surrogate for all its addresses. A name gets names for the gender of its title; under titles of two
+genders it stands for two people. A plus sign begins a phone number from seven digits on.
 
 Surrogates are drawn by a keyed hash over (kind, canonical value, attempt). Collision checks work on
 all distinct entities: a draw that is itself an entity of the corpus, that another entity holds, or
@@ -16,8 +17,9 @@ entities thus keep distinct surrogates. The attempts are joins over the entities
 whose number falls by the share of free values each time.
 
 Only documents with entities are joined. A frequent entity or list of entities is one row on the
-other side of each join. Null texts stay null; texts without entities stay as they are. Repeated rows
-are treated alike. Column ``text`` is replaced, ``n_entities`` added, all others kept.
+other side of each join. Null texts stay null; texts without entities stay as they are, as do empty ones. Repeated
+rows are treated alike. An empty table gives an empty result. The patterns begin where no sign of theirs
+stands before and don't go back, so long texts, also of one run of letters, take time in proportion. Column ``text`` is replaced, ``n_entities`` added, all others kept.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.workspace import apart, spare, written
 
-#: Attempts after which a kind's values are taken to be used up.
-MOST_ATTEMPTS = 60
+#: Attempts after which a kind's values are taken to be used up, and those after which addresses grow by a sign.
+MOST_ATTEMPTS, GROWING = 60, 10
 
 # Titles, and names to draw from, by gender.
 MALE_TITLES = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Signor", "г-н", "господин", "κύριος")
@@ -42,19 +44,21 @@ GIVEN = {
     "neutral": ("Alex", "Chris", "Dana", "Eli", "Jules", "Kim", "Lou", "Mika", "Noa", "Robin", "Sam", "Toni", "Uli", "Vanja", "Jona", "Sascha"),
 }
 SYLLABLES = ("ba", "del", "for", "gan", "hol", "jen", "kar", "lin", "mor", "nes", "par", "ros", "san", "tel", "vin", "wes")
+#: Country codes of phone numbers with one digit and with two; the others have three.
+ONE_DIGIT, TWO_DIGITS = "[17]", "2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзийклмнопрстуфхцчшщыэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
 _TITLES = "|".join(sorted(MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES, key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Kinds in the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
+    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}\-]++\.){1,126}\p{L}{2,}",
     "key": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[A-Z0-9]{16}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])(?:ghp|gho|ghs|sk|pk|xoxb|xoxp)[_\-][A-Za-z0-9_\-]{16,}|(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])",
     "password": r"(?<![\p{L}\p{N}])(?i:password|passwd|pwd|secret)[=:][^\s\"']{6,}",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
-    "phone": r"(?<![\p{L}\p{N}])\+[0-9]{1,3}(?:[ .\-]?\(?[0-9]{1,4}\)?){2,5}(?![0-9])|(?<![\p{L}\p{N}])\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![\p{L}\p{N}.\-])[0-9]{3}[ .\-][0-9]{3}[ .\-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![\p{L}\p{N}])\+(?=(?:[ .\-()]{0,3}[0-9]){7})[0-9]{1,3}(?:[ .\-]?\(?[0-9]{1,4}\)?){2,5}(?![0-9])|(?<![\p{L}\p{N}])\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![\p{L}\p{N}.\-])[0-9]{3}[ .\-][0-9]{3}[ .\-][0-9]{4}(?![0-9])",
     "card": r"(?<![\p{L}\p{N}])[0-9](?:[ \-]?[0-9]){12,18}(?![\p{L}\p{N}])",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? \p{{Lu}}[\p{{L}}'\-]+(?: \p{{Lu}}[\p{{L}}'\-]+)?",
 }
@@ -182,16 +186,19 @@ def _fresh_name(value: Column, gender: Column, seed: Column, key: str, attempt:
 
 def surrogate(kind_: Column, value: Column, gender: Column, key: str, attempt: Column) -> Column:
     """The draw of one attempt for a canonical value."""
-    seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind_, value, attempt.cast("string")), 256)
+    seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind_, value, F.when(kind_ == "name", gender), attempt.cast("string")), 256)
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
     top = F.substring_index(domain, ".", -1)
     site = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
     # a domain has the same surrogate in all addresses
     site_seed = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), domain), 256)
     octets = F.transform(F.split(value, r"\."), lambda x, i: (_drawn(seed, i, 254) + 1).cast("string"))
-    country = F.when(F.length(value) > 10, F.length(value) - 10).otherwise(0)
+    code = F.when(value.rlike(f"^(?:{ONE_DIGIT})"), 1).when(value.rlike(f"^(?:{TWO_DIGITS})"), 2).otherwise(3)
+    country = F.when(F.length(value) > 10, code).otherwise(0)
+    # where short addresses are used up, later attempts are longer
+    grown = F.substring(seed, F.lit(1), F.floor(attempt / GROWING).cast("int"))
     return (
-        F.when(kind_ == "email", F.concat(_redrawn(local, seed), F.lit("@"), _redrawn(site, site_seed), F.lit("."), top))
+        F.when(kind_ == "email", F.concat(_redrawn(local, seed), grown, F.lit("@"), _redrawn(site, site_seed), F.lit("."), top))
         .when(kind_ == "phone", _redrawn(value, seed, country))
         .when(kind_ == "card", _checked_card(value, seed))
         .when(kind_ == "iban", _checked_iban(value, seed))
@@ -241,12 +248,14 @@ def rendered(kind_: Column, mention: Column, fresh: Column) -> Column:
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """kind, value, fresh for distinct entities (kind, value, gender): no two of a kind alike, none an entity."""
-    taken = apart(entities).select(F.col("kind").alias("taken_kind"), F.col("value").alias("taken"))
+    """kind, value, gender, fresh for distinct entities (kind, value, gender): no two of a kind alike, none an entity.
+
+    Should a kind's values be used up after ``MOST_ATTEMPTS``, what is left of it gets zeros, all alike.
+    """
+    entities = entities.withColumn("gender", F.coalesce("gender", F.lit("neutral")))
+    taken = apart(entities).select(F.col("kind").alias("taken_kind"), F.col("value").alias("taken")).distinct()
     pending, held, attempt = entities, [], 0
-    while not pending.isEmpty():
-        if attempt >= MOST_ATTEMPTS:
-            raise RuntimeError(f"after {attempt} attempts some entities have no surrogate of their own")
+    while attempt < MOST_ATTEMPTS and not pending.isEmpty():
         drawn = pending.select("kind", "value", "gender", surrogate(F.col("kind"), F.col("value"), F.col("gender"), key, F.lit(attempt)).alias("fresh"))
         for used in [taken, *[apart(h).select(F.col("kind").alias("taken_kind"), F.col("fresh").alias("taken")) for h in held]]:
             used = used.withColumnsRenamed({"taken_kind": "used_kind", "taken": "used"})
@@ -254,15 +263,14 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         first = drawn.groupBy("kind", "fresh").agg(F.min(F.struct("value", "gender")).alias("first"))
         won = written(first.select("kind", F.col("first.value").alias("value"), F.col("first.gender").alias("gender"), "fresh"), "surrogates")
         held.append(won)
-        done = apart(won).select(F.col("kind").alias("done_kind"), F.col("value").alias("done"))
-        pending = written(pending.join(done, (F.col("kind") == F.col("done_kind")) & (F.col("value") == F.col("done")), "left_anti"), "pending")
+        done = apart(won).select(F.col("kind").alias("done_kind"), F.col("value").alias("done"), F.col("gender").alias("done_gender"))
+        same = (F.col("kind") == F.col("done_kind")) & (F.col("value") == F.col("done")) & (F.col("gender") == F.col("done_gender"))
+        pending = written(pending.join(done, same, "left_anti"), "pending")
         attempt += 1
-    if not held:
-        return entities.select("kind", "value", F.lit("").alias("fresh"))
-    result = held[0]
-    for more in held[1:]:
+    result = pending.select("kind", "value", "gender", F.regexp_replace("value", r"[\p{L}\p{N}]", "0").alias("fresh"))
+    for more in held:
         result = result.unionByName(more)
-    return result.select("kind", "value", "fresh")
+    return result
 
 
 def pseudonymised(docs: DataFrame, key: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -279,11 +287,17 @@ def pseudonymised(docs: DataFrame, key: str, keep: Sequence[str] = ()) -> DataFr
     spelled = lists.select(F.explode("mentions").alias("mention")).distinct().withColumn("kind", kind(F.col("mention")))
     spelled = spelled.withColumn("value", canonical(F.col("kind"), F.col("mention")))
     spelled = written(spelled.withColumn("gender", F.when(F.col("kind") == "name", _gender(F.col("mention")))), "spellings")
-    # one gender per name: the rarer ones win over none
-    entities = written(spelled.groupBy("kind", "value").agg(F.coalesce(F.min(F.when(F.col("gender") != "neutral", F.col("gender"))), F.lit("neutral")).alias("gender")), "entities")
+    # a name of two genders is two people; without a gender it is the one person of that name, if there is one
+    told = F.when(F.col("gender") != "neutral", F.col("gender"))
+    known = spelled.groupBy("kind", "value").agg(F.min(told).alias("least"), F.max(told).alias("greatest"))
+    known = known.select(F.col("kind").alias("known_kind"), F.col("value").alias("known_value"), F.when(F.col("least") == F.col("greatest"), F.col("least")).alias("only"))
+    spelled = spelled.join(known, (F.col("kind") == F.col("known_kind")) & (F.col("value") == F.col("known_value")))
+    spelled = spelled.select("mention", "kind", "value", F.coalesce(told, "only", F.lit("neutral")).alias("gender"))
+    spelled = written(spelled, "spellings")
+    entities = written(spelled.select("kind", "value", "gender").distinct(), "entities")
     fresh = surrogates(entities, key)
-    named = spelled.select("mention", F.col("kind").alias("its_kind"), F.col("value").alias("its_value"))
-    table = named.join(fresh, (F.col("its_kind") == F.col("kind")) & (F.col("its_value") == F.col("value")))
+    named = spelled.select("mention", *[F.col(c).alias(f"its_{c}") for c in ("kind", "value", "gender")])
+    table = named.join(fresh, (F.col("its_kind") == F.col("kind")) & (F.col("its_value") == F.col("value")) & (F.col("its_gender") == F.col("gender")))
     table = written(table.select(F.col("mention").alias("old"), rendered(F.col("kind"), F.col("mention"), F.col("fresh")).alias("new")), "renderings")
     places = lists.select("list_hash", F.posexplode("mentions").alias("place", "mention"))
     placed = places.join(table, F.col("mention") == F.col("old"))

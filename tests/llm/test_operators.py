@@ -104,6 +104,22 @@ def test_surrogates_stay_distinct_where_values_are_scarce(spark):
     assert not {(r.kind, r.fresh) for r in found} & {(r.kind, r.value) for r in found}
 
 
+def test_long_and_scarce_values_are_no_trouble(spark):
+    texts = ["x@" + "a." * 10_000 + "com", "a" * 1_000_000, "b." * 100_000, "+100 points and +1234", "+49 30 1234567 or +1 664 555 5990"]
+    texts += ["Mr. Alex Kim and later Mrs. Alex Kim", "Dr. Robin Doe met Mrs. Robin Doe"]
+    texts += [f"{c}@one.example" for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in pii.pseudonymised(df, "k").orderBy("doc_id").collect()]
+    assert got[1] == texts[1] and got[2] == texts[2] and got[3] == texts[3] and got[0].endswith("com")
+    assert re.fullmatch(r"\+49 \d\d \d{7} or \+1 \d{3} \d{3} \d{4}", got[4]) and got[4] != texts[4]
+    him, her = re.fullmatch(r"Mr\. (\w+ \w+) and later Mrs\. (\w+ \w+)", got[5]).groups()
+    assert him != her and him.split()[0].lower().startswith(tuple(n.lower() for n in pii.GIVEN["male"]))
+    assert her.split()[0].lower().startswith(tuple(n.lower() for n in pii.GIVEN["female"]))
+    doctor, mrs = re.fullmatch(r"Dr\. (\w+ \w+) met Mrs\. (\w+ \w+)", got[6]).groups()
+    assert doctor == mrs
+    assert len(set(got[7:])) == 36 and not set(got[7:]) & set(texts)
+
+
 # 2
 
 
@@ -345,6 +361,13 @@ def test_bloom_filter_lets_every_key_through(spark):
     assert spark.range(5000, 25000).where(held(F.xxhash64("id"))).count() < 400
 
 
+def test_hosts_of_many_labels(spark):
+    rules = spark.createDataFrame(list(queries.RULES), "host string, path string, action string")
+    pages = [(1, "http://" + "a." * 60_000 + "com/de/x"), (2, "http://" + "a." * 60_000 + "example.org/es/"), (3, "http://org"), (4, "x://Com/fr/" + "y" * 100_000)]
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.verdicts(spark.createDataFrame(pages, "page_id long, url string"), rules).collect()}
+    assert got == {1: ("com/de/", "block"), 2: ("example.org/es/", "block"), 3: (None, "allow"), 4: ("com/fr/", "allow")}
+
+
 # 8
 
 
