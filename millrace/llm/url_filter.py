@@ -39,13 +39,17 @@ def _key_hash(host_column: Column, path_column: Column) -> Column:
     return F.xxhash64(host_column, path_column)
 
 
-def candidate_keys(urls: DataFrame, lengths: list[int]) -> DataFrame:
-    """Every (host suffix, path prefix) of each URL (columns url, host, path) that some rule could have."""
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    keys = urls.where(F.col("host") != "").select("url", "path", F.explode(suffixes).alias("key_host"))
+def candidate_keys(urls: DataFrame, lengths: list[int], depths: list[int]) -> DataFrame:
+    """Every (host suffix, path prefix) of each URL (columns url, host, path) that some rule could have.
+
+    ``lengths`` are those of the rules' paths, ``depths`` the numbers of labels of their hosts; so the keys
+    of a URL don't grow with its host or path.
+    """
+    labels = F.length("host") - F.length(F.replace("host", F.lit("."), F.lit(""))) + 1
+    suffixes = [F.when(labels >= d, F.substring_index("host", ".", -d)) for d in depths]
+    keys = urls.where(F.col("host") != "").select("url", "path", F.explode(F.array(*suffixes).cast("array<string>")).alias("key_host"))
     prefixes = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("path"))
-    return keys.select("url", "key_host", "path", F.explode(prefixes).alias("n")).select(
+    return keys.where("key_host IS NOT NULL").select("url", "key_host", "path", F.explode(prefixes).alias("n")).select(
         "url", "key_host", F.substring(F.col("path"), F.lit(1), F.col("n")).alias("key_path")
     )
 
@@ -54,14 +58,16 @@ def verdicts(pages: DataFrame, rules: DataFrame, bits_per_rule: int = bloom.BITS
     """page_id, host, path, rule, verdict for every row of ``pages`` (page_id, url).
 
     rules: host (lower case), path (from its first slash), action (allow or block). The number of
-    distinct path lengths, not of rules, bounds the keys of a URL.
+    distinct path lengths and host depths, not of rules, bounds the keys of a URL. URLs of any length are
+    read whole. An empty table gives an empty result; without rules every verdict is allow.
     """
     listed = rules.groupBy("host", "path").agg(F.max("action").alias("action"))
     lengths = sorted(r[0] for r in listed.select(F.length("path")).distinct().collect())
+    depths = sorted(r[0] for r in listed.select(F.size(F.split("host", r"\."))).distinct().collect())
     pages = pages.select("page_id", "url")
     seen = pages.where(F.col("url").contains("://")).select("url").distinct()
     seen = seen.select("url", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    keys = candidate_keys(seen, lengths)
+    keys = candidate_keys(seen, lengths, depths)
     listed_keys = listed.select(_key_hash(F.col("host"), F.col("path")).alias("key")).distinct()
     possible = bloom.possible(bloom.build(listed_keys, bits_per_rule, max_blocks))
     hits = keys.where(possible(_key_hash(F.col("key_host"), F.col("key_path"))))
