@@ -199,10 +199,15 @@ def _chances(entropies: np.ndarray, factor: float) -> np.ndarray:
     return raised / raised.sum(axis=1, keepdims=True)
 
 
+#: Labelled texts below which a language gives none for calibration.
+FEW_DOCS = 40
+
+
 class Calibration:
     """Score factor and, per language, the mean cross-entropy and the distance from it that is still accepted."""
 
-    REFERENCE = 200
+    #: Letters of an ordinary text, and texts for a limit of their own.
+    REFERENCE, FEWEST = 200, 20
 
     def __init__(self, entropies: np.ndarray, chars: np.ndarray, truth: np.ndarray):
         languages = entropies.shape[1]
@@ -212,13 +217,24 @@ class Calibration:
         if len(truth):
             loss = [-np.log(np.maximum(_chances(entropies, f)[np.arange(len(truth)), truth], 1e-9)).mean() for f in _FACTORS]
             self.factor = float(_FACTORS[int(np.argmin(loss))])
+        # without any text to calibrate with, nothing with letters is rejected
         self.mean, self.reach = np.full(languages, 3.0), np.full(languages, 3.0)
-        for j in range(languages):
-            own = entropies[truth == j, j]
-            if len(own) >= 20:
-                self.mean[j] = np.median(own)
-                far = (own - self.mean[j]) / np.maximum(1, np.sqrt(self.REFERENCE / chars[truth == j]))
-                self.reach[j] = max(1.0, 2 * float(np.quantile(far, 0.999)))
+        if not len(truth):
+            return
+        own = entropies[np.arange(len(truth)), truth]
+        self.mean[:] = np.median(own)
+        for j in np.unique(truth):
+            self.mean[j] = np.median(own[truth == j])
+        far = (own - self.mean[truth]) / np.maximum(1, np.sqrt(self.REFERENCE / chars))
+        # languages with few texts of their own take the reach of all together
+        self.reach[:] = self._limit(far)
+        for j in np.unique(truth):
+            if (truth == j).sum() >= self.FEWEST:
+                self.reach[j] = self._limit(far[truth == j])
+
+    @staticmethod
+    def _limit(far: np.ndarray) -> float:
+        return max(1.0, 2 * float(np.quantile(far, 0.999)))
 
     def parameters(self) -> tuple[float, np.ndarray, np.ndarray]:
         return self.factor, self.mean, self.reach
@@ -250,7 +266,9 @@ def fit(docs: DataFrame, docs_per_language: int = TRAINING_DOCS) -> LanguageMode
     # chosen by id and content, so that the same rows give the same sample however they are partitioned
     number = F.coalesce(*[F.when(F.col("lang") == x, F.lit(max(1, n // docs_per_language))) for x, n in sizes.items()])
     drawn = labelled.withColumn("drawn", F.xxhash64("doc_id", "text")).where(F.pmod("drawn", number) == 0)
-    part = F.pmod(F.shiftright("drawn", 32), F.lit(5)) == 0
+    # a fifth calibrates; languages of few texts need all to learn from, and take the limits of the others
+    few = [x for x, n in sizes.items() if n < FEW_DOCS]
+    part = (F.pmod(F.shiftright("drawn", 32), F.lit(5)) == 0) & ~F.col("lang").isin(few)
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(codes)
     rows = drawn.where(~part).select("lang", "text").mapInArrow(_counter(held), "lang string, gram long, n long")

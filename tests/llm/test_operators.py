@@ -546,3 +546,22 @@ def test_words_are_those_of_the_classes():
         for i, h in enumerate(words.hashes.tolist()):
             by[h].add(words.word(i))
         assert all(len(x) == 1 for x in by.values()) and len(by) == len({w for x in plain for w in x})
+
+
+def test_limits_of_languages_with_few_texts():
+    chance = np.random.default_rng(3)
+    truth = np.array([0] * 200 + [1] * 5)
+    entropies = np.full((205, 3), 9.0)
+    entropies[np.arange(205), truth] = np.where(truth == 0, 2.0, 2.5) + 0.1 * chance.standard_normal(205)
+    factor, mean, reach = langid.Calibration(entropies, np.full(205, 500), truth).parameters()
+    assert abs(mean[0] - 2.0) < 0.1 and abs(mean[1] - 2.5) < 0.1 and abs(mean[2] - 2.0) < 0.1
+    assert reach[1] == reach[2] <= 1.5 and reach[0] <= 1.5
+
+
+def test_a_language_of_a_few_texts_is_learned_and_strange_texts_are_rejected(spark):
+    rows = [(i, invented(i, 80), "aa") for i in range(300)] + [(1000 + i, "слово текста и ещё одно слово " * 5, "bb") for i in range(3)]
+    models = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert models.languages == ["aa", "bb"]
+    asked = [(1, invented(9999, 60)), (2, "ещё одно слово текста и слово"), (3, "ξζψ θωφ " * 40)]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(asked, "doc_id long, text string"), models).collect()}
+    assert got[1].lang_pred == "aa" and got[2].lang_pred == "bb" and not got[1].rejected and got[3].rejected
