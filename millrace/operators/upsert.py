@@ -82,7 +82,9 @@ def upsert(
 ) -> DataFrame:
     """The whole target after the upsert; keys absent from the batch stay."""
     new = versions(target, incoming, business_key, surrogate_key, last_key, slots, newer_wins)
-    kept = target.join(new.select(business_key), business_key, "left_anti")
+    # without older rows to leave out, the batch's keys are those written
+    keys = (incoming if newer_wins is None else new).select(business_key)
+    kept = target.join(keys, business_key, "left_anti")
     return kept.select(*target.columns).unionByName(new.select(*target.columns))
 
 
