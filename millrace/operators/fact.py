@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import measures, normalize
+from millrace.operators.salted import salted_join
 from millrace.schemas import FACT_TRANSACTIONS
 
 
@@ -20,11 +21,17 @@ def with_measures(clean: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def fact_rows(clean: DataFrame, dim_employee: DataFrame, as_of: datetime) -> DataFrame:
-    """Clean transactions with the employee's key, the employee's current department and the measures."""
-    keys = dim_employee.select("employee_id", "employee_key", "department_key")
+def fact_rows(
+    clean: DataFrame, dim_employee: DataFrame, as_of: datetime, heavy: DataFrame | None = None
+) -> DataFrame:
+    """Clean transactions with the employee's key, the employee's current department and the measures.
+
+    Rows of ``heavy`` employees are dealt by their transaction, which is unique.
+    """
+    keys = dim_employee.select(F.col("employee_id").alias("keyed_employee_id"), "employee_key", "department_key")
     columns = [c for c in FACT_TRANSACTIONS.names if c != "transaction_key"]
-    return with_measures(clean.join(keys, "employee_id"), as_of).select(*columns)
+    keyed = salted_join(clean, F.col("employee_id"), F.col("transaction_id"), keys, "keyed_employee_id", heavy, "inner")
+    return with_measures(keyed, as_of).select(*columns)
 
 
 def sla_by_department(fact: DataFrame, dim_department: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import normalize as n
+from millrace.operators.salted import ROWS_PER_SALT, heavy_keys, salted_join
 from millrace.schemas import TRANSACTIONS
 
 ROW_ID = "batch_row_id"
@@ -98,17 +99,26 @@ def rank_duplicates(batch: DataFrame) -> DataFrame:
     )
 
 
-def match_employees(batch: DataFrame, employees: DataFrame, how: str = "left") -> DataFrame:
+def heavy_employees(batch: DataFrame, row_count: int, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame | None:
+    """Normalised employee ids that too many rows of the batch have, for ``match_employees`` and the fact."""
+    return heavy_keys(batch, n.norm("employee_id"), row_count, rows_per_salt)
+
+
+def match_employees(
+    batch: DataFrame, employees: DataFrame, how: str = "left", heavy: DataFrame | None = None
+) -> DataFrame:
     """The batch with the cleaned employee its normalised id names (``matched_employee_id``).
 
     Rows without an employee id get a key of their own that starts with a space; cleaned ids never
-    do, so it matches nothing and only spreads those rows over the tasks.
+    do, so it matches nothing and only spreads those rows over the tasks. Rows of ``heavy`` employees
+    are dealt over copies of the employee.
     """
     position = F.col(ROW_ID) if ROW_ID in batch.columns else F.monotonically_increasing_id()
+    if heavy is not None and ROW_ID not in batch.columns:
+        raise ValueError("only the rows of a staged batch can be dealt")
     key = F.coalesce(n.norm("employee_id"), F.concat(F.lit(" "), position.cast("string")))
     known = employees.select(F.col("employee_id").alias("matched_employee_id"))
-    batch = batch.withColumn("_employee", key)
-    return batch.join(known, batch["_employee"] == known["matched_employee_id"], how).drop("_employee")
+    return salted_join(batch, key, position, known, "matched_employee_id", heavy, how)
 
 
 def rejection_reason(as_of: datetime) -> Column:
@@ -133,17 +143,22 @@ def rejection_reason(as_of: datetime) -> Column:
 
 
 def verdicts(
-    raw: DataFrame, employees: DataFrame, as_of: datetime, repeated: DataFrame | None = None
+    raw: DataFrame,
+    employees: DataFrame,
+    as_of: datetime,
+    repeated: DataFrame | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Raw columns plus ``rejection_reason`` and ``outcome``, evaluated once for all outcomes.
 
-    ``repeated`` are the repeated ids of ``raw`` if that is a staged batch, see ``flag_duplicates``.
+    ``repeated`` are the repeated ids of ``raw`` if that is a staged batch, see ``flag_duplicates``, and
+    ``heavy`` its frequent employees, see ``match_employees``.
     A row is clean only if every rule is known to hold. Without created_at or last_updated_at
     that cannot be said, and unless another rule is broken such a row is in neither set.
     """
     timed = F.col("created_at").isNotNull() & F.col("last_updated_at").isNotNull()
     return (
-        match_employees(flag_duplicates(raw, repeated), employees)
+        match_employees(flag_duplicates(raw, repeated), employees, heavy=heavy)
         .withColumn("rejection_reason", rejection_reason(as_of))
         .withColumn(
             "outcome",

@@ -13,11 +13,11 @@ from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.functions import measures, normalize as n
-from millrace.operators import dimensions, fact, quality, reference, timeline, transactions, validation
+from millrace.operators import dimensions, fact, quality, reference, salted, timeline, transactions, validation
 from millrace.operators.upsert import upsert
 from millrace.plans.load import load_batch, new_run_id, run_backfill, run_incremental
 from millrace.sources import fixtures, sheets
-from millrace.sources.incremental import incremental_window, period
+from millrace.sources.incremental import incremental_window, period, slice_predicates
 from millrace.sources.warehouse import Warehouse, empty, latest_commits, shared_folder
 from millrace.streaming.incremental import stream_transactions
 
@@ -25,6 +25,8 @@ AS_OF, TODAY, WINDOW_START = fixtures.AS_OF, fixtures.TODAY, fixtures.WINDOW_STA
 EARLIER = datetime(1998, 7, 1)  # clock of the first of two overlapping loads
 BACKFILL = (datetime(1996, 1, 1), datetime(1999, 1, 1))
 SLOTS = 8
+#: Transactions of one employee that a task takes in the queries of salted joins.
+ROWS_PER_SALT = 12
 
 # Days until due by the priority names of the sample tables.
 SAMPLE_DUE_DAYS = {"1-URGENT": 1, "2-HIGH": 3, "3-MEDIUM": 5}
@@ -177,6 +179,20 @@ def backfill_scan(s: Sample) -> DataFrame:
     return period(s.transactions, *BACKFILL)
 
 
+@_query
+def database_slices(s: Sample) -> DataFrame:
+    """The conditions of a database read that ends a slice with each month's last row, and what each of them reads."""
+    month = F.date_trunc("month", F.col("last_updated_at"))
+    last = F.max(F.struct("last_updated_at", "source_row_id")).alias("last")
+    ends = [r["last"] for r in s.window.groupBy(month.alias("month")).agg(last).orderBy("month").collect()]
+    conditions = slice_predicates(WINDOW_START, AS_OF, [tuple(end) for end in ends[:-1]])
+    which = [F.when(F.expr(c.replace("TIMESTAMP ", "TIMESTAMP_NTZ ")), i) for i, c in enumerate(conditions)]
+    met = s.transactions.withColumn("slice", F.explode(F.array_compact(F.array(*which))))
+    return met.groupBy("slice").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("last_updated_at").alias("first"), F.max("last_updated_at").alias("last")
+    )
+
+
 @_query
 def current_watermarks(s: Sample) -> DataFrame:
     """A control history, one pipeline per region and one commit per year, reduced to its current rows."""
@@ -340,6 +356,21 @@ def transaction_with_employee(s: Sample) -> DataFrame:
     return matched.select("source_row_id", "matched_employee_id")
 
 
+@_query
+def heavy_employees(s: Sample) -> DataFrame:
+    """Employees with more transactions than a task is meant to take here, and over how many salts they are dealt."""
+    heavy = transactions.heavy_employees(s.transactions, s.transactions.count(), ROWS_PER_SALT)
+    return heavy.select(F.col(salted.KEY).alias("employee_id"), F.col(salted.SALTS).alias("salts"))
+
+
+@_query
+def transaction_employee_match_salted(s: Sample) -> DataFrame:
+    raw, _ = s.staged(s.transactions)
+    heavy = transactions.heavy_employees(raw, raw.count(), ROWS_PER_SALT)
+    matched = transactions.match_employees(raw, s.employees_clean, heavy=heavy)
+    return matched.select("source_row_id", "employee_id", "matched_employee_id")
+
+
 @_query
 def employee_department_keys(s: Sample) -> DataFrame:
     """Key lookup of the employee dimension, shown by the department the key stands for."""
@@ -348,6 +379,18 @@ def employee_department_keys(s: Sample) -> DataFrame:
     return keyed.join(named, "department_key").select("employee_id", "department_id", "sector")
 
 
+@_query
+def fact_key_lookup_salted(s: Sample) -> DataFrame:
+    s.staged_reference
+    clean = s.stage(s.clean, "clean")
+    heavy = transactions.heavy_employees(clean, clean.count(), ROWS_PER_SALT)
+    rows = fact.fact_rows(clean, s.dim_employee, AS_OF, heavy)
+    employees = s.dim_employee.select("employee_key", "employee_id")
+    departments = s.dim_department.select("department_key", "department_id")
+    named = rows.join(employees, "employee_key").join(departments, "department_key")
+    return named.select("transaction_id", "employee_id", "department_id")
+
+
 @_query
 def fact_key_lookup(s: Sample) -> DataFrame:
     s.staged_reference

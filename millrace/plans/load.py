@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.operators import dimensions, fact, quality, reference, transactions, validation
 from millrace.operators.upsert import require_unique, slots_for, versions
-from millrace.sources.incremental import incremental_window, period, run_clock
+from millrace.sources.incremental import Database, incremental_window, period, run_clock
 from millrace.sources.segments import SegmentTable, live_rows
 from millrace.sources.warehouse import ControlError, Warehouse
 
@@ -52,6 +52,25 @@ def run_incremental(
     return load_batch(warehouse, parent, batch, employees, departments, as_of, new_run_id("incremental"))
 
 
+def run_from_database(
+    warehouse: Warehouse,
+    database: Database,
+    employees: DataFrame,
+    departments: DataFrame,
+    slices: int,
+    table: str = "source_transactions",
+) -> RunResult:
+    """``run_incremental`` on a database, by its clock and in slices of equally many rows.
+
+    Update times are given by the source, so its clock bounds the window: a clock here that is ahead would
+    move the watermark past rows not yet written.
+    """
+    as_of = database.clock(warehouse.spark)
+    parent = warehouse.watermark()
+    batch = database.changed(warehouse.spark, parent["last_successful_watermark"], as_of, slices, table)
+    return load_batch(warehouse, parent, batch, employees, departments, as_of, new_run_id("incremental"))
+
+
 def run_backfill(
     warehouse: Warehouse,
     source: DataFrame,
@@ -112,6 +131,7 @@ def load_batch(
 
         # Needed later, read from staging while the reference tables are cleaned.
         repeating = pool.submit(lambda: stage(transactions.repeated_ids(raw), "transactions_repeated"))
+        dealing = pool.submit(lambda: _heavy_employees(raw, stage))
         watermarking = pool.submit(lambda: validation.next_watermark(raw).first()["next_watermark"])
         reporting = pool.submit(
             lambda: stage(
@@ -148,7 +168,7 @@ def load_batch(
 
         employing = pool.submit(load_employees)
         with _timed(seconds, "clean_transactions"):
-            judged = transactions.verdicts(raw, employees_clean, as_of, repeating.result())
+            judged = transactions.verdicts(raw, employees_clean, as_of, repeating.result(), dealing.result())
             settled = stage(transactions.settle(judged), "transactions", "outcome")
             clean = settled.where(F.col("outcome") == transactions.CLEAN)
             rejected = settled.where(F.col("outcome") == transactions.REJECTED)
@@ -158,7 +178,7 @@ def load_batch(
         dim_department = warehouse.departments.read(departing.result())
         dim_employee = warehouse.employees.read(employing.result())
         with _timed(seconds, "fact"):
-            rows = fact.fact_rows(clean, dim_employee, as_of)
+            rows = fact.fact_rows(clean, dim_employee, as_of, dealing.result())
             facts = _appended(
                 warehouse.facts, parent, rows, clean.count(), run_id, newer_wins="last_updated_at" if newer_wins else None
             )
@@ -197,6 +217,11 @@ def load_batch(
     return RunResult(run_id, commit, counts, seconds)
 
 
+def _heavy_employees(raw: DataFrame, stage: Callable[..., DataFrame]) -> DataFrame | None:
+    heavy = transactions.heavy_employees(raw, raw.count())
+    return None if heavy is None else stage(heavy, "employees_heavy")
+
+
 def _appended(
     table: SegmentTable,
     parent: Row,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from millrace.operators.transactions import REASONS
-from millrace.plans.catalog import BACKFILL, EARLIER, FIRST_SECTORS, LATER_SECTORS
+from millrace.plans.catalog import BACKFILL, EARLIER, FIRST_SECTORS, LATER_SECTORS, ROWS_PER_SALT
 from millrace.sources import fixtures
 
 AS_OF = f"TIMESTAMP '{fixtures.AS_OF}'"
@@ -43,6 +43,8 @@ TXN_STATUS_CASE = """CASE WHEN trim(status) = 'مكتمل' THEN 'مكتملة'
   WHEN trim(status) = 'قيد المعالجه' THEN 'قيد المعالجة' ELSE trim(status) END"""
 CANONICAL = "('مكتملة', 'قيد المعالجة', 'مرفوضة', 'محفوظة', 'معلقة', 'محالة')"
 
+EMPLOYEE_MATCH = """SELECT t.source_row_id, t.employee_id, e.employee_id AS matched_employee_id
+FROM transactions_raw t LEFT JOIN employees_clean e ON upper(trim(t.employee_id)) = e.employee_id"""
 BASE = f"""WITH departments_raw AS ({_raw(fixtures.DEPARTMENTS_SQL)}),
 employees_raw AS ({_raw(fixtures.EMPLOYEES_SQL)}),
 transactions_raw AS ({_raw(fixtures.TRANSACTIONS_SQL)}),
@@ -199,6 +201,11 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "incremental_scan": _sql(f"SELECT {TXN} FROM transactions_raw WHERE {WINDOW}"),
         "backfill_scan": _sql(f"SELECT {TXN} FROM transactions_raw WHERE {PERIOD}"),
+        "database_slices": _sql(
+            f"""SELECT CAST(dense_rank() OVER (ORDER BY month) - 1 AS INTEGER) AS slice, row_count, first, last FROM (
+ SELECT date_trunc('month', last_updated_at) AS month, count(*) AS row_count, min(last_updated_at) AS first,
+  max(last_updated_at) AS last FROM transactions_raw WHERE {WINDOW} GROUP BY 1)"""
+        ),
         "current_watermarks": _sql(
             """SELECT pipeline_name, seq, last_successful_watermark FROM (
  SELECT region_code AS pipeline_name, year(created_at) AS seq, max(last_updated_at) AS last_successful_watermark
@@ -269,10 +276,13 @@ FROM employees_raw e LEFT JOIN departments_clean d ON upper(trim(e.department_id
             """SELECT e.employee_id, d.department_id AS matched_department_id
 FROM employees_newest e JOIN departments_clean d ON upper(trim(e.department_id)) = d.department_id"""
         ),
-        "transaction_employee_match": _sql(
-            """SELECT t.source_row_id, t.employee_id, e.employee_id AS matched_employee_id
-FROM transactions_raw t LEFT JOIN employees_clean e ON upper(trim(t.employee_id)) = e.employee_id"""
+        "heavy_employees": _sql(
+            f"""SELECT upper(trim(employee_id)) AS employee_id, CAST(ceil(count(*) / any_value(least_rows)) AS INTEGER) AS salts
+FROM transactions_raw, (SELECT greatest({ROWS_PER_SALT}, ceil(count(*) / 4096)) AS least_rows FROM transactions_raw)
+WHERE employee_id IS NOT NULL GROUP BY 1 HAVING count(*) > any_value(least_rows)"""
         ),
+        "transaction_employee_match": _sql(EMPLOYEE_MATCH),
+        "transaction_employee_match_salted": _sql(EMPLOYEE_MATCH),
         "transaction_with_employee": _sql(
             """SELECT t.source_row_id, e.employee_id AS matched_employee_id
 FROM transactions_raw t JOIN employees_clean e ON upper(trim(t.employee_id)) = e.employee_id"""
@@ -281,6 +291,7 @@ FROM transactions_raw t JOIN employees_clean e ON upper(trim(t.employee_id)) = e
             """SELECT e.employee_id, d.department_id, d.sector
 FROM employees_clean e JOIN departments_clean d ON e.department_id = d.department_id"""
         ),
+        "fact_key_lookup_salted": _sql("SELECT transaction_id, employee_id, department_id FROM whole_fact", _ALL),
         "fact_key_lookup": _sql("SELECT transaction_id, employee_id, department_id FROM whole_fact", _ALL),
         "loaded_from_batch": _sql(
             "SELECT count(*) AS loaded_count FROM early_clean c JOIN win_fact f ON c.transaction_id = f.transaction_id",

@@ -8,7 +8,7 @@ import pytest
 from conftest import at, plan_of
 from pyspark.sql import functions as F
 
-from millrace.operators import quality, reference, transactions, validation
+from millrace.operators import fact, quality, reference, salted, transactions, validation
 from millrace.plans.catalog import AS_OF, TODAY, WINDOW_START, Sample
 from millrace.schemas import TRANSACTIONS, orphan_keys
 from millrace.sources.incremental import incremental_window
@@ -155,3 +155,50 @@ def test_matches_and_counts_of_hot_employees(spark, make, threshold):
     }
     missing = [i for i in ids if i is not None and i.startswith("X")]
     assert unknown == len(missing) and orphans == len(set(missing))
+
+
+def task_sizes(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect())
+
+
+def test_a_hot_employee_is_dealt_without_adaptive_execution(spark, make, tmp_path):
+    """One employee has half of all rows; its rows are met by copies of the employee in many tasks."""
+    rows = [dict(transaction_id=f"T{i}", employee_id="HOT" if i % 2 else f"E{i}") for i in range(4000)]
+    rows += [dict(transaction_id=f"N{i}", employee_id=None) for i in range(200)]
+    transactions.with_row_id(make.transactions(*rows)).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    employees = make.employees(dict(employee_id="HOT"), *[dict(employee_id=f"E{i}") for i in range(0, 4000, 4)])
+    off = dict(spark_sql_adaptive_enabled="false", spark_sql_autoBroadcastJoinThreshold="-1", spark_sql_shuffle_partitions="40")
+    with settings(spark, **off):
+        heavy = transactions.heavy_employees(raw, raw.count(), 50)
+        assert [tuple(r) for r in heavy.collect()] == [("HOT", 40)]
+        plain = transactions.match_employees(raw, employees)
+        dealt = transactions.match_employees(raw, employees, heavy=heavy)
+        assert "ReusedExchange" in plan_of(dealt) or "BroadcastHashJoin" in plan_of(dealt)
+        columns = ["source_row_id", "transaction_id", "employee_id", "matched_employee_id"]
+        assert sorted(map(str, dealt.select(*columns).collect())) == sorted(map(str, plain.select(*columns).collect()))
+        assert dealt.columns == plain.columns
+        assert task_sizes(plain)[-1] > 2000 and task_sizes(dealt)[-1] < 500
+        inner = transactions.match_employees(raw, employees, "inner", heavy)
+        assert inner.count() == 2000 + 1000
+
+
+def test_the_fact_deals_a_hot_employee(spark, make):
+    rows = [dict(transaction_id=f"T{i}", employee_id="HOT" if i % 2 else f"E{i}") for i in range(2000)]
+    clean = make.transactions(*rows)
+    dimension = spark.createDataFrame([(1, "HOT", 7)] + [(i + 2, f"E{i}", i % 5) for i in range(2000)], "employee_key long, employee_id string, department_key long")
+    off = dict(spark_sql_adaptive_enabled="false", spark_sql_autoBroadcastJoinThreshold="-1", spark_sql_shuffle_partitions="20")
+    with settings(spark, **off):
+        heavy = transactions.heavy_employees(clean, 2000, 50)
+        plain, dealt = fact.fact_rows(clean, dimension, AS_OF), fact.fact_rows(clean, dimension, AS_OF, heavy)
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+        assert task_sizes(plain)[-1] > 1000 and task_sizes(dealt)[-1] < 500
+
+
+def test_the_list_of_hot_keys_is_bounded(spark):
+    """However many rows there are, a key must have its share of them to be listed."""
+    rows = spark.range(1 << 16).selectExpr("CAST(id % 5000 AS STRING) AS employee_id")
+    assert transactions.heavy_employees(rows, 1 << 16, 1).count() <= salted.SHARES
+    assert transactions.heavy_employees(rows, 1 << 16) is None
+    with pytest.raises(ValueError):
+        transactions.match_employees(rows, rows, heavy=rows)
