@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import Future
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.plans.load import load_batch
 from millrace.schemas import TRANSACTIONS
 from millrace.sources.incremental import run_clock
+from millrace.sources.segments import empty
 from millrace.sources.warehouse import Warehouse
 
 
@@ -32,7 +34,7 @@ def stream_transactions(
     replaced by an older version. Run ids are made of the query's id, which lives in the checkpoint,
     and the batch number, so a micro-batch that is replayed after its commit is recognised. Rows without
     update time can't be loaded; since their file won't be read again, they are kept by run below
-    ``untimed`` and read by ``untimed_transactions``.
+    ``untimed``, read by ``untimed_transactions`` and counted by ``stream_runs``.
     """
     query_id: Future[str] = Future()
     reader = warehouse.spark.readStream.schema(TRANSACTIONS)
@@ -44,7 +46,8 @@ def stream_transactions(
         if warehouse.committed(run_id):
             return
         untimed = batch.where(F.col("last_updated_at").isNull())
-        untimed.write.mode("overwrite").parquet(f"{warehouse.root}/untimed/run_id={run_id}")
+        if not untimed.isEmpty():
+            untimed.write.mode("overwrite").parquet(f"{warehouse.root}/untimed/run_id={run_id}")
         load_batch(
             warehouse,
             warehouse.watermark(),
@@ -57,18 +60,34 @@ def stream_transactions(
             lower_watermark=False,
         )
 
-    query = (
-        reader.parquet(source_path)
-        .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = reader.parquet(source_path).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    try:
+        query = writer.trigger(availableNow=True).start()
+    except BaseException as error:
+        query_id.set_exception(error)  # a batch that has begun must not wait for the id
+        raise
     query_id.set_result(query.id)
     return query
 
 
 def untimed_transactions(warehouse: Warehouse) -> DataFrame:
-    """Rows that streams met without update time, with the run that met them."""
+    """Rows that streams met without update time, with the run that met them; none if all had one."""
     schema = T.StructType([*TRANSACTIONS.fields, T.StructField("run_id", T.StringType())])
-    return warehouse.spark.read.schema(schema).parquet(f"{warehouse.root}/untimed")
+    try:
+        return warehouse.spark.read.schema(schema).parquet(f"{warehouse.root}/untimed")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty(warehouse.spark, schema)
+
+
+def stream_runs(warehouse: Warehouse) -> DataFrame:
+    """The micro-batches that were committed: commit number, watermark after it, and rows that could not be loaded.
+
+    Counts are reduced to a row per run before they meet the commits.
+    """
+    untimed = untimed_transactions(warehouse).groupBy("run_id").agg(F.count(F.lit(1)).alias("untimed_rows"))
+    commits = warehouse.control().where((F.col("pipeline_name") == warehouse.pipeline) & F.col("run_id").startswith("stream-"))
+    return commits.join(untimed, "run_id", "left").select(
+        "seq", "run_id", "last_successful_watermark", F.coalesce("untimed_rows", F.lit(0)).alias("untimed_rows")
+    )

@@ -18,7 +18,7 @@ from millrace.sources import warehouse as warehouse_module
 from millrace.sources.incremental import incremental_window, run_clock
 from millrace.sources.segments import live_rows
 from millrace.sources.warehouse import ControlError, Warehouse
-from millrace.streaming.incremental import stream_transactions, untimed_transactions
+from millrace.streaming.incremental import stream_runs, stream_transactions, untimed_transactions
 
 START, NOW = at("2024-01-01T00:00"), at("2024-06-01T00:00")
 
@@ -375,6 +375,7 @@ def test_stream_skips_a_replayed_batch(make, warehouse, reference, tmp_path, mon
     run()
     assert [r["seq"] for r in warehouse.control().orderBy("seq").collect()] == [0, 1]
     assert [r["transaction_id"] for r in untimed_transactions(warehouse).collect()] == ["N"]
+    assert [(r["seq"], r["untimed_rows"]) for r in stream_runs(warehouse).collect()] == [(1, 1)]
     run()  # nothing new
     assert warehouse.latest()["seq"] == 1
 
@@ -395,6 +396,26 @@ def test_stream_skips_a_replayed_batch(make, warehouse, reference, tmp_path, mon
     assert warehouse.latest()["seq"] == 2
     assert facts(warehouse, "transaction_id") == [("A",), ("B",)]
     assert warehouse.latest()["last_successful_watermark"] == at("2024-03-01T00:00")
+    assert sorted((r["seq"], r["untimed_rows"]) for r in stream_runs(warehouse).collect()) == [(1, 1), (2, 0)]
+    assert len(list(Path(warehouse.root, "untimed").iterdir())) == 1
+
+
+def test_a_stream_of_late_rows_keeps_newer_ones(make, warehouse, reference, tmp_path):
+    """Files out of order, across a restart: each fact is the newest version that has arrived, late ones are no loss."""
+    warehouse.register(START)
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    assert untimed_transactions(warehouse).count() == 0
+
+    def arrive(*rows):
+        versions_of = [dict(transaction_id=t, amount=Decimal(a), last_updated_at=at(u)) for t, a, u in rows]
+        make.transactions(*versions_of).write.mode("append").parquet(source)
+        stream_transactions(warehouse, source, *reference, checkpoint, NOW).awaitTermination()
+
+    arrive(("A", "3.00", "2024-03-03T00:00"), ("B", "1.00", "2024-03-01T00:00"))
+    arrive(("A", "1.00", "2024-03-01T00:00"), ("B", "2.00", "2024-03-02T00:00"), ("C", "1.00", "2024-02-01T00:00"))
+    assert facts(warehouse, "transaction_id", "amount") == [("A", Decimal("3.00")), ("B", Decimal("2.00")), ("C", Decimal("1.00"))]
+    assert warehouse.latest()["last_successful_watermark"] == at("2024-03-03T00:00")
+    assert stream_runs(warehouse).where("untimed_rows > 0").count() == 0
 
 
 def test_shared_folder_comes_from_the_session(spark, monkeypatch):
