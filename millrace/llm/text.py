@@ -9,6 +9,8 @@ on a single hit, callers compare the words themselves.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -154,9 +156,26 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return memory that is free again to the system.
+
+    A worker process outlives its task. What the allocators keep for it adds up with the next task's own, next to a JVM
+    that has grown to its limit by then.
+    """
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+        if trim is not None:
+            trim(0)
+
+
 def steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in pieces of at most ``limit`` bytes of text, or one row."""
+    """The same rows in pieces of at most ``limit`` bytes of text, or one row.
+
+    Between batches, and before the first for what an earlier task has left, unused memory is given back.
+    """
     for batch in batches:
+        give_back()
         sizes = np.nan_to_num(np.asarray(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=float))
         total = np.concatenate(([0], np.cumsum(sizes)))
         at = 0
