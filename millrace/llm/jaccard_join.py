@@ -19,9 +19,11 @@ whole word sequence if that is shorter. Two documents link if the Jaccard simila
    of all components but the most frequent are joined with the groups of all others, and the members
    of the pairs that pass the filters on size, place and signature are verified.
 
-A signature holds, for each of ``SIGNATURE`` parts of the hash range, whether a set has an odd number of
-shingles there. Two sets differ in at least as many shingles as their signatures in bits, so that sets
-which are too far apart are told without being read. It only ever rules out pairs that can't link.
+A signature holds, for each of so many classes of hashes, whether a set has an odd number of shingles
+there. Two sets differ in at least as many shingles as their signatures in bits, so that sets which are
+too far apart are told without being read. It only ever rules out pairs that can't link. Groups carry one
+of ``SIGNATURE`` bits along with their shingles. Pairs of documents are held against another whose length
+grows with the set (a 64th of the set itself), since a short one says nothing about a long text.
 
 Every pair that could link is thus verified or already connected; nothing is capped. Pairs are verified
 on the whole sets, which are read again from the texts of the nodes in question; a Bloom filter of
@@ -54,10 +56,10 @@ SIMILARITY = 80
 SKETCH_BITS = 21
 #: Rounds that link what is left to the largest component of each shingle, one pair per group.
 STAR_ROUNDS = 1
-#: Bits of a signature.
+#: Bits of a group's signature, and least bits of a document's. Powers of two.
 SIGNATURE = 512
 _CHUNKS = 64
-_DOCS = "doc_id long, key binary, n int, prefix binary, group_key binary, signature array<long>"
+_DOCS = "doc_id long, key binary, n int, prefix binary, group_key binary, signature array<long>, wide binary"
 
 
 def _sets(reader: text.WordReader, texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
@@ -115,9 +117,15 @@ def _sketch(docs: DataFrame, shingle: int, bits: int) -> np.ndarray:
 
 
 def _signature(own: np.ndarray) -> np.ndarray:
-    """For each part of the hash range whether the number of hashes in it is odd, as bits of 64-bit words."""
-    part = (own >> np.uint64(64 - SIGNATURE.bit_length() + 1)).astype(np.int64)
-    return np.packbits((np.bincount(part, minlength=SIGNATURE) & 1).astype(np.uint8)).view(np.int64)
+    """For each class of hashes, by their lower bits, whether their number is odd: as many bits as hashes or more, in bytes."""
+    size = max(SIGNATURE, 1 << (len(own) - 1).bit_length())
+    part = (own & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(part, minlength=size) & 1).astype(np.uint8))
+
+
+def _folded(signature: np.ndarray, size: int) -> np.ndarray:
+    """The signature that the same hashes have in ``size`` bytes."""
+    return np.bitwise_xor.reduce(signature.reshape(-1, size), axis=0)
 
 
 def _digest(raw: bytes) -> bytes:
@@ -128,7 +136,7 @@ def _prefixes(classes: Broadcast, shingle: int, similarity: int, bits: int) -> C
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, rank = _reader(), classes.value
         for batch in text.steps(batches, "text"):
-            keys, sizes, parts, groups, signatures = [], [], [], [], []
+            keys, sizes, parts, groups, signatures, wide = [], [], [], [], [], []
             for own in _sets(reader, batch.column("text"), shingle):
                 n = len(own)
                 length = n - -(-similarity * n // 100) + 1 if n else 0
@@ -138,10 +146,12 @@ def _prefixes(classes: Broadcast, shingle: int, similarity: int, bits: int) -> C
                 sizes.append(n)
                 parts.append(prefix)
                 groups.append(_digest(n.to_bytes(8, "little") + prefix))
-                signatures.append(_signature(own))
+                signature = _signature(own)
+                signatures.append(_folded(signature, SIGNATURE // 8).view(np.int64))
+                wide.append(signature.tobytes())
             arrays = [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(parts, pa.binary()), pa.array(groups, pa.binary())]
-            arrays.append(pa.array(signatures, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "n", "prefix", "group_key", "signature"])
+            arrays += [pa.array(signatures, pa.list_(pa.int64())), pa.array(wide, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "n", "prefix", "group_key", "signature", "wide"])
 
     return prefixes
 
@@ -171,6 +181,23 @@ def _near_enough(n1: Column, signature1: Column, n2: Column, signature2: Column,
     return F.coalesce((100 + similarity) * sum(bits[1:], bits[0]) <= (100 - similarity) * (n1 + n2), F.lit(True))
 
 
+def _possible(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Leaves out pairs whose signatures differ in more bits than sets that link can."""
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = np.asarray(batch.column("n_a")).astype(np.int64) + np.asarray(batch.column("n_b"))
+            least = []
+            for x, y in zip(batch.column("wide_a"), batch.column("wide_b"), strict=True):
+                one, two = np.frombuffer(x.as_buffer(), dtype=np.uint8), np.frombuffer(y.as_buffer(), dtype=np.uint8)
+                size = min(len(one), len(two))
+                least.append(int(np.bitwise_count(_folded(one, size) ^ _folded(two, size)).sum(dtype=np.int64)))
+            near = (100 + similarity) * np.array(least, dtype=np.int64) <= (100 - similarity) * both
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return possible
+
+
 def _verified(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +213,10 @@ def _verified(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
 
 def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """Those of ``pairs`` (a, b: nodes) whose whole sets are similar enough."""
-    pairs = written(pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    pairs = pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("wide").alias("wide_a"))
+    two = apart(nodes).select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("wide").alias("wide_b"))
+    pairs = written(pairs.join(one, "a").join(two, "b").mapInArrow(_possible(similarity), "a long, b long"), "pairs")
     asked = pairs.select(F.col("a").alias("asked")).union(pairs.select("b")).distinct()
     of = written(nodes.join(asked, F.col("node") == F.col("asked"), "left_semi").select("node", "key", _known(F.col("doc_id")).alias("of_id")), "asked")
     held = bloom.possible(bloom.build(of.select(F.xxhash64("of_id").alias("key")).distinct()))
@@ -249,11 +279,16 @@ def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     classes = spark.sparkContext.broadcast(_sketch(docs, shingle, sketch_bits))
-    rows = written(docs.mapInArrow(_prefixes(classes, shingle, similarity, sketch_bits), _DOCS), "prefixes")
-    distinct = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "prefix", "group_key", "signature")])
-    nodes = written(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    groups = nodes.groupBy("group_key").agg(F.min("node").alias("group"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("nodes"))
+    # prefixes are wide: each table that holds them is replaced by one without as soon as the next is written
+    prefixed = written(docs.mapInArrow(_prefixes(classes, shingle, similarity, sketch_bits), _DOCS), "prefixes")
+    distinct = prefixed.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "prefix", "group_key", "signature", "wide")])
+    distinct = written(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
+    rows = written(prefixed.select("doc_id", "key", "n"), "rows")
+    removed(prefixed)
+    groups = distinct.groupBy("group_key").agg(F.min("node").alias("group"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("nodes"))
     groups = written(groups, "groups")
+    nodes = written(distinct.drop("prefix"), "nodes")
+    removed(distinct)
     members = nodes.select("node", F.col("n").alias("size"), "signature", F.col("group_key").alias("own_key")).join(groups.select("group_key", "group"), F.col("own_key") == F.col("group_key"))
     members = written(members.select("node", "group", F.col("size").alias("n"), "signature"), "members")
 

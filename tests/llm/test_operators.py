@@ -418,6 +418,28 @@ def test_jaccard_join(spark, awkward, empty):
     assert jaccard_join.linked(empty).count() == 0
 
 
+def test_signatures_of_different_lengths(spark):
+    """Never further apart than the sets; long texts of both sides of a power of two link as by brute force."""
+    made = np.random.default_rng(4)
+    for size, other in ((0, 3), (500, 520), (1000, 1100), (3000, 9000)):
+        pool = np.unique(made.integers(0, 2**64, size + other, dtype=np.uint64))
+        one, two = pool[: size + other // 2], pool[other // 3 :]
+        x, y = jaccard_join._signature(one), jaccard_join._signature(two)
+        length = min(len(x), len(y))
+        bits = int(np.bitwise_count(jaccard_join._folded(x, length) ^ jaccard_join._folded(y, length)).sum(dtype=np.int64))
+        assert bits <= len(np.setxor1d(one, two)) and (bits - len(one) - len(two)) % 2 == 0
+    texts = []
+    for words in (900, 1020, 1030, 2100):
+        base = [f"w{words}x{i}" for i in range(words)]
+        # the same text with its end cut: 0.8 of the shingles, and one less
+        for kept in (-(-80 * (words - 4) // 100), -(-80 * (words - 4) // 100) - 1):
+            texts.append(" ".join(base[: kept + 4]))
+        texts += [" ".join(base), invented(words, words)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.linked(docs, sketch_bits=8).collect()) == plain_components(rows)
+
+
 def test_links_inside_a_group_beside_its_first_member(spark):
     made, texts = random.Random(8), []
     for i in range(150):
