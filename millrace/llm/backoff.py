@@ -11,7 +11,7 @@ a written table, so that copies are spread. Each block is exploded into its dist
 a frequent n-gram is one row per block, however often it occurs. The count tables are the sums by n-gram hash,
 partitioned by it, and joined back to the blocks' rows. With the counts of its own n-grams at hand a block
 adds up the scores of its documents. Whether an n-gram occurs elsewhere is seen from its count if that
-exceeds the document's length; the few others are counted in the document.
+exceeds the block's own or the document's length; the few others are counted in the document.
 
 Null and empty texts have no characters, score 0 and no mean. Repeated rows count as often as they
 occur, each as a document of its own, and get a row each. A long text is one step and needs memory in
@@ -35,6 +35,8 @@ ALPHA = 0.4
 #: Bytes of text per block, about.
 BLOCK_BYTES = 12 << 20
 _PLACES = 1 << 18
+#: Most bits of an n-gram that is written as places in the alphabet of its texts.
+_PACKED = 64
 
 
 def _codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -57,6 +59,57 @@ def _grams(points: np.ndarray, depth: np.ndarray, order: int, first: int, last:
         yield places, text.mix(total[places] + np.uint64(size))
 
 
+def _packed(points: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """The code points there are, the place of each character among them, and bits per place; None if n-grams need too many."""
+    there = np.bincount(points)
+    alphabet = np.flatnonzero(there)
+    bits = max(1, int(len(alphabet) - 1).bit_length())
+    if order * bits > _PACKED:
+        return None
+    there[alphabet] = np.arange(len(alphabet))
+    return alphabet.astype(np.uint64), there[points].astype(np.uint32 if order * bits <= 32 else np.uint64), bits
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sum of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))[: len(keys)]
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def _counted(points: np.ndarray, depth: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Sizes, hashes of n-grams of the size and how often they occur; an n-gram may come several times.
+
+    The shorter n-grams are the ends of the longest, so only distinct ones are cut, beside those at a text's beginning.
+    """
+    packed = _packed(points, order) if len(points) else None
+    factors = text.position_factors(order)
+    for start in range(0, len(points), _PLACES * 2):
+        stop = min(len(points), start + _PLACES * 2)
+        if packed is None:
+            for size, (_, hashes) in enumerate(_grams(points, depth, order, start, stop), 1):
+                yield size, *np.unique(hashes, return_counts=True)
+            continue
+        alphabet, codes, bits = packed
+        before = min(start, order - 1)
+        part, whole = codes[start - before : stop], np.zeros(stop - start, dtype=codes.dtype)
+        for back in range(order):
+            whole[max(0, back - before) :] |= part[max(0, before - back) : max(0, len(part) - back)] << codes.dtype.type(bits * back)
+        ends, mask = depth[start:stop], codes.dtype.type((1 << bits) - 1)
+        keys, counts = np.zeros(0, dtype=codes.dtype), np.zeros(0, dtype=np.int64)
+        for size in range(order, 0, -1):
+            kept = codes.dtype.type((1 << bits * size) - 1)
+            # of that many characters and no more before them, or of any number for the longest
+            new = whole[ends >= size - 1] if size == order else whole[ends == size - 1] & kept
+            own, n = np.unique(new, return_counts=True)
+            keys, counts = (own, n) if size == order else _summed(np.concatenate((keys & kept, own)), np.concatenate((counts, n)))
+            total = np.zeros(len(keys), dtype=np.uint64)
+            for back in range(size):
+                total += alphabet[(keys >> codes.dtype.type(bits * back) & mask).astype(np.int64)] * factors[back]
+            yield size, text.mix(total + np.uint64(size)), counts
+
+
 def _depth(sizes: np.ndarray) -> np.ndarray:
     """Characters of the same text before each place."""
     begin = np.cumsum(sizes) - sizes
@@ -72,21 +125,16 @@ def _exploded(order: int) -> Callable[[pa.Table], pa.Table]:
         parts: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(order)]
         for piece in _pieces(block):
             points, sizes = _codes(piece.column("text"))
-            depth = _depth(sizes)
-            for first in range(0, len(points), _PLACES * 2):
-                for i, (_, hashes) in enumerate(_grams(points, depth, order, first, min(len(points), first + _PLACES * 2))):
-                    parts[i].append(np.unique(hashes, return_counts=True))
+            for size, hashes, n in _counted(points, _depth(sizes), order):
+                parts[size - 1].append((hashes, n))
         grams, counts, sizes_of = [], [], []
         for size, found in enumerate(parts, 1):
             if not found:
                 continue
-            keys = np.concatenate([x[0] for x in found])
-            order_of = np.argsort(keys, kind="stable")
-            keys, n = keys[order_of], np.concatenate([x[1] for x in found])[order_of]
-            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))[: len(keys)]
-            grams.append(keys[first])
-            counts.append(np.add.reduceat(n, first) if len(first) else n)
-            sizes_of.append(np.full(len(first), size, dtype=np.int8))
+            keys, n = _summed(np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))
+            grams.append(keys)
+            counts.append(n)
+            sizes_of.append(np.full(len(keys), size, dtype=np.int8))
         key = block.column("block")[0].as_py() if block.num_rows else 0
         gram = np.concatenate([*grams, np.zeros(0, np.uint64)]).view(np.int64)
         return pa.table(
@@ -104,36 +152,55 @@ def _exploded(order: int) -> Callable[[pa.Table], pa.Table]:
 class _Counts:
     """Counts by n-gram hash, in order, with an index of the upper bits."""
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray):
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, alone: np.ndarray):
+        grams = grams.view(np.uint64)
         order = np.argsort(grams)
-        self.grams, self.counts = grams[order], counts[order].astype(float)
-        self.index = np.searchsorted(self.grams >> np.uint64(46), np.arange((1 << 18) + 1, dtype=np.uint64))
+        # one row more, for n-grams that aren't in the table
+        self.grams = np.append(grams[order], np.uint64(0))
+        self.counts = np.append(counts[order].astype(float), 0.0)
+        self.alone = np.append(alone[order], False)
+        bits = max(18, len(grams).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.index = np.searchsorted(self.grams[:-1] >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32 if len(grams) < 1 << 31 else np.int64)
+        #: ln of count(n-gram) / count(context), once it was needed
+        self.logs = np.full(len(self.grams), np.nan)
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
-        """Count of each, 0 if it isn't in the table."""
-        top = (wanted >> np.uint64(46)).astype(np.int64)
+        """Row of each, the last if it isn't in the table."""
+        top = (wanted >> self.shift).astype(np.int64)
         at, stop = self.index[top], self.index[top + 1]
-        out, left = np.zeros(len(wanted)), np.flatnonzero(at < stop)
-        at = at[left]
+        out = np.where((at < stop) & (self.grams[at] == wanted), at, len(self.grams) - 1)
+        left = np.flatnonzero((at + 1 < stop) & (out == len(self.grams) - 1))
+        at, stop, wanted = at[left] + 1, stop[left], wanted[left]
         while len(left):
-            hit = self.grams[at] == wanted[left]
-            out[left[hit]] = self.counts[at[hit]]
+            hit = self.grams[at] == wanted
+            out[left[hit]] = at[hit]
             at = at + 1
-            more = ~hit & (at < stop[left])
-            left, at = left[more], at[more]
+            more = np.flatnonzero(~hit & (at < stop))
+            left, at, stop, wanted = left[more], at[more], stop[more], wanted[more]
         return out
 
 
 def _hashes(points: np.ndarray, ends: np.ndarray, size: int, factors: np.ndarray) -> np.ndarray:
     """Hashes of the n-grams of ``size`` characters that end at some places, as ``_grams`` has them."""
-    total = np.zeros(len(ends), dtype=np.uint64)
-    for back in range(size):
-        total += points[ends - back].astype(np.uint64) * factors[back]
+    if len(ends) and 2 * len(ends) > ends[-1] - ends[0]:
+        # nearly all places in a row
+        first, last = int(ends[0]), int(ends[-1]) + 1
+        total = np.zeros(last - first, dtype=np.uint64)
+        for back in range(size):
+            total += points[first - back : last - back] * factors[back]
+        if len(total) > len(ends):
+            total = total[ends - first]
+    else:
+        total = np.zeros(len(ends), dtype=np.uint64)
+        for back in range(size):
+            total += points[ends - back] * factors[back]
     return text.mix(total + np.uint64(size))
 
 
 def _log_scores(points: np.ndarray, sizes: np.ndarray, order: int, alpha: float, tables: _Counts, characters: float) -> np.ndarray:
     """ln S of each place of some texts."""
+    points = points.astype(np.uint64)
     depth, owner, factors = _depth(sizes), np.repeat(np.arange(len(sizes)), sizes), text.position_factors(order)
     out, open_ = np.zeros(len(points)), np.ones(len(points), dtype=bool)
     for size in range(order, 0, -1):
@@ -141,27 +208,32 @@ def _log_scores(points: np.ndarray, sizes: np.ndarray, order: int, alpha: float,
         for first in range(0, len(points), _PLACES):
             ends = first + np.flatnonzero(open_[first : first + _PLACES] & (depth[first : first + _PLACES] >= size - 1))
             grams = _hashes(points, ends, size, factors)
-            n = tables.find(grams)
-            before = tables.find(_hashes(points, ends - 1, size - 1, factors)) if size > 1 else characters
-            out[ends] += np.log(n / before)
+            rows = tables.find(grams)
+            logs = tables.logs[rows]
+            new = np.flatnonzero(np.isnan(logs))
+            if len(new):
+                # an n-gram has one context, so each is looked up for few of the places
+                before = tables.counts[tables.find(_hashes(points, ends[new] - 1, size - 1, factors))] if size > 1 else characters
+                logs[new] = np.log(tables.counts[rows[new]] / before)
+                tables.logs[rows[new]] = logs[new]
+            out[ends] += logs
             tried.append(ends)
             if size > 1:
-                few = np.flatnonzero(n <= sizes[owner[ends]])
-                alone.append((ends[few], grams[few], n[few], before[few]))
+                few = np.flatnonzero(tables.alone[rows])
+                few = few[tables.counts[rows[few]] <= sizes[owner[ends[few]]]]
+                alone.append((ends[few], grams[few], rows[few]))
         back = np.zeros(0, dtype=np.int64)
         if alone:
-            ends, grams, n, before = (np.concatenate(x) for x in zip(*alone, strict=True))
-            at = np.lexsort((grams, owner[ends]))
-            new = np.ones(len(at), dtype=bool)
-            new[1:] = (grams[at][1:] != grams[at][:-1]) | (owner[ends[at]][1:] != owner[ends[at]][:-1])
-            run = np.cumsum(new) - 1
+            ends, grams, rows = (np.concatenate(x) for x in zip(*alone, strict=True))
+            n = tables.counts[rows]
+            # owners are in order, so one number stands for owner and n-gram
+            _, run, times = np.unique(owner[ends] * len(tables.grams) + rows, return_inverse=True, return_counts=True)
             # places that a longer n-gram has scored hold this one too
-            own = np.zeros(len(at), dtype=np.int64)
-            own[at] = np.bincount(run)[run] if len(at) else 0
+            own = times[run]
             own += _scored_elsewhere(points, depth, owner, open_, size, factors, owner[ends], grams, n > own)
             only = own >= n
             back = ends[only]
-            out[back] += np.log(alpha) - np.log(n[only] / before[only])
+            out[back] += np.log(alpha) - tables.logs[rows[only]]
         done = np.concatenate([*tried, np.zeros(0, dtype=np.int64)])
         open_[done] = False
         open_[back] = True
@@ -194,7 +266,7 @@ def _scored_elsewhere(
 
 def _scorer(order: int, alpha: float, characters: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def score(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        tables = _Counts(counts.column("gram").to_numpy().view(np.uint64), counts.column("total").to_numpy())
+        tables = _Counts(*(counts.column(c).to_numpy() for c in ("gram", "total", "alone")))
         ids, lengths, sums = [], [], []
         for piece in _pieces(docs):
             points, sizes = _codes(piece.column("text"))
@@ -224,7 +296,9 @@ def scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block_byte
     grams = written(dealt.groupBy("block").applyInArrow(_exploded(order), "block int, gram long, size byte, n long"), "backoff-grams")
     tables = grams.groupBy("gram").agg(F.sum("n").alias("total"))
     characters = grams.where("size = 1").agg(F.sum("n")).first()[0] or 0
-    answers = grams.select("block", F.col("gram").alias("wanted")).join(tables, F.col("wanted") == F.col("gram")).select("block", "gram", "total")
+    # n-grams that also occur in other blocks need no look into the documents
+    wanted = grams.select("block", F.col("gram").alias("wanted"), "n")
+    answers = wanted.join(tables, F.col("wanted") == F.col("gram")).select("block", "gram", "total", (F.col("n") == F.col("total")).alias("alone"))
     answers = written(answers, "backoff-counts")
     removed(grams)
     found = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(

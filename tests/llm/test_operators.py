@@ -155,6 +155,17 @@ def test_pieces_give_the_ids_of_whole_texts():
     assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == whole
 
 
+def test_pieces_are_encoded_once_for_all_tasks_of_a_worker(monkeypatch):
+    path = queries.tokenizer()
+    texts = pa.array([" ".join(f"pieceof{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)), "and 12.5 more"])
+    first = token_files.encoder_of(path).encode(texts, 2)
+    monkeypatch.setattr(token_files.PieceEncoder, "_distinct", lambda self, pieces: pytest.fail(f"encoded again: {len(pieces)}"))
+    again = token_files.encoder_of(path).encode(texts, 2)
+    assert all((a == b).all() for a, b in zip(first, again, strict=True))
+    whole = token_files.PieceEncoder(path)._whole(texts.to_pylist(), 2)
+    assert all((a == b).all() for a, b in zip(first, whole, strict=True))
+
+
 def test_added_tokens_count_by_exact_case():
     encoder = token_files.PieceEncoder(queries.tokenizer())
     texts = [f"a {x} b" for x in ("<|EndOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", "x<|Endoftext|>y", "<|other|>")]
@@ -215,6 +226,35 @@ def test_backoff_of_many_copies_and_texts_of_their_own(spark):
     assert all(g[:2] == w[:2] and abs(g[2] - w[2]) < 1e-4 for g, w in zip(got, want, strict=True))
 
 
+@pytest.mark.parametrize("letters", ["abcdE ", "aé漢𝄞.", "".join(map(chr, range(0x4E00, 0x4E00 + 5000)))])
+def test_ngrams_of_a_block_are_counted_like_each_by_itself(letters, monkeypatch):
+    monkeypatch.setattr(backoff, "_PLACES", 128)
+    rng = random.Random(3)
+    texts = ["", "a", *["".join(rng.choices(letters, k=rng.randrange(90))) for _ in range(60)]]
+    points, sizes = backoff._codes(pa.array(texts))
+    got = Counter()
+    for size, hashes, n in backoff._counted(points, backoff._depth(sizes), backoff.ORDER):
+        for h, k in zip(hashes.tolist(), n.tolist(), strict=True):
+            got[size, h] += k
+    want, end = Counter(), np.cumsum(sizes)
+    for stop, length in zip(end.tolist(), sizes.tolist(), strict=True):
+        for size in range(1, backoff.ORDER + 1):
+            places = np.arange(stop - length + size - 1, stop)
+            want.update((size, h) for h in backoff._hashes(points.astype(np.uint64), places, size, text.position_factors(backoff.ORDER)).tolist())
+    assert got == want
+
+
+def test_a_block_looks_contexts_up_once_an_ngram(monkeypatch):
+    monkeypatch.setattr(backoff, "_PLACES", 512)
+    asked, find = [], backoff._Counts.find
+    monkeypatch.setattr(backoff._Counts, "find", lambda self, wanted: (asked.append(len(wanted)), find(self, wanted))[1])
+    rows = pa.table({"block": pa.array([0] * 20, pa.int32()), "doc_id": range(20), "text": ["once more and once again " * 40] * 20})
+    counts = backoff._exploded(backoff.ORDER)(rows)
+    answers = pa.table({"gram": counts["gram"], "total": counts["n"], "alone": pa.array([True] * len(counts))})
+    backoff._scorer(backoff.ORDER, backoff.ALPHA, 20000.0)(rows, answers)
+    assert sum(asked) < 1.1 * 20 * 1000
+
+
 # 4
 
 
