@@ -27,8 +27,9 @@ from millrace.llm.workspace import workspace
 
 #: Ids after which a segment is closed at the end of a document.
 SEGMENT_IDS = range_coder.LANES * range_coder.STEPS
-#: Distinct pieces of text whose ids a task keeps.
+#: Distinct pieces of text whose ids a worker keeps, and pieces encoded in one call.
 KEPT_PIECES = 1 << 20
+PIECES_AT_ONCE = 256
 _FILE = "shard int, segment long, n_ids long, doc_ids array<long>, lengths array<int>, code binary"
 
 
@@ -36,8 +37,8 @@ class PieceEncoder:
     """Ids of whole texts through a tokenizer that splits at white space and drops it.
 
     Such a tokenizer gives a text the ids of its pieces in a row. Each distinct piece is encoded once
-    by the library and kept, up to ``KEPT_PIECES`` of them, and the ids of texts are put together from
-    those. A piece is a run without ASCII white space; if it has only ASCII and Latin-1 letters besides
+    by the library and kept, up to ``KEPT_PIECES`` of them, for all tasks of a worker, and the ids of texts are put
+    together from those. A piece is a run without ASCII white space; if it has only ASCII and Latin-1 letters besides
     ASCII signs, no apostrophe and no ``<``, it is cut further where letters meet other signs, since
     the tokenizer cuts there too. Texts with white space or line breaks outside ASCII, or with an added
     token in any case, pass through the library whole, as does any text if the tokenizer has another make.
@@ -62,7 +63,7 @@ class PieceEncoder:
 
     def _empty(self) -> None:
         self.known = np.zeros(0, dtype=np.uint64)
-        self.sizes, self.begins = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.sizes, self.begins = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.uint32)
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +103,7 @@ class PieceEncoder:
         unique, place = np.unique(words.hashes, return_inverse=True)
         self._learn(words, unique, place)
         at = np.searchsorted(self.known, unique)[place]
-        sizes, begins = self.sizes[at], self.begins[at]
+        sizes, begins = self.sizes[at].astype(np.int64), self.begins[at]
         # ids of words in a row, with room for the end of each text
         texts_n = len(words.first) - 1
         before = np.concatenate(([0], np.cumsum(sizes)))
@@ -148,8 +149,8 @@ class PieceEncoder:
         plain = [i for i, x in enumerate(pieces) if x.isalpha()] if self.word_ends is not None else []
         single = np.ones(len(pieces), dtype=bool)
         at = 0
-        for k in range(0, len(plain), 2048):
-            part = np.array(plain[k : k + 2048])
+        for k in range(0, len(plain), PIECES_AT_ONCE):
+            part = np.array(plain[k : k + PIECES_AT_ONCE])
             found = np.array(self.tokenizer.encode_batch_fast([" ".join(pieces[i] for i in part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
             stops = np.flatnonzero(self.word_ends[found]) + 1
             if len(stops) == len(part) and stops[-1] == len(found):
@@ -191,6 +192,19 @@ class PieceEncoder:
         self.ids = np.concatenate((self.ids, flat))
 
 
+#: The encoder of this process and the file it was read from.
+_held: list[tuple[tuple[str, int, int], PieceEncoder]] = []
+
+
+def encoder_of(path: str) -> PieceEncoder:
+    """The process's encoder: a worker's next task goes on with the pieces that its tasks before have met."""
+    status = os.stat(path)
+    file = (path, status.st_mtime_ns, status.st_size)
+    if not _held or _held[0][0] != file:
+        _held[:] = [(file, PieceEncoder(path))]
+    return _held[0][1]
+
+
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int, shards: int | None = None, segment_ids: int = SEGMENT_IDS) -> None:
     """Write the ids of ``docs`` (doc_id, text) below ``folder``, in order of doc_id."""
     shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -204,7 +218,7 @@ def _writer(tokenizer: str, end: int, segment_ids: int) -> Callable[[Iterator[pa
         from pyspark import TaskContext
 
         shard, segment = TaskContext.get().partitionId(), 0
-        encoder = PieceEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         names: list[pa.Array] = []
         sizes: list[np.ndarray] = []
         parts: list[np.ndarray] = []
