@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 
 from millrace.llm import bloom, text
 from millrace.llm.components import components
-from millrace.llm.workspace import apart, removed, shuffles_removed, spare, written
+from millrace.llm.workspace import apart, removed, shuffles_removed, small_batches, spare, written
 
 SHINGLE = 5
 #: Similarity in hundredths.
@@ -106,7 +106,7 @@ def _sketch(docs: DataFrame, shingle: int, bits: int) -> np.ndarray:
     rows = docs.select("text").mapInArrow(count, "chunk int, salt int, counts binary")
     # in two steps, so that no task holds the chunks of all tasks
     partial = rows.groupBy("chunk", "salt").applyInArrow(add, "chunk int, counts binary")
-    with shuffles_removed(docs.sparkSession):
+    with shuffles_removed(docs.sparkSession), small_batches(docs.sparkSession):
         merged = partial.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect()
     total = np.zeros(1 << bits, dtype=np.uint64)
     for row in merged:
@@ -216,7 +216,8 @@ def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, shingle: int, si
     pairs = pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("wide").alias("wide_a"))
     two = apart(nodes).select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("wide").alias("wide_b"))
-    pairs = written(pairs.join(one, "a").join(two, "b").mapInArrow(_possible(similarity), "a long, b long"), "pairs")
+    with small_batches(docs.sparkSession):
+        pairs = written(pairs.join(one, "a").join(two, "b").mapInArrow(_possible(similarity), "a long, b long"), "pairs")
     asked = pairs.select(F.col("a").alias("asked")).union(pairs.select("b")).distinct()
     of = written(nodes.join(asked, F.col("node") == F.col("asked"), "left_semi").select("node", "key", _known(F.col("doc_id")).alias("of_id")), "asked")
     held = bloom.possible(bloom.build(of.select(F.xxhash64("of_id").alias("key")).distinct()))
@@ -233,10 +234,12 @@ def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, shingle: int, si
     near = near.where(held(F.xxhash64("own_id")))
     # an id can come with several texts, of which one has the node's set
     texts = near.join(of, F.col("own_id") == F.col("of_id")).select("node", "key", "text")
-    sets = written(texts.mapInArrow(read, "node long, set binary").dropDuplicates(["node"]), "sets")
+    with small_batches(docs.sparkSession):
+        sets = written(texts.mapInArrow(read, "node long, set binary").dropDuplicates(["node"]), "sets")
     first = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     second = apart(sets).select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    links = written(pairs.join(first, "a").join(second, "b").mapInArrow(_verified(similarity), "a long, b long"), "links")
+    with small_batches(docs.sparkSession):
+        links = written(pairs.join(first, "a").join(second, "b").mapInArrow(_verified(similarity), "a long, b long"), "links")
     removed(pairs, of, sets)
     return links
 
@@ -280,7 +283,8 @@ def _components(docs: DataFrame, shingle: int, similarity: int, sketch_bits: int
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     classes = spark.sparkContext.broadcast(_sketch(docs, shingle, sketch_bits))
     # prefixes are wide: each table that holds them is replaced by one without as soon as the next is written
-    prefixed = written(docs.mapInArrow(_prefixes(classes, shingle, similarity, sketch_bits), _DOCS), "prefixes")
+    with small_batches(spark):
+        prefixed = written(docs.mapInArrow(_prefixes(classes, shingle, similarity, sketch_bits), _DOCS), "prefixes")
     distinct = prefixed.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "prefix", "group_key", "signature", "wide")])
     distinct = written(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
     rows = written(prefixed.select("doc_id", "key", "n"), "rows")
@@ -380,7 +384,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMIL
 
     set_key, known_id = spare(docs, "set_key"), spare(docs, "known_id")
     schema = T.StructType([*docs.schema.fields, T.StructField(set_key, T.BinaryType())])
-    rows = written(docs.mapInArrow(keyed, schema), "keyed")
+    with small_batches(docs.sparkSession):
+        rows = written(docs.mapInArrow(keyed, schema), "keyed")
     full = rows.where(F.col(set_key).isNotNull()).withColumn(known_id, _known(F.col("doc_id")))
     kept = kept.withColumnsRenamed({"kept_id": known_id, "kept_key": set_key})
     full = full.join(kept, [known_id, set_key], "left_semi").dropDuplicates([known_id, set_key])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,8 @@ from millrace.sources.warehouse import shared_folder
 
 #: Copies of the smaller side over which a join by few keys is dealt.
 SALTS = 64
+#: Bytes of rows that small batches have at most, or one row.
+BATCH_BYTES = 2 << 20
 
 
 def workspace(spark: SparkSession, name: str) -> str:
@@ -22,15 +24,26 @@ def workspace(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Let Spark delete the shuffle files of the jobs inside as soon as each has ended: nothing reads them again."""
-    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "true")
+def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        spark.conf.set(name, before)
+
+
+def shuffles_removed(spark: SparkSession) -> AbstractContextManager[None]:
+    """Let Spark delete the shuffle files of the jobs inside as soon as each has ended: nothing reads them again."""
+    return _set(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Hand texts to Python some megabytes at a time, in the jobs inside.
+
+    A batch is held several times over: by Spark on its way there and back, and by the worker with its results.
+    """
+    return _set(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from millrace.llm import backoff, bloom, cross_polytope, cube, decontaminate, jaccard_join, langid, pii, queries, range_coder, text, token_files, url_filter, weak_labels
+from millrace.llm import backoff, bloom, cross_polytope, cube, decontaminate, jaccard_join, langid, pii, queries, range_coder, text, token_files, url_filter, weak_labels, workspace
 from millrace.llm.components import components
 
 WORDS = "the of and to in is that for on with as at by from this be it are was or an have not".split()
@@ -480,6 +480,16 @@ def test_signatures_of_different_lengths(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.linked(docs, sketch_bits=8).collect()) == plain_components(rows)
 
 
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    setting, seen, written = "spark.sql.execution.arrow.maxBytesPerBatch", {}, jaccard_join.written
+    before = spark.conf.get(setting)
+    monkeypatch.setattr(jaccard_join, "written", lambda df, name: (seen.setdefault(name, spark.conf.get(setting)), written(df, name))[1])
+    docs = spark.createDataFrame([(i, f"some words that are the same in each of them but {i % 3}") for i in range(9)], "doc_id long, text string")
+    assert [r.doc_id for r in jaccard_join.one_of_each(docs).orderBy("doc_id").collect()] == [0, 1, 2]
+    assert {seen[name] for name in ("prefixes", "pairs", "sets", "links", "keyed")} == {str(workspace.BATCH_BYTES)}
+    assert spark.conf.get(setting) == before
+
+
 def test_links_inside_a_group_beside_its_first_member(spark):
     made, texts = random.Random(8), []
     for i in range(150):
