@@ -120,26 +120,19 @@ def load_batch(
     def stage(df: DataFrame, table: str, *partition_by: str) -> DataFrame:
         return warehouse.stage(df, run_id, table, partition_by)
 
-    with ThreadPoolExecutor(max_workers=6) as pool:
-        with _timed(seconds, "extract"):
-            raw, employees_raw, departments_raw = _together(
-                pool,
-                lambda: stage(transactions.with_row_id(batch), "transactions_raw"),
-                lambda: stage(employees, "employees_raw"),
-                lambda: stage(departments, "departments_raw"),
-            )
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        # The reference tables are cleaned while the transactions are still being staged.
+        departments_staging = pool.submit(lambda: stage(departments, "departments_raw"))
+        employees_staging = pool.submit(lambda: stage(employees, "employees_raw"))
+        staging = pool.submit(lambda: stage(transactions.with_row_id(batch), "transactions_raw"))
 
-        # Needed later, read from staging while the reference tables are cleaned.
-        repeating = pool.submit(lambda: stage(transactions.repeated_ids(raw), "transactions_repeated"))
-        dealing = pool.submit(lambda: _heavy_employees(raw, stage))
-        watermarking = pool.submit(lambda: validation.next_watermark(raw).first()["next_watermark"])
-        reporting = pool.submit(
-            lambda: stage(
-                quality.quality_report(raw, employees_raw, departments_raw, as_of, today), "quality_report"
-            )
-        )
+        # Needed later, read from staging as soon as it is there.
+        repeating = pool.submit(lambda: stage(transactions.repeated_ids(staging.result()), "transactions_repeated"))
+        dealing = pool.submit(lambda: _heavy_employees(staging.result(), stage))
+        watermarking = pool.submit(lambda: validation.next_watermark(staging.result()).first()["next_watermark"])
 
         with _timed(seconds, "clean_reference"):
+            departments_raw = departments_staging.result()
             departments_clean = stage(reference.departments_clean(departments_raw), "departments_clean")
             require_unique(departments_clean, "department_id", "dim_department")
             departing = pool.submit(
@@ -148,13 +141,21 @@ def load_batch(
                     run_id, changed_only=True,
                 )
             )
-            employees_clean, _ = _together(
-                pool,
-                lambda: stage(reference.employees_clean(employees_raw, departments_clean, today), "employees_clean"),
+            employees_raw = employees_staging.result()
+            rejecting = pool.submit(
                 lambda: stage(
                     reference.employees_rejected(employees_raw, departments_clean, today), "employees_rejected"
-                ),
+                )
+            )
+            employees_clean = stage(reference.employees_clean(employees_raw, departments_clean, today), "employees_clean")
+
+        with _timed(seconds, "extract"):
+            raw = staging.result()
+        reporting = pool.submit(
+            lambda: stage(
+                quality.quality_report(raw, employees_raw, departments_raw, as_of, today), "quality_report"
             )
+        )
 
         checking = pool.submit(
             lambda: require_unique(employees_clean.where("employee_id IS NOT NULL"), "employee_id", "dim_employee")
@@ -202,6 +203,7 @@ def load_batch(
                 raise ForeignKeyViolation(str(orphans))
 
         reporting.result()
+        rejecting.result()
         watermark = watermarking.result()
         held_watermark = parent["last_successful_watermark"]
         if not move_watermark:

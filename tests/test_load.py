@@ -2,6 +2,7 @@
 
 import random
 import shutil
+import threading
 from decimal import Decimal
 from pathlib import Path
 
@@ -63,6 +64,23 @@ def test_first_load_update_and_empty_batch(make, warehouse, reference):
     assert warehouse.control().count() == 4
 
 
+def test_reference_is_cleaned_while_transactions_are_staged(make, warehouse, reference, monkeypatch):
+    warehouse.register(START)
+    cleaned, in_time, stage = threading.Event(), [], Warehouse.stage
+
+    def slow(self, df, run_id, table, partition_by=()):
+        if table == "transactions_raw":
+            in_time.append(cleaned.wait(60))
+        staged = stage(self, df, run_id, table, partition_by)
+        if table == "employees_clean":
+            cleaned.set()
+        return staged
+
+    monkeypatch.setattr(Warehouse, "stage", slow)
+    result = run_incremental(warehouse, make.transactions(dict(transaction_id="A")), *reference, NOW)
+    assert in_time == [True] and result.counts["fact_count"] == 1
+
+
 def test_a_run_writes_its_batch_only(make, warehouse, reference):
     warehouse.register(START)
     first = make.transactions(*[dict(transaction_id=f"T{i}") for i in range(40)])
