@@ -232,8 +232,9 @@ def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, shingle: int, si
 
     near = docs.select(_known(F.col("doc_id")).alias("own_id"), "text").where(F.col("text").isNotNull())
     near = near.where(held(F.xxhash64("own_id")))
-    # an id can come with several texts, of which one has the node's set
-    texts = near.join(of, F.col("own_id") == F.col("of_id")).select("node", "key", "text")
+    # an id can come with several texts, of which one has the node's set; with a broadcast, the filter and the reader
+    # would be one stage, and every task of it would take two workers, which stay
+    texts = near.join(of.hint("merge"), F.col("own_id") == F.col("of_id")).select("node", "key", "text")
     with small_batches(docs.sparkSession):
         sets = written(texts.mapInArrow(read, "node long, set binary").dropDuplicates(["node"]), "sets")
     first = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))

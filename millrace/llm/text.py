@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import ctypes
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -169,11 +170,31 @@ def give_back() -> None:
             trim(0)
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+def _kept() -> dict[str, tuple[tuple[Hashable, ...], object]]:
+    """What this process keeps from task to task, by name.
+
+    These modules travel to tasks by value, so that each task has its own; a module that only the process knows outlives them.
+    """
+    return vars(sys.modules.setdefault("_millrace_kept", ModuleType("_millrace_kept"))).setdefault("kept", {})
+
+
+def kept(name: str, make: Callable[..., object], *key: Hashable) -> object:
+    """What ``make`` has made under this name in this process for the same key, or makes now."""
+    held = _kept()
+    if name not in held or held[name][0] != key:
+        held[name] = key, make(*key)
+    return held[name][1]
+
+
+def steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTES, keeping: str = "") -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of at most ``limit`` bytes of text, or one row.
 
-    Between batches, and before the first for what an earlier task has left, unused memory is given back.
+    Between batches, after the last, and before the first for what an earlier task has left, unused memory is given back. So is what
+    tasks of other kinds have kept for the next of theirs: all but what is named ``keeping``.
     """
+    held = _kept()
+    for name in [n for n in held if n != keeping]:
+        del held[name]
     for batch in batches:
         give_back()
         sizes = np.nan_to_num(np.asarray(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=float))
@@ -183,3 +204,4 @@ def steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTE
             upto = max(at + 1, int(np.searchsorted(total, total[at] + limit, "right")) - 1)
             yield batch.slice(at, upto - at)
             at = upto
+    give_back()

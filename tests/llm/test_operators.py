@@ -490,6 +490,19 @@ def test_texts_reach_python_in_small_batches(spark, monkeypatch):
     assert spark.conf.get(setting) == before
 
 
+def test_no_task_of_a_join_takes_two_python_workers(spark, monkeypatch):
+    plans, written = {}, jaccard_join.written
+
+    def planned(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(jaccard_join, "written", planned)
+    docs = spark.createDataFrame([(i, f"some words that are the same in each of them but {i % 3}") for i in range(9)], "doc_id long, text string")
+    assert {r.component_id for r in jaccard_join.linked(docs).collect()} == {0, 1, 2}
+    assert "ArrowEvalPython" in plans["sets"] and "SortMergeJoin" in plans["sets"] and "Broadcast" not in plans["sets"]
+
+
 def test_links_inside_a_group_beside_its_first_member(spark):
     made, texts = random.Random(8), []
     for i in range(150):
