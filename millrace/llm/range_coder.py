@@ -35,6 +35,8 @@ _SHARE = 20
 _CONTEXTS = 20
 _REFRESH = 32
 _U = np.uint64
+#: What an entry gains by confidence, after a miss and after a hit; one without confidence is replaced by a miss.
+_GAIN = np.array([0, -1, -1, -1, 1, 1, 1, 0]).astype(np.uint32)
 
 
 class _Model:
@@ -44,8 +46,9 @@ class _Model:
         self.alphabet = alphabet
         #: the id at each unit of the cumulative frequencies, for the decoder
         self.inverse = np.zeros(0, dtype=np.uint32) if decoding else None
-        self.previous = np.zeros(lanes, dtype=np.uint32)
-        self.context = np.zeros(lanes, dtype=np.uint32)
+        # places in tables are 64-bit, as NumPy looks them up
+        self.previous = np.zeros(lanes, dtype=np.int64)
+        self.context = np.zeros(lanes, dtype=np.int64)
         # id times 4 plus confidence
         self.first = np.zeros(alphabet, dtype=np.uint32)
         self.second = np.zeros(1 << _CONTEXTS, dtype=np.uint32)
@@ -78,20 +81,31 @@ class _Model:
         self.two, self.both = two.astype(np.uint64), (two + one).astype(np.uint64)
 
     def predict(self) -> None:
-        self.entry1, self.entry2 = self.first[self.previous], self.second[self.context]
+        self.entry1, self.entry2 = self.first.take(self.previous), self.second.take(self.context)
         self.id1, self.id2 = self.entry1 >> 2, self.entry2 >> 2
-        self.state = ((self.entry2 & 3) << 2 | (self.entry1 & 3)) + ((self.id1 == self.id2).astype(np.uint32) << 4)
-        self.end2, self.end1 = self.two[self.state], self.both[self.state]
-
-    def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """hit1 where order 1 is right and order 2 isn't."""
-        outcome = np.where(hit2, np.uint32(0), np.where(hit1, np.uint32(1), np.uint32(2)))
-        self.outcomes += np.bincount(self.state * np.uint32(3) + outcome, minlength=96).reshape(32, 3)
-        self.second[self.context] = self._moved(self.entry2, ids, hit2)
-        self.first[self.previous] = self._moved(self.entry1, ids, self.id1 == ids)
-        self.context = ((self.previous * np.uint32(0x9E3779B1)) ^ (ids * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - _CONTEXTS)
-        self.previous = ids
-        self.recent.append(ids)
+        self.sure1, self.sure2 = self.entry1 & 3, self.entry2 & 3
+        self.state = (self.sure2 << 2 | self.sure1 | (self.id1 == self.id2).astype(np.uint32) << 4).astype(np.int64)
+        self.end2, self.end1 = self.two.take(self.state), self.both.take(self.state)
+
+    def hits(self, start: np.ndarray, size: np.ndarray, right2: np.ndarray, right1: np.ndarray) -> None:
+        """Put the intervals of orders 1 and 2 where they are right; if both are, order 2's."""
+        at = np.flatnonzero(right1 | right2)
+        two, end2 = right2.take(at), self.end2.take(at)
+        start[at] = np.where(two, _U(0), end2)
+        size[at] = np.where(two, end2, self.end1.take(at) - end2)
+
+    def learn(self, ids: np.ndarray, right2: np.ndarray, right1: np.ndarray) -> None:
+        """Where each order is right; if both are, order 2 counts."""
+        outcome = np.where(right2, 0, 2 - right1.astype(np.int64))
+        self.outcomes += np.bincount(self.state * 3 + outcome, minlength=96).reshape(32, 3)
+        fresh = ids << np.uint32(2) | np.uint32(1)
+        self.second[self.context] = self._moved(self.entry2, self.sure2, fresh, right2)
+        self.first[self.previous] = self._moved(self.entry1, self.sure1, fresh, right1)
+        place = ids.astype(np.int64)
+        pair = (self.previous.astype(np.uint32) * np.uint32(0x9E3779B1)) ^ (ids * np.uint32(0x85EBCA6B))
+        self.context = (pair * np.uint32(0xC2B2AE35) >> np.uint32(32 - _CONTEXTS)).astype(np.int64)
+        self.previous = place
+        self.recent.append(place)
         self.step += 1
         if self.step % _REFRESH == 0 or self.step & (self.step - 1) == 0:
             self._frequencies()
@@ -99,11 +113,9 @@ class _Model:
             self._weights()
 
     @staticmethod
-    def _moved(entry: np.ndarray, ids: np.ndarray, hit: np.ndarray) -> np.ndarray:
-        confidence = entry & 3
-        raised = entry + (confidence < 3)
-        lowered = np.where(confidence > 0, entry - np.uint32(1), ids << np.uint32(2) | np.uint32(1))
-        return np.where(hit, raised, lowered)
+    def _moved(entry: np.ndarray, sure: np.ndarray, fresh: np.ndarray, right: np.ndarray) -> np.ndarray:
+        case = sure | right.astype(np.uint32) << 2
+        return np.where(case == 0, fresh, entry + _GAIN.take(case.astype(np.int64)))
 
 
 class _Lanes:
@@ -119,7 +131,7 @@ class _Lanes:
         self.range = unit * size
         short = np.flatnonzero(self.range < _U(1 << 32))
         if len(short):
-            low, size = self.low[short], self.range[short]
+            low, size = self.low.take(short), self.range.take(short)
             # an interval across a multiple of 2**32 is cut to its larger part
             upper = ((low >> _U(32)) + _U(1)) << _U(32)
             below = upper - low
@@ -131,8 +143,17 @@ class _Lanes:
         return short
 
     def shift(self, short: np.ndarray) -> None:
-        self.low[short] <<= _U(32)
-        self.range[short] <<= _U(32)
+        self.low[short] = self.low.take(short) << _U(32)
+        self.range[short] = self.range.take(short) << _U(32)
+
+
+def _turned(grid: np.ndarray) -> np.ndarray:
+    """Rows as columns, some columns at a time: a write then meets memory that is still at hand."""
+    out = np.empty(grid.shape[::-1], dtype=grid.dtype)
+    for i in range(0, grid.shape[1], 16):
+        for j in range(0, grid.shape[0], 512):
+            out[i : i + 16, j : j + 512] = grid[j : j + 512, i : i + 16].T
+    return out
 
 
 def encode(ids: np.ndarray, lanes: int = LANES, steps: int = STEPS) -> bytes:
@@ -146,36 +167,35 @@ def encode(ids: np.ndarray, lanes: int = LANES, steps: int = STEPS) -> bytes:
     width = max(1, -(-n // length)) if n else 1
     width = min(width, lanes)
     length = -(-n // width)
-    grid = np.zeros(width * length, dtype=np.uint32)
-    grid[:n] = ids
-    columns = np.ascontiguousarray(grid.reshape(width, length).T)
+    grid = ids
+    if n < width * length:
+        grid = np.zeros(width * length, dtype=np.uint32)
+        grid[:n] = ids
     model, coder = _Model(width, alphabet), _Lanes(width)
-    code = np.zeros((width, length + 2), dtype="<u4")
-    used = np.zeros(width, dtype=np.int64)
+    lanes_of: list[np.ndarray] = []
+    words: list[np.ndarray] = []
     whole = _U(1 << _SCALE)
-    for current in columns:
+    for current in _turned(grid.reshape(width, length)):
         model.predict()
-        hit2 = model.id2 == current
-        hit1 = (model.id1 == current) & ~hit2
-        start = np.where(hit1, model.end2, _U(0))
-        size = np.where(hit1, model.end1 - model.end2, model.end2)
-        miss = np.flatnonzero(~(hit2 | hit1))
-        base = model.end1[miss]
-        left = whole - base
-        id0 = current[miss]
-        begin = model.cumulative[id0] * left >> _U(_SHARE)
-        start[miss] = base + begin
-        size[miss] = (model.cumulative[id0 + 1] * left >> _U(_SHARE)) - begin
+        right2, right1 = model.id2 == current, model.id1 == current
+        # most ids are order 0's, so that is worked out for all lanes
+        left, id0 = whole - model.end1, current.astype(np.int64)
+        begin = model.cumulative.take(id0) * left >> _U(_SHARE)
+        size = (model.cumulative.take(id0 + 1) * left >> _U(_SHARE)) - begin
+        start = model.end1 + begin
+        model.hits(start, size, right2, right1)
         short = coder.narrow(coder.range >> _U(_SCALE), start, size)
         if len(short):
-            code[short, used[short]] = coder.low[short] >> _U(32)
-            used[short] += 1
+            lanes_of.append(short.astype(np.int32))
+            words.append((coder.low.take(short) >> _U(32)).astype("<u4"))
             coder.shift(short)
-        model.learn(current, hit2, hit1)
+        model.learn(current, right2, right1)
     for half in (32, 0):
-        code[np.arange(width), used] = (coder.low >> _U(half)) & _U(0xFFFFFFFF)
-        used += 1
-    taken = code[np.arange(code.shape[1]) < used[:, None]]
+        lanes_of.append(np.arange(width, dtype=np.int32))
+        words.append(((coder.low >> _U(half)) & _U(0xFFFFFFFF)).astype("<u4"))
+    of = np.concatenate(lanes_of)
+    used = np.bincount(of, minlength=width)
+    taken = np.concatenate(words)[np.argsort(of.astype(np.uint16) if width <= 1 << 16 else of, kind="stable")]
     head = struct.pack(_HEADER, MAGIC, width, length, n, alphabet, len(taken), zlib.crc32(ids.tobytes()))
     return head + used.astype("<u4").tobytes() + taken.tobytes()
 
@@ -200,29 +220,26 @@ def decode(block: bytes) -> tuple[np.ndarray, int]:
         model.predict()
         unit = coder.range >> _U(_SCALE)
         found = np.minimum((value - coder.low) // unit, last)
-        hit2 = found < model.end2
-        hit1 = ~hit2 & (found < model.end1)
-        current = np.where(hit2, model.id2, model.id1)
-        start = np.where(hit1, model.end2, _U(0))
-        size = np.where(hit1, model.end1 - model.end2, model.end2)
-        miss = np.flatnonzero(found >= model.end1)
-        base = model.end1[miss]
-        left = whole - base
-        share = (((found[miss] - base + _U(1)) << _U(_SHARE)) - _U(1)) // left
-        id0 = model.inverse[share]
-        begin = model.cumulative[id0] * left >> _U(_SHARE)
-        start[miss] = base + begin
-        size[miss] = (model.cumulative[id0 + 1] * left >> _U(_SHARE)) - begin
-        current[miss] = id0
+        hit2, hit = found < model.end2, found < model.end1
+        # most ids are order 0's, so that is worked out for all lanes; what it gives for the others is replaced
+        left = whole - model.end1
+        share = (((found - model.end1 + _U(1)) << _U(_SHARE)) - _U(1)) // left
+        named = model.inverse.take(share.astype(np.int64), mode="clip")
+        id0 = named.astype(np.int64)
+        begin = model.cumulative.take(id0) * left >> _U(_SHARE)
+        size = (model.cumulative.take(id0 + 1) * left >> _U(_SHARE)) - begin
+        start = model.end1 + begin
+        model.hits(start, size, hit2, hit)
+        current = np.where(hit2, model.id2, np.where(hit, model.id1, named))
         short = coder.narrow(unit, start, size)
         if len(short):
             coder.shift(short)
-            value[short] = value[short] << _U(32) | code[np.minimum(place[short], words)]
+            value[short] = value.take(short) << _U(32) | code.take(np.minimum(place.take(short), words))
             place[short] += 1
         # as the encoder saw it: an id that order 2 and order 0 both name counts for order 2
         columns[step] = current
-        model.learn(current, model.id2 == current, (model.id1 == current) & (model.id2 != current))
-    ids = columns.T.reshape(-1)[:n]
+        model.learn(current, model.id2 == current, model.id1 == current)
+    ids = _turned(columns).reshape(-1)[:n]
     if zlib.crc32(ids.astype("<u4").tobytes()) != checksum:
         raise ValueError("checksum of a block doesn't match")
     return ids, end

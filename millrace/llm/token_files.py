@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +24,30 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import range_coder, text
-from millrace.llm.workspace import workspace
+from millrace.llm.workspace import small_batches, workspace
+
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
 
 #: Ids after which a segment is closed at the end of a document.
 SEGMENT_IDS = range_coder.LANES * range_coder.STEPS
 #: Distinct pieces of text whose ids a worker keeps, and pieces encoded in one call.
 KEPT_PIECES = 1 << 20
 PIECES_AT_ONCE = 256
+#: Bytes up to which a piece is hashed eight by eight.
+HASHED_BY_EIGHTS = 64
+#: The name of a worker's encoder.
+_KEPT = "token_files.encoder"
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Masks of the first bytes of eight.
+_HEAD = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
+_SPACE, _SIGN, _LETTER, _GLUE, _STRANGE = range(5)
+#: What each byte is: white space, a letter's, a sign that is cut from letters, one whose words stay whole, or none of these.
+_KINDS = np.full(256, _SIGN, dtype=np.uint8)
+_KINDS[[9, 10, 11, 12, 13, 32]] = _SPACE
+_KINDS[[*range(65, 91), *range(97, 123), *range(128, 0xC2), 0xC3]] = _LETTER
+_KINDS[[39, 60]] = _GLUE
+_KINDS[[*range(9), *range(14, 32), 127, 0xC2, *range(0xC4, 256)]] = _STRANGE
 _FILE = "shard int, segment long, n_ids long, doc_ids array<long>, lengths array<int>, code binary"
 
 
@@ -59,8 +77,21 @@ class PieceEncoder:
         self.word_ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool) if suffix else None
         if suffix:
             self.word_ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.spelling = self._spelling() if self.by_pieces else self.tokenizer
         self._empty()
 
+    def _spelling(self) -> Tokenizer:
+        """The tokenizer for words of Latin-1 letters: without patterns if it does without, by all pairs of letters."""
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        plain = Tokenizer(self.tokenizer.model)
+        plain.normalizer = normalizers.Lowercase()
+        plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        letters = [chr(i) for i in (*range(97, 123), *range(0xC0, 0x100)) if chr(i).isalpha()]
+        pairs = [" ".join([a, *(a + b for b in letters)]) for a in letters]
+        one, two = ([x.ids for x in t.encode_batch_fast(pairs, add_special_tokens=False)] for t in (self.tokenizer, plain))
+        return plain if one == two else self.tokenizer
+
     def _empty(self) -> None:
         self.known = np.zeros(0, dtype=np.uint64)
         self.sizes, self.begins = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
@@ -71,8 +102,7 @@ class PieceEncoder:
         texts = texts.fill_null("")
         if not self.by_pieces:
             return self._whole(texts.to_pylist(), end)
-        raw, bounds = text.utf8(texts)
-        odd = self._odd(raw, bounds)
+        odd = self._odd(*text.utf8(texts))
         lowered = pc.ascii_lower(texts)
         for mark in self.marks:
             odd |= pc.match_substring(lowered, mark).to_numpy(zero_copy_only=False)
@@ -93,13 +123,13 @@ class PieceEncoder:
     @staticmethod
     def _odd(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Texts with characters beyond Latin-1 (where the first byte is over 0xC3) or control signs."""
-        strange = (raw > 0xC3) | (raw == 0xC2) | (raw < 9) | ((raw > 13) & (raw < 32)) | (raw == 127)
-        total = np.zeros(len(raw) + 1, dtype=np.int32)
-        np.cumsum(strange, out=total[1:])
-        return total[bounds[1:]] > total[bounds[:-1]]
+        at = np.flatnonzero(_KINDS[raw] == _STRANGE)
+        odd = np.zeros(len(bounds) - 1, dtype=bool)
+        odd[np.searchsorted(bounds, at, "right") - 1] = True
+        return odd
 
     def _pieces(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
-        words = self._cut(self.reader.read(texts))
+        words = self._cut(*text.utf8(texts))
         unique, place = np.unique(words.hashes, return_inverse=True)
         self._learn(words, unique, place)
         at = np.searchsorted(self.known, unique)[place]
@@ -114,28 +144,54 @@ class PieceEncoder:
         out[np.arange(before[-1]) + np.repeat(text_of, sizes)] = self.ids[source]
         return out, per_text
 
-    def _cut(self, words: text.Words) -> text.Words:
-        data = words.data
-        letter = ((data >= 97) & (data < 123)) | (data >= 128)
+    def _cut(self, raw: np.ndarray, bounds: np.ndarray) -> text.Words:
+        """The pieces of texts without strange characters, given as their bytes in a row and where each begins."""
+        data = self.reader.lower[raw]
+        kind = _KINDS[raw]
         # 0xC3 0x97 and 0xC3 0xB7 are signs, not letters
-        sign = np.flatnonzero(data == 0xC3)
-        sign = sign[sign + 1 < len(data)]
-        glue = (data == 39) | (data == 60)
-        glue[sign[(data[sign + 1] == 0x97) | (data[sign + 1] == 0xB7)]] = True
-        glued = np.zeros(len(data) + 1, dtype=np.int32)
-        np.cumsum(glue, out=glued[1:])
-        turn = np.zeros(len(data) + 1, dtype=bool)
-        turn[1:-1] = letter[1:] != letter[:-1]
+        cross = np.flatnonzero((data == 0x97) | (data == 0xB7))
+        cross = cross[data[cross - 1] == 0xC3] if len(cross) else cross
+        glue = np.concatenate((np.flatnonzero(kind == _GLUE), cross))
+        kind[kind == _GLUE] = _SIGN
+        # whether a piece begins, and one ends before the byte
+        turn = np.ones(len(data) + 1, dtype=bool)
+        np.not_equal(kind[1:], kind[:-1], out=turn[1:-1])
+        turn[bounds] = True
+        if len(glue):
+            edge = turn.copy()
+            edge[1:-1] &= (kind[1:] == _SPACE) | (kind[:-1] == _SPACE)
+            edge[bounds] = True
+            edges = np.flatnonzero(edge)
+            word = np.unique(np.searchsorted(edges, glue, "right"))
+            inner, lengths = edges[word - 1] + 1, edges[word] - edges[word - 1] - 1
+            turn[np.arange(int(lengths.sum())) + np.repeat(inner - np.cumsum(lengths) + lengths, lengths)] = False
         turns = np.flatnonzero(turn)
-        word = np.searchsorted(words.starts, turns, "right") - 1
-        word = np.maximum(word, 0)
-        fits = (turns > words.starts[word]) & (turns < words.ends[word]) & (glued[words.ends[word]] == glued[words.starts[word]]) if len(words.starts) else np.zeros(0, bool)
-        turns = turns[fits]
-        if not len(turns):
-            return words
-        starts, ends = np.sort(np.concatenate((words.starts, turns))), np.sort(np.concatenate((words.ends, turns)))
-        limits = np.append(words.starts, len(data) + 1)[words.first]
-        return text.Words(data, starts, ends, self.reader.hashes(data, starts, ends), np.searchsorted(starts, limits))
+        full = np.flatnonzero(kind[turns[:-1]] != _SPACE)
+        starts, ends = turns[full], turns[full + 1]
+        return text.Words(data, starts, ends, self._hashes(data, starts, ends), np.searchsorted(starts, bounds))
+
+    def _hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A hash of each piece: of its bytes, eight by eight; pieces of up to eight bytes never share one."""
+        eights = np.zeros(len(data) // 8 + 2, dtype="<u8")
+        eights.view(np.uint8)[: len(data)] = data
+        sizes = ends - starts
+
+        def eight(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+            block, shift = at >> 3, (at & 7).astype(np.uint64) << np.uint64(3)
+            found = eights.take(block) >> shift
+            found |= eights.take(block + 1) << np.uint64(1) << (np.uint64(63) - shift)
+            return found & _HEAD.take(np.minimum(left, 8))
+
+        out = text.mix(eight(starts, sizes))
+        for done in range(8, HASHED_BY_EIGHTS, 8):
+            more = np.flatnonzero(sizes > done)
+            if not len(more):
+                return out
+            out[more] = text.mix((out.take(more) + np.uint64(done)) * _FACTOR + eight(starts.take(more) + done, sizes.take(more) - done))
+        more = np.flatnonzero(sizes > HASHED_BY_EIGHTS)
+        if len(more):
+            out[more] = self.reader.hashes(data, starts[more], ends[more])
+        return out
 
     def _distinct(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pieces in a row, and ids per piece.
@@ -151,7 +207,7 @@ class PieceEncoder:
         at = 0
         for k in range(0, len(plain), PIECES_AT_ONCE):
             part = np.array(plain[k : k + PIECES_AT_ONCE])
-            found = np.array(self.tokenizer.encode_batch_fast([" ".join(pieces[i] for i in part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            found = np.array(self.spelling.encode_batch_fast([" ".join(pieces[i] for i in part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
             stops = np.flatnonzero(self.word_ends[found]) + 1
             if len(stops) == len(part) and stops[-1] == len(found):
                 sizes[part], place[part] = np.diff(stops, prepend=0), at + np.concatenate(([0], stops[:-1]))
@@ -192,17 +248,10 @@ class PieceEncoder:
         self.ids = np.concatenate((self.ids, flat))
 
 
-#: The encoder of this process and the file it was read from.
-_held: list[tuple[tuple[str, int, int], PieceEncoder]] = []
-
-
 def encoder_of(path: str) -> PieceEncoder:
     """The process's encoder: a worker's next task goes on with the pieces that its tasks before have met."""
     status = os.stat(path)
-    file = (path, status.st_mtime_ns, status.st_size)
-    if not _held or _held[0][0] != file:
-        _held[:] = [(file, PieceEncoder(path))]
-    return _held[0][1]
+    return text.kept(_KEPT, lambda *file: PieceEncoder(path), path, status.st_mtime_ns, status.st_size)
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int, shards: int | None = None, segment_ids: int = SEGMENT_IDS) -> None:
@@ -210,7 +259,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int, shards:
     shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(shards, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    dealt.mapInArrow(_writer(tokenizer, end, segment_ids), _FILE).write.parquet(folder)
+    with small_batches(docs.sparkSession):
+        dealt.mapInArrow(_writer(tokenizer, end, segment_ids), _FILE).write.parquet(folder)
 
 
 def _writer(tokenizer: str, end: int, segment_ids: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -226,6 +276,7 @@ def _writer(tokenizer: str, end: int, segment_ids: int) -> Callable[[Iterator[pa
 
         def close() -> pa.RecordBatch:
             ids = np.concatenate(parts)
+            parts.clear()
             most = range_coder.LANES * range_coder.STEPS
             code = b"".join(range_coder.encode(ids[i : i + most]) for i in range(0, len(ids), most))
             docs, lengths = pa.chunked_array(names, pa.int64()).to_pylist(), np.concatenate(sizes).tolist()
@@ -234,7 +285,7 @@ def _writer(tokenizer: str, end: int, segment_ids: int) -> Callable[[Iterator[pa
                 schema=pa.schema([("shard", pa.int32()), ("segment", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("code", pa.binary())]),
             )
 
-        for batch in text.steps(batches, "text"):
+        for batch in text.steps(batches, "text", keeping=_KEPT):
             ids, counts = encoder.encode(batch.column("text"), end)
             docs, at, done = batch.column("doc_id"), 0, 0
             total = np.cumsum(counts)
@@ -248,7 +299,7 @@ def _writer(tokenizer: str, end: int, segment_ids: int) -> Callable[[Iterator[pa
                 if held >= segment_ids:
                     yield close()
                     segment, held = segment + 1, 0
-                    names.clear(), sizes.clear(), parts.clear()
+                    names.clear(), sizes.clear()
         if parts:
             yield close()
 

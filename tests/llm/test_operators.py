@@ -166,6 +166,55 @@ def test_pieces_are_encoded_once_for_all_tasks_of_a_worker(monkeypatch):
     assert all((a == b).all() for a, b in zip(first, whole, strict=True))
 
 
+def test_a_worker_gives_up_what_tasks_of_other_kinds_have_kept():
+    path, rows = queries.tokenizer(), pa.record_batch({"text": ["some words"]})
+    held = token_files.encoder_of(path)
+    assert len(list(text.steps(iter([rows]), "text", keeping=token_files._KEPT))) == 1
+    assert token_files.encoder_of(path) is held
+    assert len(list(text.steps(iter([rows]), "text"))) == 1
+    assert token_files.encoder_of(path) is not held
+
+
+def test_a_workers_encoder_outlives_its_task(spark):
+    path = queries.tokenizer()
+
+    def met(batches):
+        for _ in batches:
+            encoder = token_files.encoder_of(path)
+            before = len(encoder.known)
+            encoder.encode(pa.array(["some words that every task has met"]), 2)
+            yield pa.RecordBatch.from_pydict({"before": [before]})
+
+    one = spark.range(1).repartition(1)
+    counts = [one.mapInArrow(met, "before long").collect()[0].before for _ in range(12)]
+    assert counts[-1] > 0
+
+
+def test_pieces_are_cut_and_hashed_in_one_pass(monkeypatch):
+    encoder = token_files.PieceEncoder(queries.tokenizer())
+    long = "q" * token_files.HASHED_BY_EIGHTS
+    words = ["a", "ab", "12a", "it's<b>12", "école3", "x×y7", "abcdefgh", "abcdefghi", "abcdefghabcdefgh", long, long + "r", long + "s"]
+    texts = pa.array([" ".join(words[:-2]), "", None, "\n".join(words[:-2])], pa.large_string()).fill_null("")
+    monkeypatch.setattr(text.WordReader, "hashes", lambda *_: pytest.fail("hashed byte by byte"))
+    cut = encoder._cut(*text.utf8(texts))
+    pieces = ["a", "ab", "12", "a", "it's<b>12", "école", "3", "x×y7", *words[6:-2]]
+    assert [cut.word(i).decode() for i in range(len(cut.starts))] == 2 * pieces
+    assert cut.first.tolist() == [0, len(pieces), len(pieces), len(pieces), 2 * len(pieces)]
+    assert len(set(cut.hashes.tolist())) == len(set(pieces))
+    monkeypatch.undo()
+    cut = encoder._cut(*text.utf8(pa.array([" ".join(words[-3:])], pa.large_string())))
+    assert len(set(cut.hashes.tolist())) == 3
+
+
+def test_letters_are_spelled_without_patterns():
+    encoder = token_files.PieceEncoder(queries.tokenizer())
+    assert encoder.spelling is not encoder.tokenizer
+    made = random.Random(3)
+    words = ["".join(made.choice("abcdefghijklmnoprstuvwyzéÉÿßÅåñ") for _ in range(made.randint(1, 14))) for _ in range(2000)]
+    same = [[x.ids for x in t.encode_batch(words, add_special_tokens=False)] for t in (encoder.tokenizer, encoder.spelling)]
+    assert same[0] == same[1]
+
+
 def test_added_tokens_count_by_exact_case():
     encoder = token_files.PieceEncoder(queries.tokenizer())
     texts = [f"a {x} b" for x in ("<|EndOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", "x<|Endoftext|>y", "<|other|>")]
